@@ -27,8 +27,11 @@ def row_width(schema: T.StructType) -> int:
             width += _STRING_WIDTH
         elif isinstance(f.dataType, T.StructType):
             width += row_width(f.dataType)
-        else:
-            width += max(f.dataType.defaultSize(), 8)
+        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType,
+                                     T.DateType, T.BooleanType)):
+            width += 4
+        else:   # long, double, timestamp, decimal(<=18) and anything else
+            width += 8
     return width
 
 

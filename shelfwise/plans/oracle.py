@@ -271,7 +271,7 @@ feature_mart AS (
   WHERE row_num = 1)""",
     "flag_inputs": f"""
 flag_inputs AS (
-  SELECT sku_id, conversion_rate,
+  SELECT sku_id, conversion_rate, avg_daily_units,
          CASE WHEN current_price > 0 THEN (current_price - unit_cost) / current_price ELSE {D(0.0)} END AS gm,
          CASE WHEN competitor_price > 0 THEN (current_price - competitor_price) / competitor_price
               ELSE {D(0.0)} END AS comp_gap,
