@@ -19,13 +19,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import materialize
+
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 256) -> DataFrame:
     """Return one row per probability: (p, value)."""
     vals = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    pairs = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    # the input is evaluated once; every later step reads the checkpointed pairs
+    pairs = materialize(vals.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
     cut_probs = [i / buckets for i in range(1, buckets)]
-    cuts = vals.agg(F.percentile_approx("v", cut_probs, 10000).alias("cuts"))  # one row
+    # cut points over distinct values: any increasing cuts give exact results,
+    # these only balance the buckets
+    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 10000).alias("cuts"))  # one row
     bucketed = (pairs.crossJoin(F.broadcast(cuts))
                 .withColumn("b", F.size(F.filter(F.array_distinct("cuts"), lambda x: x < F.col("v"))))
                 .drop("cuts"))
@@ -38,7 +43,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
                           + F.sum("c").over(Window.partitionBy("b").orderBy("v")
                                              .rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("from_", F.col("upto") - F.col("c")))   # ranks [from_, upto)
-    n = vals.agg(F.count(F.lit(1)).alias("n"))
+    n = pairs.agg(F.sum("c").alias("n"))
     spark = df.sparkSession
     wanted = (spark.createDataFrame([(float(p),) for p in probs], "p double")
               .crossJoin(n)

@@ -107,16 +107,19 @@ def customer_engagement(customer_behavior: DataFrame) -> DataFrame:
 
 
 # --- the SKU dimension (D3-D7 right sides, B7, B8) ------------------------------
-def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, daily_sales: DataFrame,
+def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataFrame,
                   customer_behavior: DataFrame, promotions: DataFrame,
                   supplier_cost_changes: DataFrame, macro_signals: DataFrame,
                   as_of: dt.date) -> DataFrame:
-    """One row per catalog SKU with every non-competitor feature filled in."""
+    """One row per catalog SKU with every non-competitor feature filled in.
+
+    ``demand`` is the output of :func:`demand_window`.
+    """
     macro = macro_trailing(macro_signals, as_of)   # exactly one row: bounded
     dim = (catalog.select("sku_id", "product_name", "category", "subcategory", "brand",
                           "supplier_id", "unit_cost", "weight_lbs")
            .join(latest_inventory(silver_inventory), "sku_id", "left")
-           .join(demand_window(daily_sales, as_of), "sku_id", "left")
+           .join(demand, "sku_id", "left")
            .join(customer_engagement(customer_behavior), "sku_id", "left")
            .join(best_promo(promotions), "sku_id", "left")
            .join(supplier_pressure(supplier_cost_changes, as_of), "sku_id", "left")

@@ -39,9 +39,15 @@ class PricingPipeline:
     def silver_prices(self) -> DataFrame:
         return silver.silver_prices(self.bronze_prices, self.raw.product_catalog, self.run_ts)
 
+    @cached_property
+    def demand(self) -> DataFrame:
+        return gold.demand_window(self.raw.daily_sales, self.as_of)
+
     @cached_property
     def velocity(self) -> DataFrame:
-        return silver.sales_velocity(self.raw.daily_sales, self.as_of)
+        # E1 is the demand window's mean units: one aggregation of daily_sales
+        # serves both silver and gold (Spark reuses the shared exchange).
+        return self.demand.select("sku_id", "avg_daily_units")
 
     @cached_property
     def silver_inventory(self) -> DataFrame:
@@ -51,7 +57,7 @@ class PricingPipeline:
     @cached_property
     def sku_dimension(self) -> DataFrame:
         r = self.raw
-        return gold.sku_dimension(r.product_catalog, self.silver_inventory, r.daily_sales,
+        return gold.sku_dimension(r.product_catalog, self.silver_inventory, self.demand,
                                   r.customer_behavior, r.promotions, r.supplier_cost_changes,
                                   r.macro_signals, self.as_of)
 

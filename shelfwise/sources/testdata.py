@@ -26,8 +26,27 @@ def sku(col: Column) -> Column:
     return F.format_string("SKU-%05d", col)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core even when a source has fewer splits than cores.
+
+    A Parquet file with a single row group is read by one task, which then
+    also runs the whole map side (filters, partial aggregates, partial
+    top-1 sorts) alone.  When the scan has fewer partitions than the
+    session's default parallelism, a round-robin repartition hands that work
+    to all cores.  Large inputs (more splits than cores, as at cluster scale)
+    are returned untouched, so they pay no extra shuffle.
+    """
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            return df.repartition(parallelism)
+    except Exception:  # Spark Connect: no RDD access; leave the plan as is
+        pass
+    return df
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols))
 
 
 def _ntz(as_of: dt.date) -> Column:
