@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing
 from ..functions.quantiles import exact_quantiles
+from .joins import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -26,8 +27,10 @@ def price_target_rows(mart: DataFrame) -> DataFrame:
 def target_summary(labelled: DataFrame, label: str = "optimal_price") -> DataFrame:
     """Count, mean, std, min, quartiles, max of the label, rounded to 2.
 
-    One aggregate pass plus exact distributed quartiles; one output row.
+    The label column is computed once (checkpointed); one aggregate pass and
+    the exact distributed quartiles both read it.  One output row.
     """
+    labelled = materialize(labelled.select(label))
     basic = labelled.agg(
         F.count(label).alias("count"),
         F.round(F.avg(label), 2).alias("mean"),

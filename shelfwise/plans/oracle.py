@@ -415,6 +415,8 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
     "sample_skus": (f"SELECT sku_id, product_name, category, brand, unit_cost, current_price, competitor_price, "
                     f"units_sold_7d, days_of_supply FROM feature_mart "
                     f"ORDER BY md5('{config.SAMPLE_SEED}' || sku_id), sku_id LIMIT 10"),
+    "mart_preview": "SELECT * FROM feature_mart ORDER BY sku_id LIMIT 5",
+    "recommendations_table": "SELECT * FROM price_flags",
     "table_profile": " UNION ALL ".join([
         _profile("competitor_prices", "raw.competitor_prices", "event_timestamp"),
         _profile("inventory_events", "raw.inventory_events", "event_timestamp"),

@@ -15,12 +15,26 @@ from .. import config
 from ..operators import gold, model, profile, recommend, target
 from ..operators.joins import materialize
 from ..session import run_dir
+from ..sources import tables
 from ..streaming import runner
 from .pipeline import PricingPipeline
 
 
+_PIPELINES: dict[tuple[int, str], PricingPipeline] = {}
+
+
 def _p(spark: SparkSession, sf_dir: str) -> PricingPipeline:
-    return PricingPipeline(spark, sf_dir)
+    """The declared (lazy) pipeline for a session and directory.
+
+    Declaring the ~300 DataFrame operations costs seconds of driver round
+    trips, so each session declares them once and every query reuses the
+    plans.  Only plans are shared; each query still executes on its own.
+    """
+    key = (id(spark), sf_dir)
+    cached = _PIPELINES.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _PIPELINES[key] = PricingPipeline(spark, sf_dir)
+    return cached
 
 
 # --- layers -----------------------------------------------------------------------
@@ -103,6 +117,19 @@ def sample_skus(spark, sf_dir):
     return recommend.sample_skus(_p(spark, sf_dir).feature_mart)
 
 
+def mart_preview(spark, sf_dir):
+    """A five-row preview of the mart (first SKUs, deterministic)."""
+    return _p(spark, sf_dir).feature_mart.orderBy("sku_id").limit(5)
+
+
+def recommendations_table(spark, sf_dir):
+    """A9 + A3 + J3 + B12: write the flags as gold.pricing_recommendations."""
+    root = run_dir(spark, "warehouse")
+    tables.ensure_namespaces(spark, ["gold"], root=root)
+    return tables.write_table(_p(spark, sf_dir).price_flags, "gold.pricing_recommendations",
+                              cluster_by="sku_id", path=f"{root}/gold.db/pricing_recommendations")
+
+
 def price_target(spark, sf_dir):
     return target.price_target_rows(_p(spark, sf_dir).feature_mart)
 
@@ -237,6 +264,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "action_counts": action_counts,
     "top_flags": top_flags,
     "sample_skus": sample_skus,
+    "mart_preview": mart_preview,
+    "recommendations_table": recommendations_table,
     "price_target": price_target,
     "target_summary": target_summary,
     "score_compare": score_compare,

@@ -78,3 +78,20 @@ SILVER_INVENTORY = T.StructType(
         T.StructField(n, t, True) for n, t in (
             ("avg_daily_units", D), ("days_of_supply", D), ("current_stock", L),
             ("_validated_at", TS))])
+
+
+# --- test-data inputs (TPC-H-like files under /root/testdata/sf*/) -------------
+# Declared so reads skip schema inference (one footer-reading job per read).
+I, NTZ = T.IntegerType(), T.TimestampNTZType()
+
+TESTDATA = {
+    "part": _schema(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S),
+                    ("p_size", I), ("p_retailprice", D)),
+    "lineitem": _schema(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L), ("l_linenumber", I),
+                        ("l_quantity", D), ("l_extendedprice", D), ("l_discount", D), ("l_tax", D),
+                        ("l_returnflag", S), ("l_linestatus", S), ("l_shipdate", NTZ)),
+    "orders": _schema(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
+                      ("o_orderdate", NTZ), ("o_orderpriority", S)),
+    "events": _schema(("event_id", L), ("ts", NTZ), ("user_id", L), ("event_type", S),
+                      ("value", D), ("props", S)),
+}

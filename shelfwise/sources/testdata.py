@@ -26,7 +26,19 @@ def sku(col: Column) -> Column:
     return F.format_string("SKU-%05d", col)
 
 
-def spread(df: DataFrame) -> DataFrame:
+_SPLITS: dict[tuple[int, str], tuple[SparkSession, int]] = {}
+
+
+def _splits(spark: SparkSession, path: str) -> int:
+    """Scan partitions of a file source (computed once per session and path)."""
+    key = (id(spark), path)
+    cached = _SPLITS.get(key)
+    if cached is None or cached[0] is not spark:
+        cached = _SPLITS[key] = (spark, _reader(spark, path).rdd.getNumPartitions())
+    return cached[1]
+
+
+def spread(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     """Use every core even when a source has fewer splits than cores.
 
     A Parquet file with a single row group is read by one task, which then
@@ -37,16 +49,29 @@ def spread(df: DataFrame) -> DataFrame:
     are returned untouched, so they pay no extra shuffle.
     """
     try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
+        parallelism = spark.sparkContext.defaultParallelism
+        if _splits(spark, path) < parallelism:
             return df.repartition(parallelism)
     except Exception:  # Spark Connect: no RDD access; leave the plan as is
         pass
     return df
 
 
+def _reader(spark: SparkSession, path: str) -> DataFrame:
+    table = path.rsplit("/", 1)[-1].removesuffix(".parquet")
+    schema = schemas.TESTDATA.get(table)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
+
+
+# Event-grain inputs; dimension files (part) are read as they are.
+FACT_TABLES = {"lineitem", "orders", "events"}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols))
+    path = f"{sf_dir}/{table}.parquet"
+    df = _reader(spark, path).select(*cols)
+    return spread(spark, path, df) if table in FACT_TABLES else df
 
 
 def _ntz(as_of: dt.date) -> Column:
