@@ -67,7 +67,8 @@ class PricingPipeline:
 
     @cached_property
     def feature_mart(self) -> DataFrame:
-        return gold.feature_mart(self.gold_features)
+        # F3 pushed below the join (same rows; see gold.feature_mart_batch)
+        return gold.feature_mart_batch(self.silver_prices, self.sku_dimension, self.run_ts)
 
     # recommendations ------------------------------------------------------
     @cached_property
