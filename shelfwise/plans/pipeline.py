@@ -13,7 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
-from ..operators import bronze, gold, recommend, silver, target
+from ..operators import bronze, gold, model, recommend, silver, target
+from ..operators.joins import materialize
+from ..session import run_dir
 from ..sources.testdata import RawTables
 
 
@@ -45,8 +47,8 @@ class PricingPipeline:
 
     @cached_property
     def velocity(self) -> DataFrame:
-        # E1 is the demand window's mean units: one aggregation of daily_sales
-        # serves both silver and gold (Spark reuses the shared exchange).
+        # E1 is the demand window's mean units (same filter, same average);
+        # one definition serves silver and gold.
         return self.demand.select("sku_id", "avg_daily_units")
 
     @cached_property
@@ -78,3 +80,26 @@ class PricingPipeline:
     @cached_property
     def labelled_mart(self) -> DataFrame:
         return target.with_price_target(self.feature_mart)
+
+    # model ------------------------------------------------------------------
+    @cached_property
+    def materialized_mart(self) -> DataFrame:
+        """The mart, checkpointed: boosting scans it once per round."""
+        return materialize(self.feature_mart)
+
+    @cached_property
+    def price_model(self):
+        """K1-K5: fit once per run, persist to the shared folder, reload.
+
+        Returns (model, labelled test split, saved path).
+        """
+        fitted, test = model.train(self.materialized_mart)
+        path = run_dir(self.spark, "price_model")
+        model.save(fitted, path)
+        return model.load(path), test, path
+
+    @cached_property
+    def model_scores(self) -> DataFrame:
+        """K6: the reloaded model scored over the whole mart, as J4 rows."""
+        fitted, _, _ = self.price_model
+        return recommend.score_compare(model.score(fitted, self.materialized_mart))
