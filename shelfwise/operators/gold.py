@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import pricing
-from .bronze import stamp
+from .bronze import stamp, ts_literal
 from .joins import fits_broadcast, join_dimension, materialize
 
 DOUBLE_AVG_SCALE = 6   # averages of doubles are kept to 6 decimals (engine-independent)
@@ -34,8 +34,8 @@ def _days_back(as_of: dt.date, days: int):
     return F.date_sub(F.lit(as_of), days)
 
 
-def _as_of_ts(as_of: dt.date):
-    return F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp")
+def _midnight(day: dt.date):
+    return ts_literal(dt.datetime.combine(day, dt.time()))
 
 
 # --- F1 ----------------------------------------------------------------------
@@ -83,9 +83,10 @@ def best_promo(promotions: DataFrame) -> DataFrame:
 def supplier_pressure(supplier_cost_changes: DataFrame, as_of: dt.date) -> DataFrame:
     """C3 + E4: mean cost delta per SKU over the trailing 90 days."""
     ts = F.col("event_timestamp")
-    end = _as_of_ts(as_of)
+    # calendar-day bounds in wall-clock time (immune to DST in the session zone)
+    start = _midnight(as_of - dt.timedelta(days=config.SUPPLIER_WINDOW_DAYS))
     return (supplier_cost_changes
-            .filter((ts >= end - F.expr(f"INTERVAL {config.SUPPLIER_WINDOW_DAYS} DAYS")) & (ts <= end))
+            .filter((ts >= start) & (ts <= _midnight(as_of)))
             .groupBy("sku_id")
             .agg(_avg6("cost_delta_pct").alias("cost_delta_pct")))
 

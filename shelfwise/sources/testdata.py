@@ -77,7 +77,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame
 def _ntz(as_of: dt.date) -> Column:
     # lineitem timestamps are TIMESTAMP_NTZ; compare against an NTZ literal so
     # the predicate is pushed into the parquet scan as-is.
-    return F.lit(dt.datetime.combine(as_of, dt.time())).cast("timestamp_ntz")
+    return F.lit(f"{as_of.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def _ts(col: str) -> Column:
