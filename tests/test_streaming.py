@@ -74,3 +74,24 @@ def test_bronze_metadata_stream(spark, sf_small):
     assert out.count() == p.raw.inventory_events.count()
     assert out.filter(F.col("_ingested_at").isNull()).count() == 0
     assert {r[0] for r in out.select("_source").distinct().collect()} == {"raw.inventory_events"}
+
+
+def test_gold_stream_is_incremental(spark, sf_small):
+    """A second availableNow run appends only the newly landed silver rows,
+    and the refreshed mart picks up the newer events."""
+    p = PricingPipeline(spark, sf_small)
+    base = run_dir(spark, "gold-incr")
+    silver = p.silver_prices
+    cutoff = "1998-01-01"
+    early = silver.filter(F.col("event_timestamp") < cutoff)
+    late = silver.filter(F.col("event_timestamp") >= cutoff)
+    early.write.parquet(f"{base}/silver")
+    runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
+    n1 = spark.read.parquet(f"{base}/gold").count()
+    assert n1 == early.count()
+    late.write.mode("append").parquet(f"{base}/silver")
+    runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
+    assert spark.read.parquet(f"{base}/gold").count() == silver.count()
+    mart = runner.refresh_mart(spark, f"{base}/gold", f"{base}/mart")
+    cols = p.feature_mart.columns
+    assert _rows(mart, cols) == _rows(p.feature_mart, cols)
