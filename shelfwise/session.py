@@ -32,6 +32,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.schemaInference": "false",
+    # dedup state lives off-heap in RocksDB (bounded by the watermark, but
+    # large at high event rates); changelog checkpoints keep commits small
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
