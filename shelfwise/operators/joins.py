@@ -50,6 +50,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a table into the shared checkpoint folder.
+
+    Unlike ``checkpoint()``, the re-read table carries no partitioning, so a
+    join against it shuffles both sides under ENSURE_REQUIREMENTS — which is
+    what lets AQE split a skewed key's partition (or broadcast the table when
+    its measured size is small).
+    """
+    from ..session import run_dir
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fits_broadcast(dim: DataFrame) -> bool:
     rows = dim.count()
     return rows * row_width(dim.schema) <= broadcast_limit(dim.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
 from ..operators import bronze, gold, model, recommend, silver, target
-from ..operators.joins import materialize
+from ..operators.joins import materialize, write_and_read
 from ..session import run_dir
 from ..sources.testdata import RawTables
 
@@ -57,12 +57,23 @@ class PricingPipeline:
 
     # gold -----------------------------------------------------------------
     @cached_property
-    def sku_dimension(self) -> DataFrame:
+    def sku_dimension_plan(self) -> DataFrame:
         r = self.raw
         return gold.sku_dimension(r.product_catalog, self.silver_inventory, self.demand,
                                   r.customer_behavior, r.promotions, r.supplier_cost_changes,
                                   r.macro_signals, self.as_of)
 
+    @cached_property
+    def sku_dimension(self) -> DataFrame:
+        """The SKU dimension of this run, written once to the shared folder.
+
+        SKU-sized, used by the gold row, the mart and everything after it.
+        Read back as a plain table, its joins shuffle both sides, so AQE can
+        broadcast it when small or split hot SKUs when not (a dimension built
+        from sku-partitioned joins would leave AQE nothing to split).
+        """
+        return write_and_read(self.sku_dimension_plan, "sku_dimension")
+
     @cached_property
     def gold_features(self) -> DataFrame:
         return gold.pricing_features(self.silver_prices, self.sku_dimension, self.run_ts)

@@ -34,7 +34,7 @@ def test_dedup_and_mart_use_map_side_top1(spark, sf_small):
 
 
 def test_only_the_one_row_macro_side_is_hinted(spark, sf_small):
-    plan = _p(spark, sf_small).sku_dimension._jdf.queryExecution().optimizedPlan().toString()
+    plan = _p(spark, sf_small).sku_dimension_plan._jdf.queryExecution().optimizedPlan().toString()
     hints = [line.strip() for line in plan.splitlines() if "strategy=broadcast" in line]
     assert hints == ["+- Join Cross, rightHint=(strategy=broadcast)"]
 
