@@ -43,12 +43,17 @@ class PricingPipeline:
 
     @cached_property
     def demand(self) -> DataFrame:
-        return gold.demand_window(self.raw.daily_sales, self.as_of)
+        """E1-E3 per SKU, written once per run (SKU-sized).
+
+        Read back as a plain table, so the silver inventory join against it
+        shuffles both sides and AQE can split a hot SKU; silver and gold both
+        read this one aggregation of daily_sales.
+        """
+        return write_and_read(gold.demand_window(self.raw.daily_sales, self.as_of), "demand_window")
 
     @cached_property
     def velocity(self) -> DataFrame:
-        # E1 is the demand window's mean units (same filter, same average);
-        # one definition serves silver and gold.
+        # E1 is the demand window's mean units (same filter, same average)
         return self.demand.select("sku_id", "avg_daily_units")
 
     @cached_property
