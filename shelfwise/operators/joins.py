@@ -1,11 +1,16 @@
-"""Dimension joins with a checked broadcast.
-
-A SKU-keyed dimension is broadcast only after its materialised row count,
-times a per-row width taken from its schema, is known to fit under
-``shelfwise.broadcast.maxBytes`` (default 64 MiB).  Above that the join stays a
-shuffle join on the key; AQE then splits a hot key's partition
-(``spark.sql.adaptive.skewJoin.enabled``), so a SKU that carries a third of the
-fact rows is processed by several tasks.
+"""Dimension joins with a checked broadcast, and lineage cuts.
+
+Batch: SKU-level tables are written once per run (``write_and_read``) and
+joined plainly.  AQE measures the written table's real shuffle size and
+broadcasts it only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+above that the join stays a sort-merge join whose hot-SKU partitions AQE
+splits (``spark.sql.adaptive.skewJoin.enabled``) — possible because both
+sides are plain shuffles.
+
+Streams (AQE is off inside micro-batches): the dimension is checkpointed once
+per run and broadcast only after its row count times a per-row width from its
+schema fits under ``shelfwise.broadcast.maxBytes`` (default 64 MiB); above
+that the micro-batches shuffle-join it.
 """
 
 from __future__ import annotations
