@@ -227,13 +227,11 @@ macro_trailing AS (
   SELECT {R('AVG(ppi_steel)', 6)} AS ppi_steel, {R('AVG(ppi_copper)', 6)} AS ppi_copper,
          {R('AVG(ppi_pvc)', 6)} AS ppi_pvc
   FROM macro_signals WHERE signal_week >= {_d(28)} AND signal_week <= {AS_OF_D})""",
-    # The gold row, written the way the pricing pipeline states it: the event
-    # side joined to each SKU-level input in turn.
-    "gold_features": f"""
-gold_features AS (
-  SELECT comp.sku_id, p.product_name, p.category, p.subcategory, p.brand, p.supplier_id,
-         p.unit_cost, p.weight_lbs, comp.competitor, comp.competitor_price,
-         {R('comp.competitor_price / NULLIF(p.unit_cost, 0)', 4)} AS competitor_markup,
+    # one row per catalog SKU with every non-competitor feature filled in
+    "sku_dim": f"""
+sku_dim AS (
+  SELECT c.sku_id, c.product_name, c.category, c.subcategory, c.brand, c.supplier_id, c.unit_cost,
+         c.weight_lbs,
          COALESCE(inv.current_stock, 0) AS current_stock,
          COALESCE(inv.days_of_supply, {D(-1.0)}) AS days_of_supply,
          COALESCE(dem.units_sold_7d, 0) AS units_sold_7d,
@@ -250,17 +248,22 @@ gold_features AS (
          COALESCE(mac.ppi_steel, {D(100.0)}) AS ppi_steel,
          COALESCE(mac.ppi_copper, {D(100.0)}) AS ppi_copper,
          COALESCE(mac.ppi_pvc, {D(100.0)}) AS ppi_pvc,
-         {R(f'p.unit_cost * {D(config.SHELF_MARKUP)}', 2)} AS current_price,
-         comp.event_timestamp AS source_event_timestamp,
+         {R(f'c.unit_cost * {D(config.SHELF_MARKUP)}', 2)} AS current_price
+  FROM product_catalog c
+  LEFT JOIN latest_inventory inv USING (sku_id)
+  LEFT JOIN demand_window dem USING (sku_id)
+  LEFT JOIN customer_behavior cb USING (sku_id)
+  LEFT JOIN best_promo pr USING (sku_id)
+  LEFT JOIN supplier_pressure sc USING (sku_id)
+  CROSS JOIN macro_trailing mac)""",
+    # every validated price event with its SKU's features
+    "gold_features": f"""
+gold_features AS (
+  SELECT d.*, e.competitor, e.competitor_price,
+         {R('e.competitor_price / NULLIF(d.unit_cost, 0)', 4)} AS competitor_markup,
+         e.event_timestamp AS source_event_timestamp,
          {RUN} AS _updated_at
-  FROM silver_prices comp
-  JOIN product_catalog p ON comp.sku_id = p.sku_id
-  LEFT JOIN latest_inventory inv ON comp.sku_id = inv.sku_id
-  LEFT JOIN demand_window dem ON comp.sku_id = dem.sku_id
-  LEFT JOIN customer_behavior cb ON comp.sku_id = cb.sku_id
-  LEFT JOIN best_promo pr ON comp.sku_id = pr.sku_id
-  LEFT JOIN supplier_pressure sc ON comp.sku_id = sc.sku_id
-  LEFT JOIN macro_trailing mac ON TRUE)""",
+  FROM silver_prices e JOIN sku_dim d USING (sku_id))""",
     "feature_mart": """
 feature_mart AS (
   SELECT * EXCLUDE (row_num) FROM (
@@ -338,7 +341,7 @@ ORDER = [
     "promotions", "supplier_cost_changes", "macro_signals",
     "bronze_prices", "bronze_inventory", "silver_prices", "velocity", "silver_inventory",
     "latest_inventory", "demand_window", "best_promo", "supplier_pressure", "macro_trailing",
-    "gold_features", "feature_mart", "flag_inputs", "price_flags", "price_target", "score_compare",
+    "sku_dim", "gold_features", "feature_mart", "flag_inputs", "price_flags", "price_target", "score_compare",
 ]
 ALL_CTES = {**RAW_CTES, **DERIVED_CTES}
 
@@ -424,28 +427,7 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
         _profile("silver_inventory", "silver.inventory", "event_timestamp"),
         _profile("gold_features", "gold.gold_pricing_features", "source_event_timestamp"),
     ]),
-    "sku_dimension": """
-SELECT c.sku_id, c.product_name, c.category, c.subcategory, c.brand, c.supplier_id, c.unit_cost,
-       c.weight_lbs, COALESCE(inv.current_stock, 0) AS current_stock,
-       COALESCE(inv.days_of_supply, -1.0::DOUBLE) AS days_of_supply,
-       COALESCE(dem.units_sold_7d, 0) AS units_sold_7d, COALESCE(dem.units_sold_30d, 0) AS units_sold_30d,
-       COALESCE(dem.avg_daily_units, 0.0::DOUBLE) AS avg_daily_units,
-       COALESCE(dem.seasonality_index, 1.0::DOUBLE) AS seasonality_index,
-       COALESCE(cb.view_count, 0) AS view_count, COALESCE(cb.cart_add_rate, 0.0::DOUBLE) AS cart_add_rate,
-       COALESCE(cb.conversion_rate, 0.0::DOUBLE) AS conversion_rate,
-       COALESCE(cb.return_rate, 0.0::DOUBLE) AS return_rate,
-       COALESCE(pr.discount_pct, 0.0::DOUBLE) AS discount_pct, COALESCE(pr.promo_type, 'NONE') AS promo_type,
-       COALESCE(sc.cost_delta_pct, 0.0::DOUBLE) AS cost_delta_pct,
-       COALESCE(mac.ppi_steel, 100.0::DOUBLE) AS ppi_steel, COALESCE(mac.ppi_copper, 100.0::DOUBLE) AS ppi_copper,
-       COALESCE(mac.ppi_pvc, 100.0::DOUBLE) AS ppi_pvc,
-       """ + R(f"c.unit_cost * {D(config.SHELF_MARKUP)}", 2) + """ AS current_price
-FROM product_catalog c
-LEFT JOIN latest_inventory inv ON c.sku_id = inv.sku_id
-LEFT JOIN demand_window dem ON c.sku_id = dem.sku_id
-LEFT JOIN customer_behavior cb ON c.sku_id = cb.sku_id
-LEFT JOIN best_promo pr ON c.sku_id = pr.sku_id
-LEFT JOIN supplier_pressure sc ON c.sku_id = sc.sku_id
-CROSS JOIN macro_trailing mac""",
+    "sku_dimension": "SELECT * FROM sku_dim",
     "stream_bronze_silver_prices": f"SELECT {SILVER_PRICE_STREAM_COLS} FROM silver_prices",
     "stream_silver_inventory": f"SELECT {SILVER_INVENTORY_STREAM_COLS} FROM silver_inventory",
     "stream_gold": "SELECT * FROM gold_features",
