@@ -125,26 +125,27 @@ def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataF
            .join(best_promo(promotions), "sku_id", "left")
            .join(supplier_pressure(supplier_cost_changes, as_of), "sku_id", "left")
            .crossJoin(F.broadcast(macro)))
-    return dim.select(
+    # B8 defaults (one SQL projection: a single driver round trip)
+    return dim.selectExpr(
         "sku_id", "product_name", "category", "subcategory", "brand", "supplier_id",
         "unit_cost", "weight_lbs",
-        F.coalesce("current_stock", F.lit(0).cast("bigint")).alias("current_stock"),
-        F.coalesce("days_of_supply", F.lit(-1.0)).alias("days_of_supply"),
-        F.coalesce("units_sold_7d", F.lit(0).cast("bigint")).alias("units_sold_7d"),
-        F.coalesce("units_sold_30d", F.lit(0).cast("bigint")).alias("units_sold_30d"),
-        F.coalesce("avg_daily_units", F.lit(0.0)).alias("avg_daily_units"),
-        F.coalesce("seasonality_index", F.lit(1.0)).alias("seasonality_index"),
-        F.coalesce("view_count", F.lit(0).cast("bigint")).alias("view_count"),
-        F.coalesce("cart_add_rate", F.lit(0.0)).alias("cart_add_rate"),
-        F.coalesce("conversion_rate", F.lit(0.0)).alias("conversion_rate"),
-        F.coalesce("return_rate", F.lit(0.0)).alias("return_rate"),
-        F.coalesce("discount_pct", F.lit(0.0)).alias("discount_pct"),
-        F.coalesce("promo_type", F.lit("NONE")).alias("promo_type"),
-        F.coalesce("cost_delta_pct", F.lit(0.0)).alias("cost_delta_pct"),
-        F.coalesce("ppi_steel", F.lit(100.0)).alias("ppi_steel"),
-        F.coalesce("ppi_copper", F.lit(100.0)).alias("ppi_copper"),
-        F.coalesce("ppi_pvc", F.lit(100.0)).alias("ppi_pvc"),
-        pricing.shelf_price().alias("current_price"))
+        "coalesce(current_stock, 0L) AS current_stock",
+        "coalesce(days_of_supply, -1.0D) AS days_of_supply",
+        "coalesce(units_sold_7d, 0L) AS units_sold_7d",
+        "coalesce(units_sold_30d, 0L) AS units_sold_30d",
+        "coalesce(avg_daily_units, 0.0D) AS avg_daily_units",
+        "coalesce(seasonality_index, 1.0D) AS seasonality_index",
+        "coalesce(view_count, 0L) AS view_count",
+        "coalesce(cart_add_rate, 0.0D) AS cart_add_rate",
+        "coalesce(conversion_rate, 0.0D) AS conversion_rate",
+        "coalesce(return_rate, 0.0D) AS return_rate",
+        "coalesce(discount_pct, 0.0D) AS discount_pct",
+        "coalesce(promo_type, 'NONE') AS promo_type",
+        "coalesce(cost_delta_pct, 0.0D) AS cost_delta_pct",
+        "coalesce(ppi_steel, 100.0D) AS ppi_steel",
+        "coalesce(ppi_copper, 100.0D) AS ppi_copper",
+        "coalesce(ppi_pvc, 100.0D) AS ppi_pvc",
+        f"round(unit_cost * {config.SHELF_MARKUP}D, 2) AS current_price")
 
 
 # --- D8: the feature row ------------------------------------------------------------

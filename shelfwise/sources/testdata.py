@@ -14,18 +14,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from . import schemas
 
 
-def sku(col: Column) -> Column:
-    """'SKU-' + zero-padded key (never truncated for keys over 5 digits)."""
-    return F.format_string("SKU-%05d", col)
-
-
 _SPLITS: dict[tuple[int, str], tuple[SparkSession, int]] = {}
 
 
@@ -74,159 +69,153 @@ def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame
     return spread(spark, path, df) if table in FACT_TABLES else df
 
 
-def _ntz(as_of: dt.date) -> Column:
+def _ntz(as_of: dt.date) -> str:
     # lineitem timestamps are TIMESTAMP_NTZ; compare against an NTZ literal so
     # the predicate is pushed into the parquet scan as-is.
-    return F.lit(f"{as_of.isoformat()} 00:00:00").cast("timestamp_ntz")
-
-
-def _ts(col: str) -> Column:
-    return F.col(col).cast("timestamp")
+    return f"TIMESTAMP_NTZ '{as_of.isoformat()} 00:00:00'"
 
 
 def _lineitem(spark, sf_dir, *cols):
     return _read(spark, sf_dir, "lineitem", *cols)
 
 
+# Projections are SQL expression strings (``selectExpr``): one driver round
+# trip per projection instead of several per Column object.
+# 'SKU-' + zero-padded key (never truncated for keys over 5 digits)
+SKU = "format_string('SKU-%05d', {})"
+
+
+def _id(prefix: str) -> str:
+    return f"concat('{prefix}-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))"
+
+
+def _pick(values: list[str], index_expr: str) -> str:
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), CAST({index_expr} AS INT))"
+
+
 def _conform(df: DataFrame, table: str) -> DataFrame:
     """Project to the declared raw schema (order, types, missing -> NULL)."""
     have = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schemas.RAW[table].fields])
 
 
 def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type",
                  "p_size", "p_retailprice")
-    df = (part.filter(F.col("p_partkey") % 20 != 7)
-          .select(
-              sku(F.col("p_partkey")).alias("sku_id"),
-              F.col("p_name").alias("product_name"),
-              F.col("p_type").alias("category"),
-              F.concat(F.col("p_type"), F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("subcategory"),
-              F.col("p_type").alias("product_type"),
-              F.col("p_brand").alias("brand"),
-              (F.col("p_retailprice") * (F.lit(1) + F.col("p_size")) / F.lit(100)).alias("unit_cost"),
-              (F.col("p_size") * F.lit(0.5)).alias("weight_lbs"),
-              F.lit(True).alias("is_active"),
-              F.concat(F.lit("SUP-"), F.lpad((F.col("p_partkey") % 30 + 1).cast("string"), 3, "0")).alias("supplier_id"),
-          ))
+    df = part.filter("p_partkey % 20 <> 7").selectExpr(
+        f"{SKU.format('p_partkey')} AS sku_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "concat(p_type, '-', CAST(p_size % 3 AS STRING)) AS subcategory",
+        "p_type AS product_type",
+        "p_brand AS brand",
+        "p_retailprice * (1 + p_size) / 100 AS unit_cost",
+        "p_size * 0.5D AS weight_lbs",
+        "TRUE AS is_active",
+        "concat('SUP-', lpad(CAST(p_partkey % 30 + 1 AS STRING), 3, '0')) AS supplier_id")
     return _conform(df, "product_catalog")
 
 
 def competitor_prices(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_quantity", "l_discount", "l_shipdate")
-          .filter(F.col("l_shipdate") <= _ntz(as_of)))
+          .filter(f"l_shipdate <= {_ntz(as_of)}"))
     part = _read(spark, sf_dir, "part", "p_partkey", "p_retailprice", "p_size")
     # quantity 1 / 2 produce out-of-range prices for the validation filter
-    m = (F.when(F.col("l_quantity") == 1, F.lit(-1.0))
-         .when(F.col("l_quantity") == 2, F.lit(1000.0))
-         .otherwise(F.lit(1.0)))
-    price = (F.col("p_retailprice") * (F.lit(1) + F.col("p_size")) / F.lit(100)
-             * (F.lit(1.2) + F.lit(4) * F.col("l_discount")) * m)
-    df = (li.join(part, li.l_partkey == part.p_partkey, "inner")
-          .select(
-              F.concat(F.lit("CP-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                       F.col("l_linenumber").cast("string")).alias("event_id"),
-              sku(F.col("l_partkey")).alias("sku_id"),
-              F.concat(F.lit("C"), (F.col("l_suppkey") % 5).cast("string")).alias("competitor"),
-              price.alias("competitor_price"),
-              _ts("l_shipdate").alias("event_timestamp")))
+    df = li.join(part, li.l_partkey == part.p_partkey, "inner").selectExpr(
+        f"{_id('CP')} AS event_id",
+        f"{SKU.format('l_partkey')} AS sku_id",
+        "concat('C', CAST(l_suppkey % 5 AS STRING)) AS competitor",
+        "p_retailprice * (1 + p_size) / 100 * (1.2D + 4 * l_discount)"
+        " * CASE WHEN l_quantity = 1 THEN -1.0D WHEN l_quantity = 2 THEN 1000.0D ELSE 1.0D END"
+        " AS competitor_price",
+        "CAST(l_shipdate AS TIMESTAMP) AS event_timestamp")
     return _conform(df, "competitor_prices")
 
 
 def inventory_events(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_quantity", "l_returnflag", "l_shipdate")
-          .filter((F.col("l_returnflag") != "R") & (F.col("l_shipdate") <= _ntz(as_of))))
-    df = li.select(
-        F.concat(F.lit("IE-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("event_id"),
-        sku(F.col("l_partkey")).alias("sku_id"),
-        F.when(F.col("l_returnflag") == "A", F.lit("restock")).otherwise(F.lit("sale")).alias("event_type"),
-        F.col("l_quantity").cast("bigint").alias("stock_delta"),
-        (F.col("l_quantity") * 10 - 20).cast("bigint").alias("stock_after"),
-        F.concat(F.lit("WH-0"), (F.col("l_suppkey") % 5 + 1).cast("string")).alias("warehouse_id"),
-        _ts("l_shipdate").alias("event_timestamp"))
+          .filter(f"l_returnflag <> 'R' AND l_shipdate <= {_ntz(as_of)}"))
+    df = li.selectExpr(
+        f"{_id('IE')} AS event_id",
+        f"{SKU.format('l_partkey')} AS sku_id",
+        "CASE WHEN l_returnflag = 'A' THEN 'restock' ELSE 'sale' END AS event_type",
+        "CAST(l_quantity AS BIGINT) AS stock_delta",
+        "CAST(l_quantity * 10 - 20 AS BIGINT) AS stock_after",
+        "concat('WH-0', CAST(l_suppkey % 5 + 1 AS STRING)) AS warehouse_id",
+        "CAST(l_shipdate AS TIMESTAMP) AS event_timestamp")
     return _conform(df, "inventory_events")
 
 
 def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem(spark, sf_dir, "l_partkey", "l_suppkey", "l_quantity",
                    "l_extendedprice", "l_shipdate")
-    month = F.month(F.col("l_shipdate"))
-    season = (F.when(month.isin(4, 5, 6, 7), F.lit(1.3))
-              .when(month.isin(11, 12, 1), F.lit(0.85))
-              .otherwise(F.lit(1.0)))
-    df = li.select(
-        sku(F.col("l_partkey")).alias("sku_id"),
-        F.to_date(F.col("l_shipdate")).alias("sale_date"),
-        F.col("l_quantity").cast("bigint").alias("units_sold"),
-        F.col("l_extendedprice").alias("revenue"),
-        F.concat(F.lit("ST-"), F.lpad((F.col("l_suppkey") % 12 + 1).cast("string"), 2, "0")).alias("store_id"),
-        season.alias("seasonality_index"))
+    df = li.selectExpr(
+        f"{SKU.format('l_partkey')} AS sku_id",
+        "to_date(l_shipdate) AS sale_date",
+        "CAST(l_quantity AS BIGINT) AS units_sold",
+        "l_extendedprice AS revenue",
+        "concat('ST-', lpad(CAST(l_suppkey % 12 + 1 AS STRING), 2, '0')) AS store_id",
+        "CASE WHEN month(l_shipdate) IN (4, 5, 6, 7) THEN 1.3D"
+        " WHEN month(l_shipdate) IN (11, 12, 1) THEN 0.85D ELSE 1.0D END AS seasonality_index")
     return _conform(df, "daily_sales")
 
 
 def customer_behavior(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
     ev = _read(spark, sf_dir, "events", "user_id", "event_type")
     users = ev.groupBy("user_id").agg(
-        F.count_if(F.col("event_type") == "view").alias("views"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        F.count_if(F.col("event_type") == "error").alias("errors"),
-        F.count(F.lit(1)).alias("n_events"))
+        F.expr("count_if(event_type = 'view') AS views"),
+        F.expr("count_if(event_type = 'click') AS clicks"),
+        F.expr("count_if(event_type = 'purchase') AS purchases"),
+        F.expr("count_if(event_type = 'error') AS errors"),
+        F.expr("count(1) AS n_events"))
     # one-row aggregate; cross-joining a single row is a bounded broadcast
-    n_users = users.agg((F.max("user_id") + 1).alias("n_slots"))
+    n_users = users.selectExpr("max(user_id) + 1 AS n_slots")
     part = (_read(spark, sf_dir, "part", "p_partkey")
-            .filter(F.col("p_partkey") % 10 != 3)
+            .filter("p_partkey % 10 <> 3")
             .crossJoin(n_users)
-            .withColumn("slot", F.col("p_partkey") % F.col("n_slots")))
-    df = (part.join(users, part.slot == users.user_id, "inner")
-          .select(
-              sku(F.col("p_partkey")).alias("sku_id"),
-              F.col("views").alias("view_count"),
-              (F.col("clicks") / F.col("n_events")).alias("cart_add_rate"),
-              (F.col("purchases") / F.col("n_events")).alias("conversion_rate"),
-              (F.col("errors") / F.col("n_events")).alias("return_rate"),
-              F.lit(as_of).alias("snapshot_date")))
+            .selectExpr("p_partkey", "p_partkey % n_slots AS slot"))
+    df = part.join(users, part.slot == users.user_id, "inner").selectExpr(
+        f"{SKU.format('p_partkey')} AS sku_id",
+        "views AS view_count",
+        "clicks / n_events AS cart_add_rate",
+        "purchases / n_events AS conversion_rate",
+        "errors / n_events AS return_rate",
+        f"DATE '{as_of.isoformat()}' AS snapshot_date")
     return _conform(df, "customer_behavior")
 
 
 def promotions(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey",
                     "l_discount", "l_returnflag", "l_shipdate")
-          .filter(F.col("l_returnflag") == "A"))
-    start = F.to_date(F.col("l_shipdate"))
-    end = F.date_add(start, 30)
-    types = F.array(*[F.lit(t) for t in config.PROMO_TYPES])
-    df = li.select(
-        F.concat(F.lit("PR-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("promo_id"),
-        sku(F.col("l_partkey")).alias("sku_id"),
-        F.element_at(types, (F.col("l_linenumber") % 5 + 1).cast("int")).alias("promo_type"),
-        (F.col("l_discount") + F.lit(0.05)).alias("discount_pct"),
-        start.alias("start_date"),
-        end.alias("end_date"),
-        ((start <= F.lit(as_of)) & (F.lit(as_of) <= end)).alias("is_active"))
+          .filter("l_returnflag = 'A'"))
+    day = f"DATE '{as_of.isoformat()}'"
+    df = li.selectExpr(
+        f"{_id('PR')} AS promo_id",
+        f"{SKU.format('l_partkey')} AS sku_id",
+        f"{_pick(config.PROMO_TYPES, 'l_linenumber % 5 + 1')} AS promo_type",
+        "l_discount + 0.05D AS discount_pct",
+        "to_date(l_shipdate) AS start_date",
+        "date_add(to_date(l_shipdate), 30) AS end_date",
+        f"to_date(l_shipdate) <= {day} AND {day} <= date_add(to_date(l_shipdate), 30) AS is_active")
     return _conform(df, "promotions")
 
 
 def supplier_cost_changes(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_tax",
                     "l_returnflag", "l_shipdate")
-          .filter((F.col("l_returnflag") == "R") & (F.col("l_shipdate") <= _ntz(as_of))))
-    reasons = F.array(*[F.lit(r) for r in config.COST_REASONS])
-    df = li.select(
-        F.concat(F.lit("SC-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("event_id"),
-        sku(F.col("l_partkey")).alias("sku_id"),
-        F.concat(F.lit("SUP-"), F.lpad((F.col("l_partkey") % 30 + 1).cast("string"), 3, "0")).alias("supplier_id"),
-        (F.col("l_tax") * F.lit(2.875) - F.lit(0.08)).alias("cost_delta_pct"),
-        F.element_at(reasons, (F.col("l_linenumber") % 5 + 1).cast("int")).alias("reason"),
-        _ts("l_shipdate").alias("event_timestamp"))
+          .filter(f"l_returnflag = 'R' AND l_shipdate <= {_ntz(as_of)}"))
+    df = li.selectExpr(
+        f"{_id('SC')} AS event_id",
+        f"{SKU.format('l_partkey')} AS sku_id",
+        "concat('SUP-', lpad(CAST(l_partkey % 30 + 1 AS STRING), 3, '0')) AS supplier_id",
+        "l_tax * 2.875D - 0.08D AS cost_delta_pct",
+        f"{_pick(config.COST_REASONS, 'l_linenumber % 5 + 1')} AS reason",
+        "CAST(l_shipdate AS TIMESTAMP) AS event_timestamp")
     return _conform(df, "supplier_cost_changes")
 
 
@@ -234,18 +223,18 @@ def macro_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders", "o_orderdate", "o_totalprice",
                    "o_orderstatus", "o_orderpriority")
     weekly = (orders
-              .groupBy(F.to_date(F.date_trunc("week", F.col("o_orderdate"))).alias("signal_week"))
-              .agg(F.count(F.lit(1)).alias("n"),
+              .groupBy(F.expr("to_date(date_trunc('week', o_orderdate)) AS signal_week"))
+              .agg(F.expr("count(1) AS n"),
                    # integer cents: an exact, order-independent sum
-                   F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),
-                   F.count_if(F.col("o_orderstatus") == "O").alias("n_open"),
-                   F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent")))
-    df = weekly.select(
+                   F.expr("sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents"),
+                   F.expr("count_if(o_orderstatus = 'O') AS n_open"),
+                   F.expr("count_if(o_orderpriority = '1-URGENT') AS n_urgent")))
+    df = weekly.selectExpr(
         "signal_week",
-        (F.lit(100.0) + F.col("cents") / (F.col("n") * F.lit(2500000))).alias("ppi_steel"),
-        (F.lit(60.0) + F.lit(160.0) * F.col("n_open") / F.col("n")).alias("ppi_copper"),
-        (F.lit(70.0) + F.lit(110.0) * F.col("n_urgent") / F.col("n")).alias("ppi_pvc"),
-        F.lit(config.MACRO_SOURCE).alias("source"))
+        "100.0D + cents / (n * 2500000) AS ppi_steel",
+        "60.0D + 160.0D * n_open / n AS ppi_copper",
+        "70.0D + 110.0D * n_urgent / n AS ppi_pvc",
+        f"'{config.MACRO_SOURCE}' AS source")
     return _conform(df, "macro_signals")
 
 
@@ -266,11 +255,13 @@ class RawTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._built: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         fn = ADAPTERS.get(name)
         if fn is None:
             raise AttributeError(name)
-        if "as_of" in fn.__code__.co_varnames:
-            return fn(self.spark, self.sf_dir, self.as_of)
-        return fn(self.spark, self.sf_dir)
+        if name not in self._built:   # declare each lazy plan once
+            args = (self.as_of,) if "as_of" in fn.__code__.co_varnames else ()
+            self._built[name] = fn(self.spark, self.sf_dir, *args)
+        return self._built[name]
