@@ -5,7 +5,7 @@ No single task ever holds the whole column:
 
 1. values are pre-aggregated to (value, count) pairs (map-side combine, so a
    value shared by a third of the rows is one pair);
-2. ``percentile_approx`` (bounded memory) proposes ``buckets`` cut points; each
+2. ``percentile_approx`` (bounded memory) proposes ``buckets`` - 1 cut points; each
    pair gets the bucket of its value, so buckets are ordered value ranges;
 3. per-bucket totals (``buckets`` rows at most) give each bucket's starting
    rank, and a running count inside each bucket gives every distinct value's
@@ -22,15 +22,25 @@ from pyspark.sql import functions as F
 from ..operators.joins import materialize
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 256) -> DataFrame:
-    """Return one row per probability: (p, value)."""
+PAIRS_PER_BUCKET = 250_000
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: list[float],
+                    buckets: int | None = None) -> DataFrame:
+    """Return one row per probability: (p, value).
+
+    ``buckets`` defaults to one per ~250k distinct values (16 to 4096), so the
+    per-bucket ranking stays task-sized as the data grows.
+    """
     vals = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     # the input is evaluated once; every later step reads the checkpointed pairs
     pairs = materialize(vals.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    if buckets is None:
+        buckets = min(4096, max(16, pairs.count() // PAIRS_PER_BUCKET + 1))
     cut_probs = [i / buckets for i in range(1, buckets)]
     # cut points over distinct values: any increasing cuts give exact results,
     # these only balance the buckets
-    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 10000).alias("cuts"))  # one row
+    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 2000).alias("cuts"))  # one row
     bucketed = (pairs.crossJoin(F.broadcast(cuts))
                 .withColumn("b", F.size(F.filter(F.array_distinct("cuts"), lambda x: x < F.col("v"))))
                 .drop("cuts"))
@@ -44,9 +54,9 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
                                              .rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("from_", F.col("upto") - F.col("c")))   # ranks [from_, upto)
     n = pairs.agg(F.sum("c").alias("n"))
-    spark = df.sparkSession
-    wanted = (spark.createDataFrame([(float(p),) for p in probs], "p double")
-              .crossJoin(n)
+    # one row per requested probability, built in SQL (no Python worker)
+    prob_list = ", ".join(f"{float(p)!r}D" for p in probs)
+    wanted = (n.selectExpr("n", f"explode(array({prob_list})) AS p")
               .withColumn("pos", F.col("p") * (F.col("n") - 1))
               .withColumn("lo", F.floor("pos"))
               .withColumn("hi", F.ceil("pos")))
