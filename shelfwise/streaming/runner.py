@@ -82,6 +82,7 @@ def gold_job(spark: SparkSession, silver_dir: str, dim: DataFrame, out: str, che
 
 def refresh_mart(spark: SparkSession, gold_dir: str, out: str) -> DataFrame:
     """A7 + A8 + A3: recompute the mart from the gold table, clustered by sku_id."""
-    features = spark.read.parquet(gold_dir)
+    # additive schema evolution of the gold table (new columns) is merged
+    features = spark.read.option("mergeSchema", "true").parquet(gold_dir)
     gold.clustered(gold.feature_mart(features)).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
