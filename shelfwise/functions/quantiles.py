@@ -40,10 +40,10 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
     cut_probs = [i / buckets for i in range(1, buckets)]
     # cut points over distinct values: any increasing cuts give exact results,
     # these only balance the buckets
-    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 2000).alias("cuts"))  # one row
-    bucketed = (pairs.crossJoin(F.broadcast(cuts))
-                .withColumn("b", F.size(F.filter(F.array_distinct("cuts"), lambda x: x < F.col("v"))))
-                .drop("cuts"))
+    cuts = pairs.agg(F.array_distinct(F.percentile_approx("v", cut_probs, 2000))).scalar()
+    bucketed = (pairs.withColumn("_cuts", cuts)
+                .withColumn("b", F.size(F.filter(F.col("_cuts"), lambda x: x < F.col("v"))))
+                .drop("_cuts"))
     totals = bucketed.groupBy("b").agg(F.sum("c").alias("bucket_n"))   # <= buckets rows
     starts = totals.select(
         "b", (F.sum("bucket_n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))

@@ -116,7 +116,9 @@ def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataF
 
     ``demand`` is the output of :func:`demand_window`.
     """
-    macro = macro_trailing(macro_signals, as_of)   # exactly one row: bounded
+    # D6, the one-row PPI aggregate, attached as a scalar subquery (a struct)
+    macro = macro_trailing(macro_signals, as_of).select(
+        F.struct("ppi_steel", "ppi_copper", "ppi_pvc").alias("m")).scalar()
     dim = (catalog.select("sku_id", "product_name", "category", "subcategory", "brand",
                           "supplier_id", "unit_cost", "weight_lbs")
            .join(latest_inventory(silver_inventory), "sku_id", "left")
@@ -124,7 +126,7 @@ def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataF
            .join(customer_engagement(customer_behavior), "sku_id", "left")
            .join(best_promo(promotions), "sku_id", "left")
            .join(supplier_pressure(supplier_cost_changes, as_of), "sku_id", "left")
-           .crossJoin(F.broadcast(macro)))
+           .withColumn("_macro", macro))
     # B8 defaults (one SQL projection: a single driver round trip)
     return dim.selectExpr(
         "sku_id", "product_name", "category", "subcategory", "brand", "supplier_id",
@@ -142,9 +144,9 @@ def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataF
         "coalesce(discount_pct, 0.0D) AS discount_pct",
         "coalesce(promo_type, 'NONE') AS promo_type",
         "coalesce(cost_delta_pct, 0.0D) AS cost_delta_pct",
-        "coalesce(ppi_steel, 100.0D) AS ppi_steel",
-        "coalesce(ppi_copper, 100.0D) AS ppi_copper",
-        "coalesce(ppi_pvc, 100.0D) AS ppi_pvc",
+        "coalesce(_macro.ppi_steel, 100.0D) AS ppi_steel",
+        "coalesce(_macro.ppi_copper, 100.0D) AS ppi_copper",
+        "coalesce(_macro.ppi_pvc, 100.0D) AS ppi_pvc",
         f"round(unit_cost * {config.SHELF_MARKUP}D, 2) AS current_price")
 
 

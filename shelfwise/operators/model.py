@@ -71,9 +71,10 @@ def regression_metrics(df: DataFrame, label: str = "optimal_price",
         F.sum((y - yhat) * (y - yhat)).alias("sse"),
         F.avg(y).alias("mean_y"),
         F.avg(F.abs((y - yhat) / F.greatest(y, F.lit(0.01)))).alias("mape_frac"))
-    sst = (df.crossJoin(F.broadcast(stats.select("mean_y")))   # one-row broadcast
-           .agg(F.sum((y - F.col("mean_y")) * (y - F.col("mean_y"))).alias("sst")))
-    return stats.crossJoin(sst).select(
+    # two-pass total sum of squares; the mean arrives as a scalar subquery
+    centered = df.withColumn("_dev", y - df.agg(F.avg(y)).scalar())
+    sst = centered.agg(F.sum(F.col("_dev") * F.col("_dev"))).scalar()
+    return stats.withColumn("sst", sst).select(
         "n",
         F.round("mae", 6).alias("mae"),
         F.round(F.lit(1.0) - pricing.safe_ratio("sse", "sst"), 6).alias("r2"),

@@ -38,6 +38,8 @@ def target_summary(labelled: DataFrame, label: str = "optimal_price") -> DataFra
         F.round(F.min(label), 2).alias("min"),
         F.round(F.max(label), 2).alias("max"))
     q = exact_quantiles(labelled, label, QUARTILES)
-    wide = q.agg(*[F.round(F.max(F.when(F.col("p") == p, F.col("value"))), 2).alias(name)
-                   for p, name in zip(QUARTILES, ["p25", "p50", "p75"])])
-    return basic.crossJoin(wide).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    quartiles = q.agg(F.struct(*[
+        F.round(F.max(F.when(F.col("p") == p, F.col("value"))), 2).alias(name)
+        for p, name in zip(QUARTILES, ["p25", "p50", "p75"])])).scalar()
+    return (basic.withColumn("_q", quartiles)
+            .select("count", "mean", "std", "min", "_q.p25", "_q.p50", "_q.p75", "max"))

@@ -173,12 +173,11 @@ def customer_behavior(spark: SparkSession, sf_dir: str, as_of: dt.date = config.
         F.expr("count_if(event_type = 'purchase') AS purchases"),
         F.expr("count_if(event_type = 'error') AS errors"),
         F.expr("count(1) AS n_events"))
-    # one-row aggregate; cross-joining a single row is a bounded broadcast
-    n_users = users.selectExpr("max(user_id) + 1 AS n_slots")
+    # number of user slots: a scalar subquery over the (one-row) aggregate
+    n_slots = users.selectExpr("max(user_id) + 1 AS n_slots").scalar()
     part = (_read(spark, sf_dir, "part", "p_partkey")
             .filter("p_partkey % 10 <> 3")
-            .crossJoin(n_users)
-            .selectExpr("p_partkey", "p_partkey % n_slots AS slot"))
+            .select("p_partkey", (F.col("p_partkey") % n_slots).alias("slot")))
     df = part.join(users, part.slot == users.user_id, "inner").selectExpr(
         f"{SKU.format('p_partkey')} AS sku_id",
         "views AS view_count",
