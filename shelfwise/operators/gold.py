@@ -225,5 +225,9 @@ def feature_mart_batch(silver_prices: DataFrame, dim: DataFrame,
 
 
 def clustered(df: DataFrame, key: str = "sku_id") -> DataFrame:
-    """Range-partition and sort by key before a write (min/max skipping)."""
+    """Range-partition and sort by key before a write (min/max skipping).
+
+    Meant for tables with one row per key (mart, recommendations): range
+    partitioning cannot split rows that share a key.
+    """
     return df.repartitionByRange(key).sortWithinPartitions(key)
