@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config
 from ..operators import gold, model, profile, recommend, target
 from ..session import run_dir
 from ..sources import tables
@@ -25,9 +24,10 @@ _PIPELINES: dict[tuple[int, str], PricingPipeline] = {}
 def _p(spark: SparkSession, sf_dir: str) -> PricingPipeline:
     """The declared (lazy) pipeline for a session and directory.
 
-    Declaring the ~300 DataFrame operations costs seconds of driver round
-    trips, so each session declares them once and every query reuses the
-    plans.  Only plans are shared; each query still executes on its own.
+    Declaring the pipeline's DataFrame operations costs seconds of driver
+    round trips, so each session declares them once and every query reuses
+    the plans.  A run also writes its SKU-sized demand and dimension tables
+    once (see ``PricingPipeline``); everything else executes per query.
     """
     key = (id(spark), sf_dir)
     cached = _PIPELINES.get(key)
@@ -278,4 +278,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Queries whose values depend on a fitted model: checked by rows only.
 NO_ORACLE = {"gbt_score_compare", "gbt_metrics", "gbt_score_summary"}
 
-__all__ = ["QUERIES", "NO_ORACLE", "config"]
+__all__ = ["QUERIES", "NO_ORACLE"]
