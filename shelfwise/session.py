@@ -60,7 +60,7 @@ def _is_local(spark: SparkSession) -> bool:
     try:
         return spark.sparkContext.master.startswith("local")
     except Exception:  # Spark Connect has no SparkContext
-        return False
+        return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -84,7 +84,10 @@ def shared_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/S3/ABFS) before running the pipeline on a cluster")
     base = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.sparkContext.setCheckpointDir(base)
+    try:
+        spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # Spark Connect: the runtime setting is all we have
+        pass
     spark.conf.set("spark.checkpoint.dir", base)
     return base
 
