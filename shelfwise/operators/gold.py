@@ -4,9 +4,9 @@ Plan shape.  The feature row joins each silver price event to seven SKU-level
 inputs.  All of them have at most one row per SKU, so they are first joined to
 the product catalog into ONE SKU dimension (``sku_dimension``): those joins run
 between SKU-sized, already sku-partitioned aggregates, and the large event
-side meets a single dimension in a single join — broadcast when the
-materialised dimension is checked to be small, a shuffle join (with AQE skew
-splitting) otherwise.  The result is identical to joining the event side seven
+side meets a single dimension in a single join — broadcast when AQE measures
+the written dimension as small, a shuffle join with AQE skew splitting
+otherwise.  The result is identical to joining the event side seven
 times, because every right side is unique per SKU (a duplicate would fan out
 the same way in both forms).
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import pricing
 from .bronze import stamp, ts_literal
-from .joins import fits_broadcast, join_dimension, materialize
+from .joins import join_dimension
 
 DOUBLE_AVG_SCALE = 6   # averages of doubles are kept to 6 decimals (engine-independent)
 
@@ -168,16 +168,6 @@ def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.dateti
         stamp(run_ts).alias("_updated_at"))
 
 
-def materialized_dimension(dim: DataFrame) -> tuple[DataFrame, bool]:
-    """Checkpoint the SKU dimension once per run and size-check it.
-
-    A streaming query re-reads its static side every micro-batch; reading the
-    checkpoint instead of re-running six aggregations keeps batches cheap.
-    """
-    dim = materialize(dim)
-    return dim, fits_broadcast(dim)
-
-
 # --- F3: the mart -----------------------------------------------------------------
 def mart_order():
     return [F.col("source_event_timestamp").desc(), F.col("_updated_at").desc(),

@@ -230,7 +230,7 @@ def _gold_stream(spark, sf_dir) -> str:
 
 def stream_gold(spark, sf_dir):
     """Silver directory -> gold streaming table (stream x static dimension)."""
-    return spark.read.parquet(f"{_gold_stream(spark, sf_dir)}/gold")
+    return runner.read_table(spark, f"{_gold_stream(spark, sf_dir)}/gold")
 
 
 def stream_feature_mart(spark, sf_dir):

@@ -95,5 +95,5 @@ def run_all(spark: SparkSession, raw: RawTables, root: str,
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return runner.read_table(spark, path)
 

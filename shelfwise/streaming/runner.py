@@ -6,10 +6,15 @@ append mode (I4) with a bounded ``availableNow`` trigger (A5): each run
 processes whatever is pending and stops, and a rerun with the same
 checkpoint resumes exactly where the previous one ended.
 
-The static sides of stream-static joins (catalog, sales velocity, the SKU
-dimension) are materialised once per run into the shared checkpoint folder and
-size-checked before any broadcast; every micro-batch then reads the
-materialised copy.
+Silver streams: the static sides of their stream-static joins (catalog, sales
+velocity) are materialised once per run into the shared checkpoint folder and
+size-checked before any broadcast (AQE is off inside streaming plans).
+
+Gold stream: each micro-batch is handed to ``foreachBatch`` and joined to the
+run's written SKU dimension as a *batch* query, so AQE measures the dimension
+and broadcasts it or splits hot SKUs, as in batch.  Every micro-batch is
+written to its own ``batch-<id>`` folder with overwrite, so a replayed batch
+replaces its own output (exactly-once effect); ``read_table`` reads them all.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators import bronze, gold, silver
-from ..operators.joins import fits_broadcast, materialize
+from ..operators.joins import fits_broadcast, materialize, write_and_read
 from ..sources import schemas
 
 
@@ -48,6 +53,26 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, name: str | Non
         raise RuntimeError(f"stream {name or path} failed: {err}")
 
 
+def run_foreach_batch(df: DataFrame, handle, checkpoint: str, name: str | None = None) -> None:
+    """A5 with a per-micro-batch handler ``handle(batch_df, batch_id)``."""
+    writer = (df.writeStream.foreachBatch(handle)
+              .option("checkpointLocation", checkpoint)
+              .trigger(availableNow=True))
+    if name:
+        writer = writer.queryName(name)
+    query = writer.start()
+    query.awaitTermination()
+    err = query.exception()
+    if err is not None:
+        raise RuntimeError(f"stream {name or checkpoint} failed: {err}")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Batch read of a sink folder (flat, or one sub-folder per micro-batch)."""
+    return (spark.read.option("recursiveFileLookup", "true")
+            .option("mergeSchema", "true").parquet(path))
+
+
 def bronze_job(spark: SparkSession, landing: str, table: str, out: str, checkpoint: str,
                run_ts: dt.datetime | None = None) -> None:
     """Raw landing directory -> bronze (B1 metadata)."""
@@ -73,16 +98,24 @@ def silver_inventory_job(spark: SparkSession, bronze_dir: str, velocity: DataFra
 
 def gold_job(spark: SparkSession, silver_dir: str, dim: DataFrame, out: str, checkpoint: str,
              run_ts: dt.datetime | None = None) -> None:
-    """The gold streaming table: silver price stream x SKU dimension."""
+    """The gold streaming table: silver price stream x SKU dimension.
+
+    The dimension is written once per run; each micro-batch joins it as a
+    batch query (AQE on) and lands in ``out/batch-<id>``.
+    """
     stream = read_stream(spark, silver_dir, schemas.SILVER_PRICES)
-    dim, small = gold.materialized_dimension(dim)
-    run_available_now(gold.pricing_features(stream, dim, run_ts, dim_small=small),
-                      out, checkpoint, "gold_pricing_features")
+    dim = write_and_read(dim, "gold_dimension")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        features = gold.pricing_features(batch, dim, run_ts)
+        features.write.mode("overwrite").parquet(f"{out}/batch-{batch_id:012d}")
+
+    run_foreach_batch(stream, write_batch, checkpoint, "gold_pricing_features")
 
 
 def refresh_mart(spark: SparkSession, gold_dir: str, out: str) -> DataFrame:
     """A7 + A8 + A3: recompute the mart from the gold table, clustered by sku_id."""
     # additive schema evolution of the gold table (new columns) is merged
-    features = spark.read.option("mergeSchema", "true").parquet(gold_dir)
+    features = read_table(spark, gold_dir)
     gold.clustered(gold.feature_mart(features)).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)

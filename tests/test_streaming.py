@@ -87,11 +87,11 @@ def test_gold_stream_is_incremental(spark, sf_small):
     late = silver.filter(F.col("event_timestamp") >= cutoff)
     early.write.parquet(f"{base}/silver")
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
-    n1 = spark.read.parquet(f"{base}/gold").count()
+    n1 = runner.read_table(spark, f"{base}/gold").count()
     assert n1 == early.count()
     late.write.mode("append").parquet(f"{base}/silver")
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
-    assert spark.read.parquet(f"{base}/gold").count() == silver.count()
+    assert runner.read_table(spark, f"{base}/gold").count() == silver.count()
     mart = runner.refresh_mart(spark, f"{base}/gold", f"{base}/mart")
     cols = p.feature_mart.columns
     assert _rows(mart, cols) == _rows(p.feature_mart, cols)
