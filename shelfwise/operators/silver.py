@@ -68,14 +68,14 @@ def catalog_lookup(catalog: DataFrame) -> DataFrame:
     return catalog.select(*CATALOG_COLUMNS)
 
 
-def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None,
-                  catalog_small: bool | None = None) -> DataFrame:
-    """Bronze prices -> silver prices (validate, dedup, enrich, stamp).
+def dedup_prices(bronze: DataFrame) -> DataFrame:
+    """C1 + C2, then I1 + I2: valid price events, one per key."""
+    return deduplicate(valid_prices(bronze), PRICE_KEYS, PRICE_TIEBREAK)
 
-    D1: inner join with the catalog drops unknown SKUs; the catalog is
-    broadcast only after a size check.
-    """
-    deduped = deduplicate(valid_prices(bronze), PRICE_KEYS, PRICE_TIEBREAK)
+
+def enrich_prices(deduped: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None,
+                  catalog_small: bool | None = None) -> DataFrame:
+    """D1 + B2 + B5: inner join with the catalog (unknown SKUs dropped), stamps."""
     enriched = join_dimension(deduped, catalog_lookup(catalog), "sku_id", "inner", catalog_small)
     return enriched.withColumns({
         "_validated_at": stamp(run_ts),
@@ -83,6 +83,12 @@ def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | N
     })
 
 
+def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None,
+                  catalog_small: bool | None = None) -> DataFrame:
+    """Bronze prices -> silver prices (validate, dedup, enrich, stamp)."""
+    return enrich_prices(dedup_prices(bronze), catalog, run_ts, catalog_small)
+
+
 def sales_velocity(daily_sales: DataFrame, as_of: dt.date, days: int = config.DEMAND_LONG_DAYS) -> DataFrame:
     """Mean units per stored sales row over [as_of - days, as_of].
 
@@ -95,16 +101,23 @@ def sales_velocity(daily_sales: DataFrame, as_of: dt.date, days: int = config.DE
             .agg(F.avg("units_sold").alias("avg_daily_units")))
 
 
-def silver_inventory(bronze: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
-                     velocity_small: bool | None = None) -> DataFrame:
-    """Bronze inventory -> silver inventory (validate, dedup, velocity, DoS).
+def dedup_inventory(bronze: DataFrame) -> DataFrame:
+    """C1 + C2, then I1 + I2: valid inventory events, one per key."""
+    return deduplicate(valid_inventory(bronze), INVENTORY_KEYS, INVENTORY_TIEBREAK)
 
-    D2: left join with per-SKU sales velocity; B9 days of supply; B10 copy.
-    """
-    deduped = deduplicate(valid_inventory(bronze), INVENTORY_KEYS, INVENTORY_TIEBREAK)
+
+def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
+                     velocity_small: bool | None = None) -> DataFrame:
+    """D2 + B9 + B10 + B2: left join with per-SKU velocity, days of supply."""
     joined = join_dimension(deduped, velocity, "sku_id", "left", velocity_small)
     return joined.withColumns({
         "days_of_supply": pricing.days_of_supply("stock_after", "avg_daily_units"),
         "current_stock": F.col("stock_after"),
         "_validated_at": stamp(run_ts),
     })
+
+
+def silver_inventory(bronze: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
+                     velocity_small: bool | None = None) -> DataFrame:
+    """Bronze inventory -> silver inventory (validate, dedup, velocity, DoS)."""
+    return enrich_inventory(dedup_inventory(bronze), velocity, run_ts, velocity_small)

@@ -205,7 +205,7 @@ def stream_bronze_silver_prices(spark, sf_dir):
                       f"{base}/_chk/bronze", p.run_ts)
     runner.silver_prices_job(spark, f"{base}/bronze", p.raw.product_catalog, f"{base}/silver",
                              f"{base}/_chk/silver", p.run_ts)
-    return spark.read.parquet(f"{base}/silver").select(*SILVER_PRICE_STREAM_COLS)
+    return runner.read_table(spark, f"{base}/silver").select(*SILVER_PRICE_STREAM_COLS)
 
 
 def stream_silver_inventory(spark, sf_dir):
@@ -216,13 +216,13 @@ def stream_silver_inventory(spark, sf_dir):
                       f"{base}/_chk/bronze", p.run_ts)
     runner.silver_inventory_job(spark, f"{base}/bronze", p.velocity, f"{base}/silver",
                                 f"{base}/_chk/silver", p.run_ts)
-    return spark.read.parquet(f"{base}/silver").select(*SILVER_INVENTORY_STREAM_COLS)
+    return runner.read_table(spark, f"{base}/silver").select(*SILVER_INVENTORY_STREAM_COLS)
 
 
 def _gold_stream(spark, sf_dir) -> str:
     p = _p(spark, sf_dir)
     base = run_dir(spark, "gold")
-    p.silver_prices.write.parquet(f"{base}/silver")
+    p.silver_prices.write.parquet(runner.batch_folder(f"{base}/silver", 0))
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/_chk/gold",
                     p.run_ts)
     return base

@@ -76,7 +76,7 @@ def run_all(spark: SparkSession, raw: RawTables, root: str,
     runner.silver_inventory_job(spark, out.bronze_inventory, demand.select("sku_id", "avg_daily_units"),
                                 out.silver_inventory, f"{chk}/silver_inventory", run_ts)
     # 03 · gold streaming table over the silver price stream
-    dim = gold.sku_dimension(raw.product_catalog, spark.read.parquet(out.silver_inventory), demand,
+    dim = gold.sku_dimension(raw.product_catalog, runner.read_table(spark, out.silver_inventory), demand,
                              raw.customer_behavior, raw.promotions, raw.supplier_cost_changes,
                              raw.macro_signals, raw.as_of)
     runner.gold_job(spark, out.silver_prices, dim, out.gold_features, f"{chk}/gold", run_ts)

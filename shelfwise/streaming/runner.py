@@ -6,15 +6,15 @@ append mode (I4) with a bounded ``availableNow`` trigger (A5): each run
 processes whatever is pending and stops, and a rerun with the same
 checkpoint resumes exactly where the previous one ended.
 
-Silver streams: the static sides of their stream-static joins (catalog, sales
-velocity) are materialised once per run into the shared checkpoint folder and
-size-checked before any broadcast (AQE is off inside streaming plans).
-
-Gold stream: each micro-batch is handed to ``foreachBatch`` and joined to the
-run's written SKU dimension as a *batch* query, so AQE measures the dimension
-and broadcasts it or splits hot SKUs, as in batch.  Every micro-batch is
-written to its own ``batch-<id>`` folder with overwrite, so a replayed batch
-replaces its own output (exactly-once effect); ``read_table`` reads them all.
+Silver and gold streams keep their stateful part (watermark dedup) inside the
+streaming plan and hand each micro-batch to ``foreachBatch``, where the join
+with the run's static side (catalog, sales velocity, SKU dimension — each
+written once per run to the shared folder) runs as a *batch* query: AQE
+measures the static side and broadcasts it or splits hot SKUs, as in batch
+(AQE is off inside streaming plans).  Every micro-batch is written to its own
+``batch-<id>`` folder with overwrite, so a replayed batch replaces its own
+output (exactly-once effect); downstream streams read ``<table>/batch-*`` and
+batch readers use ``read_table``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators import bronze, gold, silver
-from ..operators.joins import fits_broadcast, materialize, write_and_read
+from ..operators.joins import write_and_read
 from ..sources import schemas
 
 
@@ -34,9 +34,17 @@ def land(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A1: unbounded read of an append-only Parquet directory."""
-    return spark.readStream.schema(schema).parquet(path)
+BATCHES = "batch-*"
+
+
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, batches: bool = False) -> DataFrame:
+    """A1: unbounded read of an append-only Parquet directory (or of the
+    per-micro-batch folders of a foreachBatch table)."""
+    return spark.readStream.schema(schema).parquet(f"{path}/{BATCHES}" if batches else path)
+
+
+def batch_folder(out: str, batch_id: int) -> str:
+    return f"{out}/batch-{batch_id:012d}"
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> None:
@@ -82,18 +90,30 @@ def bronze_job(spark: SparkSession, landing: str, table: str, out: str, checkpoi
 
 def silver_prices_job(spark: SparkSession, bronze_dir: str, catalog: DataFrame, out: str,
                       checkpoint: str, run_ts: dt.datetime | None = None) -> None:
+    """Bronze prices -> silver prices: dedup state in the stream, catalog join
+    per micro-batch under AQE."""
     stream = read_stream(spark, bronze_dir, schemas.bronze_schema(schemas.COMPETITOR_PRICES))
-    lookup = materialize(silver.catalog_lookup(catalog))
-    df = silver.silver_prices(stream, lookup, run_ts, catalog_small=fits_broadcast(lookup))
-    run_available_now(df, out, checkpoint, "silver_competitor_prices")
+    lookup = write_and_read(silver.catalog_lookup(catalog), "catalog_lookup")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        silver.enrich_prices(batch, lookup, run_ts).write.mode("overwrite").parquet(
+            batch_folder(out, batch_id))
+
+    run_foreach_batch(silver.dedup_prices(stream), write_batch, checkpoint, "silver_competitor_prices")
 
 
 def silver_inventory_job(spark: SparkSession, bronze_dir: str, velocity: DataFrame, out: str,
                          checkpoint: str, run_ts: dt.datetime | None = None) -> None:
+    """Bronze inventory -> silver inventory: dedup state in the stream,
+    velocity join per micro-batch under AQE."""
     stream = read_stream(spark, bronze_dir, schemas.bronze_schema(schemas.INVENTORY_EVENTS))
-    velocity = materialize(velocity)
-    df = silver.silver_inventory(stream, velocity, run_ts, velocity_small=fits_broadcast(velocity))
-    run_available_now(df, out, checkpoint, "silver_inventory")
+    velocity = write_and_read(velocity, "sales_velocity")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        silver.enrich_inventory(batch, velocity, run_ts).write.mode("overwrite").parquet(
+            batch_folder(out, batch_id))
+
+    run_foreach_batch(silver.dedup_inventory(stream), write_batch, checkpoint, "silver_inventory")
 
 
 def gold_job(spark: SparkSession, silver_dir: str, dim: DataFrame, out: str, checkpoint: str,
@@ -103,12 +123,12 @@ def gold_job(spark: SparkSession, silver_dir: str, dim: DataFrame, out: str, che
     The dimension is written once per run; each micro-batch joins it as a
     batch query (AQE on) and lands in ``out/batch-<id>``.
     """
-    stream = read_stream(spark, silver_dir, schemas.SILVER_PRICES)
+    stream = read_stream(spark, silver_dir, schemas.SILVER_PRICES, batches=True)
     dim = write_and_read(dim, "gold_dimension")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        features = gold.pricing_features(batch, dim, run_ts)
-        features.write.mode("overwrite").parquet(f"{out}/batch-{batch_id:012d}")
+        gold.pricing_features(batch, dim, run_ts).write.mode("overwrite").parquet(
+            batch_folder(out, batch_id))
 
     run_foreach_batch(stream, write_batch, checkpoint, "gold_pricing_features")
 

@@ -34,16 +34,16 @@ def test_late_data_two_runs(spark):
     # run 1: 10:00 twice, 8:00, NULL
     _bronze_rows(spark, [_t(10), _t(10), _t(8), None], "a").write.parquet(f"{base}/bronze")
     runner.silver_prices_job(spark, f"{base}/bronze", catalog, f"{base}/silver", f"{base}/chk")
-    got1 = sorted(r[0] for r in spark.read.parquet(f"{base}/silver").select("event_timestamp").collect())
+    got1 = sorted(r[0] for r in runner.read_table(spark, f"{base}/silver").select("event_timestamp").collect())
     assert got1 == [_t(8), _t(10)]
     # run 2, same checkpoint: 8:00 late, 9:45 new, 10:00 duplicate, 12:00 new
     _bronze_rows(spark, [_t(8), _t(9, 45), _t(10), _t(12)], "b").write.mode("append").parquet(f"{base}/bronze")
     runner.silver_prices_job(spark, f"{base}/bronze", catalog, f"{base}/silver", f"{base}/chk")
-    got2 = sorted(r[0] for r in spark.read.parquet(f"{base}/silver").select("event_timestamp").collect())
+    got2 = sorted(r[0] for r in runner.read_table(spark, f"{base}/silver").select("event_timestamp").collect())
     assert got2 == [_t(8), _t(9, 45), _t(10), _t(12)]
     # a third run with nothing new appends nothing (exactly-once resume)
     runner.silver_prices_job(spark, f"{base}/bronze", catalog, f"{base}/silver", f"{base}/chk")
-    assert spark.read.parquet(f"{base}/silver").count() == 4
+    assert runner.read_table(spark, f"{base}/silver").count() == 4
     assert os.path.isdir(f"{base}/chk/commits")
 
 
@@ -85,11 +85,11 @@ def test_gold_stream_is_incremental(spark, sf_small):
     cutoff = "1998-01-01"
     early = silver.filter(F.col("event_timestamp") < cutoff)
     late = silver.filter(F.col("event_timestamp") >= cutoff)
-    early.write.parquet(f"{base}/silver")
+    early.write.parquet(runner.batch_folder(f"{base}/silver", 0))
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
     n1 = runner.read_table(spark, f"{base}/gold").count()
     assert n1 == early.count()
-    late.write.mode("append").parquet(f"{base}/silver")
+    late.write.parquet(runner.batch_folder(f"{base}/silver", 1))
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/chk", p.run_ts)
     assert runner.read_table(spark, f"{base}/gold").count() == silver.count()
     mart = runner.refresh_mart(spark, f"{base}/gold", f"{base}/mart")
