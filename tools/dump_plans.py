@@ -35,7 +35,16 @@ def summarize(text: str) -> str:
         if "Scan parquet" in head:
             keep.append("\n".join(line for line in block.strip().splitlines()
                                   if line.startswith(("(", "PushedFilters", "ReadSchema", "Location"))))
-    return tree.strip() + "\n\n" + "\n\n".join(keep)
+    subqueries = []
+    if "===== Subqueries =====" in text:
+        for block in text.split("===== Subqueries =====", 1)[1].split("\n\n"):
+            lines = block.strip().splitlines()
+            if lines and lines[0].startswith("Subquery:"):
+                subqueries.append("\n".join(lines))
+    out = tree.strip() + "\n\n" + "\n\n".join(keep)
+    if subqueries:
+        out += "\n\n===== Subqueries (trees) =====\n\n" + "\n\n".join(subqueries)
+    return out
 
 
 def main() -> None:
