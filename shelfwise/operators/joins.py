@@ -7,10 +7,13 @@ above that the join stays a sort-merge join whose hot-SKU partitions AQE
 splits (``spark.sql.adaptive.skewJoin.enabled``) — possible because both
 sides are plain shuffles.
 
-Streams (AQE is off inside micro-batches): the dimension is checkpointed once
-per run and broadcast only after its row count times a per-row width from its
-schema fits under ``shelfwise.broadcast.maxBytes`` (default 64 MiB); above
-that the micro-batches shuffle-join it.
+Streams: the pipeline's own streams join per micro-batch inside
+``foreachBatch``, where AQE is on (see ``streaming.runner``).  A streaming
+fact joined inside a streaming plan, where AQE is off, goes through
+``join_dimension``: the static side is counted and broadcast only when its row
+count times a per-row width from its schema fits under
+``shelfwise.broadcast.maxBytes`` (default 64 MiB); above that the
+micro-batches shuffle-join it.
 """
 
 from __future__ import annotations
