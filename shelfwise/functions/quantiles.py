@@ -5,8 +5,9 @@ No single task ever holds the whole column:
 
 1. values are pre-aggregated to (value, count) pairs (map-side combine, so a
    value shared by a third of the rows is one pair);
-2. ``percentile_approx`` (bounded memory) proposes ``buckets`` - 1 cut points; each
-   pair gets the bucket of its value, so buckets are ordered value ranges;
+2. ``percentile_approx`` (bounded memory) proposes ``buckets`` - 1 cut points
+   (at most 4095 values, read on the driver); ``Bucketizer`` gives each pair
+   the bucket of its value, so buckets are ordered value ranges;
 3. per-bucket totals (``buckets`` rows at most) give each bucket's starting
    rank, and a running count inside each bucket gives every distinct value's
    rank interval;
@@ -16,6 +17,7 @@ No single task ever holds the whole column:
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +42,12 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
     cut_probs = [i / buckets for i in range(1, buckets)]
     # cut points over distinct values: any increasing cuts give exact results,
     # these only balance the buckets
-    cuts = pairs.agg(F.array_distinct(F.percentile_approx("v", cut_probs, 2000))).scalar()
-    bucketed = (pairs.withColumn("_cuts", cuts)
-                .withColumn("b", F.size(F.filter(F.col("_cuts"), lambda x: x < F.col("v"))))
-                .drop("_cuts"))
+    # at most 4095 cut points reach the driver (bounded by the bucket count,
+    # not the data); Bucketizer binary-searches them on the executors
+    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 2000)).first()[0] or []
+    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+    bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="bf").transform(pairs)
+                .withColumn("b", F.col("bf").cast("int")).drop("bf"))
     totals = bucketed.groupBy("b").agg(F.sum("c").alias("bucket_n"))   # <= buckets rows
     starts = totals.select(
         "b", (F.sum("bucket_n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))

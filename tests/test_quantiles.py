@@ -25,3 +25,12 @@ def test_matches_pandas(spark, case):
     want = pd.Series(vals).quantile(PROBS)
     for p in PROBS:
         assert got[p] == pytest.approx(want[p], abs=1e-9), p
+
+
+def test_default_bucket_count_matches_pandas(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(200_000).select((F.col("id") * 7 % 100_003 / 3.0).alias("x"))
+    got = {r.p: r.value for r in exact_quantiles(df, "x", PROBS).collect()}
+    want = df.toPandas()["x"].quantile(PROBS)
+    for p in PROBS:
+        assert got[p] == pytest.approx(want[p], abs=1e-9), p
