@@ -34,3 +34,11 @@ def test_default_bucket_count_matches_pandas(spark):
     want = df.toPandas()["x"].quantile(PROBS)
     for p in PROBS:
         assert got[p] == pytest.approx(want[p], abs=1e-9), p
+
+
+def test_constant_and_empty_columns(spark):
+    const = spark.createDataFrame(pd.DataFrame({"x": np.full(500, 7.25)}))
+    got = {r.p: r.value for r in exact_quantiles(const, "x", PROBS).collect()}
+    assert all(v == 7.25 for v in got.values()) and set(got) == set(PROBS)
+    empty = spark.createDataFrame([], "x double")
+    assert exact_quantiles(empty, "x", PROBS).count() == 0
