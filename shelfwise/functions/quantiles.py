@@ -45,7 +45,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
     # at most 4095 cut points reach the driver (bounded by the bucket count,
     # not the data); Bucketizer binary-searches them on the executors
     cuts = pairs.agg(F.percentile_approx("v", cut_probs, 2000)).first()[0] or []
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+    inner = sorted(set(float(c) for c in cuts)) or [0.0]   # empty input: any one cut
+    splits = [float("-inf")] + inner + [float("inf")]
     bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="bf").transform(pairs)
                 .withColumn("b", F.col("bf").cast("int")).drop("bf"))
     totals = bucketed.groupBy("b").agg(F.sum("c").alias("bucket_n"))   # <= buckets rows
