@@ -173,8 +173,8 @@ def learn_cutoffs(judged: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
         np.add.at(good, rows["hits"].to_numpy(), rows["good"].to_numpy())
         np.add.at(bad, rows["hits"].to_numpy(), rows["bad"].to_numpy())
         out = pd.DataFrame({"cutoff": cuts, "good": good.sum(), "bad": bad.sum(),
-                            # the text passes cutoff i when it hits at least i + 1 of them
-                            "good_dropped": good[::-1].cumsum()[::-1][1:], "bad_dropped": bad[::-1].cumsum()[::-1][1:]})
+                            # a text that hits h cutoffs hits the h strictest
+                            "good_dropped": good[::-1].cumsum()[:-1], "bad_dropped": bad[::-1].cumsum()[:-1]})
         out = certified_cutoffs(out, share, level)
         out.insert(0, "rule", key[1])
         out.insert(0, "stratum", key[0])
