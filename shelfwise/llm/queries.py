@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, quality
+from . import common, quality, toxicity
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_table(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
 }
 
