@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, quality, toxicity
+from . import bpe, common, quality, toxicity
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +16,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_table(common.table(spark, sf_dir, "documents"),
+                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op5_byte_bpe": op5_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
 }
 

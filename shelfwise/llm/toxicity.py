@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 The examples are a bounded sample of the labelled rows (``MAX_EXAMPLES``), one
-per near-equal text.  Their words, and word beginnings of four bytes (written
+per near-equal text.  Their words, and word beginnings of STEMS bytes (written
 ``abcd*``), are the candidates for the TF-IDF space: the ``MAX_TERMS`` most associated with the label, each in at least
 ``MIN_SUPPORT`` of the toxic examples.  Inverse document frequencies are
 counted over all documents.  Every whole text becomes a unit TF-IDF vector; an
@@ -9,7 +9,8 @@ inverted index of the examples, cut into blocks with the largest weight of
 each term per block, finds the ``K`` examples of highest cosine exactly:
 blocks are visited by falling upper bound and the search ends when no block
 can hold a better example.  The neighbours vote with weight
-``1 / (EPSILON + 1 - cosine)``; isotonic regression over leave-one-out votes of
+``1 / (EPSILON + 1 - cosine)``, against ``K`` clean votes at cosine PRIOR so
+that far neighbours count for little; isotonic regression over leave-one-out votes of
 the examples turns the share into a probability.  The index is bounded by its
 parameters and goes to every task; scoring shuffles no text.
 
@@ -34,11 +35,14 @@ from pyspark.sql import types as T
 from . import common
 
 MAX_EXAMPLES = 8192
-MAX_TERMS = 256
+MAX_TERMS = 512
+#: lengths in bytes of word beginnings
+STEMS = range(4, 9)
 #: share of toxic examples that must hold a term, and the least number of them
 MIN_SUPPORT, MIN_EXAMPLES = 0.02, 3
-MIN_CHI2 = 25.0
-K, EPSILON, BLOCK = 25, 0.05, 64
+#: association a term must show: chi-square, and ratio of its rates in both classes
+MIN_CHI2, MIN_RATIO = 30.0, 20.0
+K, EPSILON, PRIOR, BLOCK = 25, 0.05, 0.25, 64
 THRESHOLD = 0.3
 
 #: ASCII letters in lower case; digits and bytes above 127 stay; all else separates
@@ -50,9 +54,9 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-def stems(tokens: list[bytes]) -> list[bytes]:
-    """Word beginnings, as keys without the closing star."""
-    return [t[:4] for t in tokens if len(t) >= 4]
+def stems(tokens: list[bytes], size: int) -> list[bytes]:
+    """Word beginnings of ``size`` bytes, as keys without the closing star."""
+    return [t[:size] for t in tokens if len(t) >= size]
 
 
 def sketch(tokens: list[bytes], size: int = 5) -> int:
@@ -127,11 +131,10 @@ class Model:
     def counts(self, text: str | None) -> dict[int, int]:
         found: dict[int, int] = {}
         tokens = words(text)
-        for keys, known in ((tokens, self.words), (stems(tokens), self.stems)):
-            if known:
-                for t in map(known.get, keys):
-                    if t is not None:
-                        found[t] = found.get(t, 0) + 1
+        for keys, known in ((tokens, self.words), *((stems(tokens, n), t) for n, t in self.stems.items())):
+            for t in map(known.get, keys):
+                if t is not None:
+                    found[t] = found.get(t, 0) + 1
         return found
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +146,7 @@ class Model:
             return None, []
         w = np.array([1 / (EPSILON + 1 - min(1.0, s)) for s, _ in near])
         y = self.labels[[e for _, e in near]]
-        return float((w * y).sum() / w.sum()), near
+        return float((w * y).sum() / (w.sum() + K / (EPSILON + 1 - PRIOR))), near
 
     def score(self, text: str | None):
         counts = self.counts(text)
@@ -152,10 +155,13 @@ class Model:
         return p, near, counts
 
 
-def lookups(terms: list[bytes]) -> tuple[dict[bytes, int], dict[bytes, int]]:
-    """Numbers of the terms that are words, and of those that are beginnings."""
-    return ({t: i for i, t in enumerate(terms) if not t.endswith(b"*")},
-            {t[:-1]: i for i, t in enumerate(terms) if t.endswith(b"*")})
+def lookups(terms: list[bytes]) -> tuple[dict[bytes, int], dict[int, dict[bytes, int]]]:
+    """Numbers of the terms that are words, and of the beginnings by length."""
+    begun: dict[int, dict[bytes, int]] = {}
+    for i, t in enumerate(terms):
+        if t.endswith(b"*"):
+            begun.setdefault(len(t) - 1, {})[t[:-1]] = i
+    return {t: i for i, t in enumerate(terms) if not t.endswith(b"*")}, begun
 
 
 def unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +206,7 @@ def _example_terms(batches):
         for i, y, text in zip(rows["id"], rows["label"], rows["text"], strict=True):
             tokens = words(text)
             tf: dict[bytes, int] = {}
-            for t in [*tokens, *(t + b"*" for t in stems(tokens))]:
+            for t in [*tokens, *(t + b"*" for n in STEMS for t in stems(tokens, n))]:
                 tf[t] = tf.get(t, 0) + 1
             out.append((i, y, sketch(tokens), list(tf), list(tf.values())))
         yield pd.DataFrame(out, columns=["id", "label", "sketch", "terms", "tfs"])
@@ -214,7 +220,7 @@ def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]
     chi2 = n * F.pow(a * n0 - b * n1, 2) / ((a + b) * (n - a - b) * n1 * n0)
     chosen = (bags.select("label", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-              .where((F.col("a") >= max(MIN_EXAMPLES, MIN_SUPPORT * n1)) & (a / n1 > 3 * b / n0) & (a + b < n))
+              .where((F.col("a") >= max(MIN_EXAMPLES, MIN_SUPPORT * n1)) & (a / n1 > MIN_RATIO * b / n0) & (a + b < n))
               .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
               .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS))
     return [bytes(r.term) for r in chosen.select("term").collect()]
@@ -233,8 +239,9 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
                 tokens = words(text)
                 for t in whole.keys() & set(tokens):
                     df[whole[t]] += 1
-                for t in begun.keys() & set(stems(tokens)):
-                    df[begun[t]] += 1
+                for size, known in begun.items():
+                    for t in known.keys() & set(stems(tokens, size)):
+                        df[known[t]] += 1
         yield pd.DataFrame({"term": [*range(len(terms)), -1], "n": [*df, n]})
 
     got = {r.term: r.n for r in docs.select("text").mapInPandas(count, "term int, n long")
