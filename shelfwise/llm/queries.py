@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, quality, toxicity
+from . import bpe, common, quality, simhash, toxicity
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
 }
