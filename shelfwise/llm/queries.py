@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, common, quality, simhash, toxicity
+from . import bpe, common, decontaminate, quality, simhash, toxicity, urls
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,11 +26,77 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination_table(common.table(spark, sf_dir, "documents"),
+                                              common.table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+#: a page with less HTML than this puts its URL on the list
+THIN_PAGE = 1500
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages")
+    listed = pages.where(F.length("html") < THIN_PAGE).select(urls.canonical(F.col("url")).alias("url"))
+    return urls.filter_table(pages, listed, URL_RULES).drop("possible")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_url_filter": op8_url_filter,
     "op2_quality_rules": op2_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER_AZ = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWER_AZ.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP7 = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[s:s + 12], ' ') AS t
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+gram AS (SELECT k, s, n, array_to_string(w[s:s + n - 1], ' ') AS t
+         FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS s
+               FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT k, s, gram.n, item_id FROM gram JOIN win USING (n, t)),
+pos AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS p FROM hit) GROUP BY k),
+its AS (SELECT k, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+        FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN pos USING (k) LEFT JOIN its USING (k)
+"""
+
+_HOST = _LOWER_AZ.format("regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1)")
+_OP8 = f"""
+WITH page AS (
+  SELECT page_id, html, {_HOST} AS host, regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path,
+         list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '://[^?#]*\\?([^#]*)', 1), '&'),
+                               lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) AS params FROM pages),
+canon AS (
+  SELECT *, CASE WHEN regexp_replace(host, '^(www|m)\\.', '') <> '' THEN
+    regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/$', '') ||
+    CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS key FROM page),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM canon),
+listed AS (SELECT DISTINCT key AS k FROM canon WHERE length(html) < 1500 AND key IS NOT NULL)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block'
+            WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN k IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+       rule IS NULL AND k IS NOT NULL AS listed
+FROM ruled LEFT JOIN listed ON key = k
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_decontaminate": _OP7, "op8_url_filter": _OP8}
