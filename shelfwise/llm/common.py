@@ -31,11 +31,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def split_rows(df: DataFrame, bytes_per_task: int) -> int:
-    """Number of tasks so that each gets about ``bytes_per_task`` of input,
-    from the sizes Spark's own statistics give (no pass over the data)."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(1, min(100_000, -(-size // bytes_per_task)))
+def parts_of(df: DataFrame, text: str, bytes_per_part: int) -> int:
+    """Number of parts so that each holds about ``bytes_per_part`` of a text column."""
+    size = df.agg(F.sum(F.octet_length(text) + 16)).first()[0] or 0
+    return max(1, -(-size // bytes_per_part))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

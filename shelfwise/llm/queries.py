@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, quality, simhash, toxicity, urls
+from . import bpe, common, decontaminate, quality, simhash, token_files, toxicity, urls
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,12 +44,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_table(pages, listed, URL_RULES).drop("possible")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_table(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
+    "op9_token_files": op9_token_files,
     "op2_quality_rules": op2_quality_rules,
 }
 
