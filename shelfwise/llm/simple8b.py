@@ -17,9 +17,9 @@ BLOCK = 512
 COUNT = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPED = np.uint64(1 << 63)
-#: selectors tried at every place, and the denser ones tried where 12 small values follow
-_NEAR = range(15, 5, -1)
-_DENSE = (5, 4, 3, 2, 1)
+#: selectors tried at every place, and the denser ones tried where the densest of those fits
+_NEAR = range(15, 9, -1)
+_DENSE = range(9, 0, -1)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +37,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     stride, flat = BLOCK + pad, grid.reshape(-1)
     size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     cursor, live = np.zeros(blocks, np.int64), np.arange(blocks)
-    window = np.arange(12)
+    window = np.arange(COUNT[_NEAR[-1]])
     chosen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # blocks, places, selectors
     while len(live):
         at = live * stride + cursor[live]
@@ -45,7 +45,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         selector = np.zeros(len(live), np.int64)
         for s in _NEAR:  # from sparse to dense: the densest that fits stays
             selector[top[:, COUNT[s] - 1] >> np.uint64(BITS[s]) == 0] = s
-        dense = np.flatnonzero(selector == 6)
+        dense = np.flatnonzero(selector == _NEAR[-1])
         for s in _DENSE:
             if not len(dense):
                 break

@@ -37,7 +37,7 @@ from . import common, simple8b
 
 BYTES_PER_FILE = 64 << 20
 #: units a worker remembers; ids packed, and blocks unpacked, at once
-MAX_UNITS, FLUSH, BLOCKS_AT_ONCE = 400_000, 1 << 21, 4096
+MAX_UNITS, FLUSH, BLOCKS_AT_ONCE = 1_000_000, 1 << 21, 4096
 MAGIC = b"S8BT"
 HEADER = struct.Struct("<4sI")
 TRAILER = struct.Struct("<QQQQI4s")  # documents, blocks, ids, words, checksum of the index, magic
@@ -65,7 +65,10 @@ class UnitEncoder:
 
     def _forget(self) -> None:
         self.known: dict[str | None, int] = {None: 0}  # None: the end of a document
-        self.ids = [np.array(self.end, np.uint32)]
+        # ids of the units in a row, and where each unit's begin; both with room to grow
+        self.flat, self.begin, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), len(self.end)
+        self.flat[:self.used] = self.end
+        self.begin[1] = self.used
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,13 +87,21 @@ class UnitEncoder:
             cuts = np.searchsorted(reached, ends) + 1
             if not (reached[cuts - 1] == ends).all():
                 raise ValueError("a token crosses the start of a unit")
-            self._add(some, np.split(ids, cuts[:-1]))
+            self._add(some, ids, cuts)
         if other:
-            self._add(other, [np.array(x, np.uint32) for x in self._library(other)])
-
-    def _add(self, units: list[str], ids: list[np.ndarray]) -> None:
-        self.known.update(zip(units, range(len(self.ids), len(self.ids) + len(units)), strict=True))
-        self.ids += ids
+            found = self._library(other)
+            self._add(other, np.array([i for x in found for i in x], np.uint32), np.cumsum([len(x) for x in found]))
+
+    def _add(self, units: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        n, used = len(self.known), self.used + len(ids)
+        while used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while n + len(units) + 1 > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.flat[self.used:used] = ids
+        self.begin[n + 1:n + 1 + len(units)] = self.used + ends
+        self.known.update(zip(units, range(n, n + len(units)), strict=True))
+        self.used = used
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
@@ -108,29 +119,23 @@ class UnitEncoder:
             units.append(None)
             counts.append(len(units) - before)
         get = self.known.get
-        place = list(map(get, units))
-        fresh = dict.fromkeys(u for u, p in zip(units, place, strict=True) if p is None)
-        if fresh:
-            self._learn(list(fresh))
-            get = self.known.__getitem__
-            place = [get(u) if p is None else p for u, p in zip(units, place, strict=True)]
-        pool = self._pool()
+        place = [get(u, -1) for u in units]
         place = np.array(place, np.int64)
-        size, begin = pool[1][place], pool[2][place]
+        missed = np.flatnonzero(place < 0).tolist()
+        if missed:
+            fresh = [units[i] for i in missed]
+            self._learn(list(dict.fromkeys(fresh)))
+            place[missed] = list(map(self.known.__getitem__, fresh))
+        begin = self.begin[place]
+        size = self.begin[place + 1] - begin
         after = np.cumsum(size)
-        ids = pool[0][np.repeat(begin - (after - size), size) + np.arange(int(after[-1]) if len(after) else 0)]
+        ids = self.flat[np.repeat(begin - (after - size), size) + np.arange(int(after[-1]) if len(after) else 0)]
         last = np.cumsum(counts) - 1
         lengths = np.diff(np.concatenate([[0], after[last]])) if len(texts) else np.zeros(0, np.int64)
         if whole:
             ids, lengths = self._with_whole(whole, ids, lengths)
         return ids, lengths
 
-    def _pool(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not hasattr(self, "_flat") or self._flat[3] != len(self.ids) or self._flat[4] is not self.ids:
-            size = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-            self._flat = (np.concatenate(self.ids), size, np.cumsum(size) - size, len(self.ids), self.ids)
-        return self._flat[:3]
-
     def _with_whole(self, whole: dict[int, str], ids, lengths):
         parts = np.split(ids, np.cumsum(lengths)[:-1])
         for n, found in zip(whole, self._library(list(whole.values())), strict=True):
