@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, quality, simhash, token_files, toxicity, urls
+from . import bpe, chat, common, decontaminate, quality, reshard, simhash, token_files, toxicity, urls, warc
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,14 +48,33 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
 
 
+def op4_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshard.shard_table(common.table(spark, sf_dir, "documents"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') "
+                      "AS t(conv_id, turn, role, text)")
+    turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.chat_table(turns, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_table(common.table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
+    "op4_reshard": op4_reshard,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_chat": op6_chat,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_token_files": op9_token_files,
-    "op2_quality_rules": op2_quality_rules,
+    "op10_warc": op10_warc,
 }
 
 _LOWER_AZ = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
