@@ -37,6 +37,17 @@ def parts_of(df: DataFrame, text: str, bytes_per_part: int) -> int:
     return max(1, -(-size // bytes_per_part))
 
 
+def hash_sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
+    """``n`` rows of ``df`` (all, if fewer) by the order of their key's hash.
+    Of a larger table only a hash range with about ``2 n`` rows is sorted, so
+    what meets in one task doesn't grow with the table."""
+    total = df.count()
+    h = F.xxhash64(*key)
+    if total > 4 * n:
+        df = df.where(h < int(-2**63 + 2**64 * (2 * n / total)))
+    return df.orderBy(h, *key).limit(n)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint for a *stored* table, only if it has at most ``max_rows``
     rows; beyond that Spark joins by shuffle (AQE splits hot keys)."""

@@ -58,8 +58,11 @@ def train_dictionary(pages: DataFrame) -> bytes:
     empty if there is too little to train on."""
     import zstandard
 
-    rows = (pages.where(F.length("html") > 0).orderBy(F.xxhash64("page_id", "url"), "page_id").limit(SAMPLES)
-            .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("s")).collect())
+    keys = common.hash_sample(pages.where("html <> ''").select("page_id", "url"), ["page_id", "url"], SAMPLES)
+    keys = keys.distinct().withColumnsRenamed({"page_id": "_id", "url": "_url"})
+    rows = (pages.where("html <> ''").join(F.broadcast(keys), F.col("page_id").eqNullSafe(F.col("_id")) & F.col("url").eqNullSafe(F.col("_url")))
+            .groupBy("page_id", "url").agg(F.min(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES)).alias("s"))
+            .orderBy("page_id", "url").select("s").collect())
     samples = [bytes(r.s) for r in rows]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 8)), samples).as_bytes()
