@@ -194,8 +194,8 @@ def examples_of(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -
     """At most ``limit`` labelled documents (by hash of the id): id, label, text.
     The sampled ids are bounded, so they are broadcast and no text is shuffled."""
     ids = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
-           .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_label"))
-           .orderBy(F.xxhash64("_id"), "_id").limit(limit))
+           .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_label")))
+    ids = common.hash_sample(ids, ["_id"], limit)
     return (docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
             .select(F.col("_id").alias("id"), (F.col("_label") == 1).cast("int").alias("label"), "text"))
 
@@ -260,11 +260,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     df, n = document_frequencies(docs, terms) if terms else (np.zeros(0), 0)
     idf = 1 + np.log((1 + n) / (1 + df))
     known = {t: i for i, t in enumerate(terms)}
+
+    def restricted(batches):
+        for rows in batches:
+            pairs = [[(known[t], f) for t, f in zip(ts, fs, strict=True) if t in known]
+                     for ts, fs in zip(rows["terms"], rows["tfs"], strict=True)]
+            yield pd.DataFrame({"id": rows["id"], "label": rows["label"], "terms": [[t for t, _ in x] for x in pairs],
+                                "tfs": [[f for _, f in x] for x in pairs]})
+
     # bounded: MAX_EXAMPLES rows of at most MAX_TERMS pairs each
-    pairs = F.filter(F.arrays_zip("terms", "tfs"), lambda x: F.array_contains(F.lit(list(terms)).cast("array<binary>"), x.terms)) \
-        if terms else F.array().cast("array<struct<terms:binary,tfs:int>>")
-    rows = bags.select("id", "label", pairs.alias("pairs")).orderBy("id", "label").collect()
-    vectors = [unit({known[bytes(p.terms)]: p.tfs for p in r.pairs}, idf) for r in rows]
+    rows = bags.mapInPandas(restricted, "id long, label int, terms array<int>, tfs array<int>").collect()
+    rows.sort(key=lambda r: (r.id, r.label))
+    vectors = [unit(dict(zip(r.terms, r.tfs, strict=True)), idf) for r in rows]
     model = Model(terms, idf, vectors, [r.label for r in rows], [r.id for r in rows])
     model.curve = calibrate(docs.sparkSession, model, vectors)
     return model
