@@ -111,15 +111,16 @@ def masked_texts(text: str, offsets: np.ndarray, mask: np.ndarray, spans: list[t
     part of a character, or reach over the span's end)."""
     out = []
     for begin, end in spans:
-        got, at = [], begin
         first = np.searchsorted(offsets[:, 1], begin, side="right")
-        for (a, b), on in zip(offsets[first:].tolist(), mask[first:].tolist(), strict=True):
-            if a >= end:
-                break
-            if on and b > at:
-                got.append(text[max(a, at):min(b, end)])
-                at = min(b, end)
-        out.append("".join(got))
+        after = np.searchsorted(offsets[:, 0], end, side="left")
+        own = offsets[first:after][mask[first:after]]
+        if begin >= end or not len(own):
+            out.append("")
+            continue
+        begins, ends = np.maximum(own[:, 0], begin), np.maximum.accumulate(np.minimum(own[:, 1], end))
+        gaps = np.flatnonzero(begins[1:] > ends[:-1])  # none, if the mask covers the span
+        out.append("".join(text[a:b] for a, b in zip(
+            begins[np.concatenate([[0], gaps + 1])].tolist(), ends[np.concatenate([gaps, [len(ends) - 1]])].tolist(), strict=True)))
     return out
 
 
