@@ -6,13 +6,14 @@ No single task ever holds the whole column:
 1. values are pre-aggregated to (value, count) pairs (map-side combine, so a
    value shared by a third of the rows is one pair);
 2. ``percentile_approx`` (bounded memory) proposes ``buckets`` - 1 cut points
-   (at most 4095 values, read on the driver); ``Bucketizer`` gives each pair
-   the bucket of its value, so buckets are ordered value ranges;
+   (one per ``PAIRS_PER_BUCKET`` distinct values, read on the driver);
+   ``Bucketizer`` gives each pair the bucket of its value, so buckets are
+   ordered value ranges;
 3. per-bucket totals (``buckets`` rows at most) give each bucket's starting
    rank, and a running count inside each bucket gives every distinct value's
    rank interval;
 4. the two order statistics around each requested position are picked by a
-   range predicate on those intervals.
+   range predicate on those intervals, in one pass.
 """
 
 from __future__ import annotations
@@ -31,20 +32,20 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
                     buckets: int | None = None) -> DataFrame:
     """Return one row per probability: (p, value).
 
-    ``buckets`` defaults to one per ~250k distinct values (16 to 4096), so the
+    ``buckets`` defaults to one per ~250k distinct values (16 at least), so the
     per-bucket ranking stays task-sized as the data grows.
     """
     vals = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     # the input is evaluated once; every later step reads the checkpointed pairs
     pairs = materialize(vals.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
     if buckets is None:
-        buckets = min(4096, max(16, pairs.count() // PAIRS_PER_BUCKET + 1))
+        buckets = max(16, pairs.count() // PAIRS_PER_BUCKET + 1)
     cut_probs = [i / buckets for i in range(1, buckets)]
     # cut points over distinct values: any increasing cuts give exact results,
     # these only balance the buckets
-    # at most 4095 cut points reach the driver (bounded by the bucket count,
-    # not the data); Bucketizer binary-searches them on the executors
-    cuts = pairs.agg(F.percentile_approx("v", cut_probs, 2000)).first()[0] or []
+    # one cut point per bucket reaches the driver; its accuracy grows with the
+    # buckets, so they stay balanced; Bucketizer binary-searches the cuts
+    cuts = pairs.agg(F.percentile_approx("v", cut_probs, max(2000, 20 * buckets))).first()[0] or []
     inner = sorted(set(float(c) for c in cuts)) or [0.0]   # empty input: any one cut
     splits = [float("-inf")] + inner + [float("inf")]
     bucketed = (Bucketizer(splits=splits, inputCol="v", outputCol="bf").transform(pairs)
@@ -63,16 +64,10 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float],
     prob_list = ", ".join(f"{float(p)!r}D" for p in probs)
     wanted = (n.selectExpr("n", f"explode(array({prob_list})) AS p")
               .withColumn("pos", F.col("p") * (F.col("n") - 1))
-              .withColumn("lo", F.floor("pos"))
-              .withColumn("hi", F.ceil("pos")))
-    # `wanted` has one row per probability: broadcasting it is bounded
-    wanted = F.broadcast(wanted)
-    lo = (ranked.select("v", "from_", "upto")
-          .join(wanted, (F.col("lo") >= F.col("from_")) & (F.col("lo") < F.col("upto")))
-          .select("p", "pos", "lo", F.col("v").alias("v_lo")))
-    hi = (ranked.select("v", "from_", "upto")
-          .join(wanted, (F.col("hi") >= F.col("from_")) & (F.col("hi") < F.col("upto")))
-          .select("p", F.col("v").alias("v_hi")))
-    return (lo.join(hi, "p")
-            .select("p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo")))
+              .select("p", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("at")))
+    # two rows per probability: broadcasting them is bounded
+    found = (ranked.select("v", "from_", "upto")
+             .join(F.broadcast(wanted), (F.col("at") >= F.col("from_")) & (F.col("at") < F.col("upto"))))
+    return (found.groupBy("p").agg(F.min("v").alias("v_lo"), F.max("v").alias("v_hi"), F.first("pos").alias("pos"))
+            .select("p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.floor("pos")))
                     .alias("value")))

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import pricing
 from .bronze import stamp, ts_literal
-from .joins import join_dimension
+from .silver import unique_catalog
+from .unique import one_per_key
 
 DOUBLE_AVG_SCALE = 6   # averages of doubles are kept to 6 decimals (engine-independent)
 
@@ -41,12 +42,19 @@ def _midnight(day: dt.date):
 # --- F1 ----------------------------------------------------------------------
 def latest_inventory(silver_inventory: DataFrame) -> DataFrame:
     """F1 + C5: latest silver inventory row per SKU (ties: event_id)."""
-    w = Window.partitionBy("sku_id").orderBy(F.col("event_timestamp").desc(), F.col("event_id").asc())
-    return (silver_inventory
-            .select("sku_id", "event_timestamp", "event_id", "current_stock", "days_of_supply")
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1)
-            .select("sku_id", "current_stock", "days_of_supply"))
+    order = [F.col("event_timestamp").desc(), F.col("event_id").asc()]
+    rows = silver_inventory.select("sku_id", "event_timestamp", "event_id", "current_stock", "days_of_supply")
+    return one_per_key(rows, "sku_id", order).select("sku_id", "current_stock", "days_of_supply")
+
+
+def latest_inventory_of_events(deduped: DataFrame, velocity: DataFrame) -> DataFrame:
+    """The same rows from deduplicated inventory events: the latest per SKU
+    first (a map-side top-1), then the velocity join at SKU grain, so neither
+    step sees a hot SKU's events together."""
+    order = [F.col("event_timestamp").desc(), F.col("event_id").asc()]
+    rows = deduped.select("sku_id", "event_timestamp", "event_id", F.col("stock_after").alias("current_stock"))
+    return one_per_key(rows, "sku_id", order).join(velocity, "sku_id", "left").select(
+        "sku_id", "current_stock", pricing.days_of_supply("current_stock", "avg_daily_units").alias("days_of_supply"))
 
 
 # --- E1-E3 ---------------------------------------------------------------------
@@ -69,24 +77,20 @@ def demand_window(daily_sales: DataFrame, as_of: dt.date) -> DataFrame:
 # --- F2 ------------------------------------------------------------------------
 def best_promo(promotions: DataFrame) -> DataFrame:
     """C4 + F2: highest active discount per SKU (ties: promo_type, promo_id)."""
-    w = Window.partitionBy("sku_id").orderBy(
-        F.col("discount_pct").desc(), F.col("promo_type").asc(), F.col("promo_id").asc())
-    return (promotions
-            .filter(F.col("is_active"))
-            .select("sku_id", "discount_pct", "promo_type", "promo_id")
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1)
-            .select("sku_id", "discount_pct", "promo_type"))
+    order = [F.col("discount_pct").desc(), F.col("promo_type").asc(), F.col("promo_id").asc()]
+    rows = promotions.filter(F.col("is_active")).select("sku_id", "discount_pct", "promo_type", "promo_id")
+    return one_per_key(rows, "sku_id", order).select("sku_id", "discount_pct", "promo_type")
 
 
 # --- E4 ------------------------------------------------------------------------
 def supplier_pressure(supplier_cost_changes: DataFrame, as_of: dt.date) -> DataFrame:
     """C3 + E4: mean cost delta per SKU over the trailing 90 days."""
     ts = F.col("event_timestamp")
-    # calendar-day bounds in wall-clock time (immune to DST in the session zone)
+    # calendar-day bounds in wall-clock time (immune to DST in the session zone);
+    # the events of as_of itself count, like its sales
     start = _midnight(as_of - dt.timedelta(days=config.SUPPLIER_WINDOW_DAYS))
     return (supplier_cost_changes
-            .filter((ts >= start) & (ts <= _midnight(as_of)))
+            .filter((ts >= start) & (ts < _midnight(as_of + dt.timedelta(days=1))))
             .groupBy("sku_id")
             .agg(_avg6("cost_delta_pct").alias("cost_delta_pct")))
 
@@ -103,25 +107,34 @@ def macro_trailing(macro_signals: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def customer_engagement(customer_behavior: DataFrame) -> DataFrame:
-    return customer_behavior.select("sku_id", "view_count", "cart_add_rate",
-                                    "conversion_rate", "return_rate")
+    """The latest behaviour snapshot per SKU (ties: by all values)."""
+    values = ["view_count", "cart_add_rate", "conversion_rate", "return_rate"]
+    order = [F.col("snapshot_date").desc_nulls_last(), *[F.col(c).asc() for c in values]]
+    return one_per_key(customer_behavior.select("sku_id", "snapshot_date", *values), "sku_id", order).drop("snapshot_date")
 
 
 # --- the SKU dimension (D3-D7 right sides, B7, B8) ------------------------------
-def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataFrame,
-                  customer_behavior: DataFrame, promotions: DataFrame,
-                  supplier_cost_changes: DataFrame, macro_signals: DataFrame,
-                  as_of: dt.date) -> DataFrame:
-    """One row per catalog SKU with every non-competitor feature filled in.
+def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, *rest) -> DataFrame:
+    """:func:`sku_dimension_of` over a silver inventory table."""
+    return sku_dimension_of(catalog, latest_inventory(silver_inventory), *rest)
+
+
+def sku_dimension_of(catalog: DataFrame, inventory: DataFrame, demand: DataFrame,
+                     customer_behavior: DataFrame, promotions: DataFrame,
+                     supplier_cost_changes: DataFrame, macro_signals: DataFrame,
+                     as_of: dt.date) -> DataFrame:
+    """One row per catalog SKU with every non-competitor feature filled in:
+    each side is made unique per SKU, whatever its table holds.
 
-    ``demand`` is the output of :func:`demand_window`.
+    ``inventory`` is the output of :func:`latest_inventory` (or its form over
+    events), ``demand`` that of :func:`demand_window`.
     """
     # D6, the one-row PPI aggregate, attached as a scalar subquery (a struct)
     macro = macro_trailing(macro_signals, as_of).select(
         F.struct("ppi_steel", "ppi_copper", "ppi_pvc").alias("m")).scalar()
-    dim = (catalog.select("sku_id", "product_name", "category", "subcategory", "brand",
+    dim = (unique_catalog(catalog).select("sku_id", "product_name", "category", "subcategory", "brand",
                           "supplier_id", "unit_cost", "weight_lbs")
-           .join(latest_inventory(silver_inventory), "sku_id", "left")
+           .join(inventory, "sku_id", "left")
            .join(demand, "sku_id", "left")
            .join(customer_engagement(customer_behavior), "sku_id", "left")
            .join(best_promo(promotions), "sku_id", "left")
@@ -151,11 +164,12 @@ def sku_dimension(catalog: DataFrame, silver_inventory: DataFrame, demand: DataF
 
 
 # --- D8: the feature row ------------------------------------------------------------
-def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.datetime | None = None,
-                     dim_small: bool | None = None) -> DataFrame:
-    """Silver price events (batch or stream) x SKU dimension -> 30 gold columns."""
+def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Valid, deduplicated price events (batch or stream) x SKU dimension -> 30
+    gold columns.  The dimension holds exactly the catalog's SKUs, so events
+    need no catalog join before this one."""
     events = silver_prices.select("sku_id", "competitor", "competitor_price", "event_timestamp")
-    joined = join_dimension(events, dim, "sku_id", "inner", dim_small)
+    joined = events.join(dim, "sku_id")
     return joined.select(
         "sku_id", "product_name", "category", "subcategory", "brand", "supplier_id",
         "unit_cost", "weight_lbs", "competitor", "competitor_price",
@@ -165,7 +179,7 @@ def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.dateti
         "conversion_rate", "return_rate", "discount_pct", "promo_type", "cost_delta_pct",
         "ppi_steel", "ppi_copper", "ppi_pvc", "current_price",
         F.col("event_timestamp").alias("source_event_timestamp"),
-        stamp(run_ts).alias("_updated_at"))
+        stamp(run_ts).alias("_updated_at")).select(*config.GOLD_COLUMNS)
 
 
 # --- F3: the mart -----------------------------------------------------------------
@@ -195,12 +209,9 @@ def latest_price_events(silver_prices: DataFrame) -> DataFrame:
     WindowGroupLimit), so a SKU holding a third of the events costs one row
     per map task.
     """
-    w = Window.partitionBy("sku_id").orderBy(
-        F.col("event_timestamp").desc(), F.col("competitor").asc(), F.col("competitor_price").asc())
-    return (silver_prices.select("sku_id", "competitor", "competitor_price", "event_timestamp")
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1)
-            .drop("_rn"))
+    order = [F.col("event_timestamp").desc(), F.col("competitor").asc(), F.col("competitor_price").asc()]
+    rows = silver_prices.select("sku_id", "competitor", "competitor_price", "event_timestamp")
+    return one_per_key(rows, "sku_id", order)
 
 
 def feature_mart_batch(silver_prices: DataFrame, dim: DataFrame,

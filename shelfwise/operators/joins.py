@@ -1,51 +1,18 @@
-"""Dimension joins with a checked broadcast, and lineage cuts.
-
-Batch: SKU-level tables are written once per run (``write_and_read``) and
-joined plainly.  AQE measures the written table's real shuffle size and
-broadcasts it only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-above that the join stays a sort-merge join whose hot-SKU partitions AQE
-splits (``spark.sql.adaptive.skewJoin.enabled``) — possible because both
-sides are plain shuffles.
-
-Streams: the pipeline's own streams join per micro-batch inside
-``foreachBatch``, where AQE is on (see ``streaming.runner``).  A streaming
-fact joined inside a streaming plan, where AQE is off, goes through
-``join_dimension``: the static side is counted and broadcast only when its row
-count times a per-row width from its schema fits under
-``shelfwise.broadcast.maxBytes`` (default 64 MiB); above that the
-micro-batches shuffle-join it.
+"""Lineage cuts in shared storage.
+
+SKU-level tables are written once per run (``write_and_read``) and joined
+plainly.  AQE measures the written table's real shuffle size and broadcasts it
+only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above that the
+join stays a sort-merge join whose hot-SKU partitions AQE splits
+(``spark.sql.adaptive.skewJoin.enabled``), which it can do because both sides
+are plain shuffles.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ensure_checkpoint_dir
-
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-_STRING_WIDTH = 32   # assumed average bytes per string value
-
-
-def row_width(schema: T.StructType) -> int:
-    width = 16  # row header / null bitmap
-    for f in schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            width += _STRING_WIDTH
-        elif isinstance(f.dataType, T.StructType):
-            width += row_width(f.dataType)
-        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType,
-                                     T.DateType, T.BooleanType)):
-            width += 4
-        else:   # long, double, timestamp, decimal(<=18) and anything else
-            width += 8
-    return width
-
 
-def broadcast_limit(spark) -> int:
-    value = spark.conf.get("shelfwise.broadcast.maxBytes", None)
-    return int(value) if value else DEFAULT_MAX_BROADCAST_BYTES
+from ..session import ensure_checkpoint_dir, run_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -66,32 +33,6 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     what lets AQE split a skewed key's partition (or broadcast the table when
     its measured size is small).
     """
-    from ..session import run_dir
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def fits_broadcast(dim: DataFrame) -> bool:
-    rows = dim.count()
-    return rows * row_width(dim.schema) <= broadcast_limit(dim.sparkSession)
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   checked_small: bool | None = None) -> DataFrame:
-    """Join a fact (batch or stream) to a static dimension.
-
-    * ``checked_small`` given: an earlier size check decides (streams pass it,
-      computed on the materialised dimension).
-    * batch fact, no check given: a plain join.  With AQE on, Spark measures
-      the dimension's real shuffle output at runtime and turns the join into a
-      broadcast only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-      above it the join stays a shuffle join with skew splitting.
-    * streaming fact, no check given (AQE is off inside micro-batches): the
-      dimension is counted here.
-    """
-    if checked_small is None:
-        if not fact.isStreaming:
-            return fact.join(dim, on, how)
-        checked_small = fits_broadcast(dim)
-    return fact.join(F.broadcast(dim) if checked_small else dim, on, how)

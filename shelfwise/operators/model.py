@@ -69,12 +69,10 @@ def regression_metrics(df: DataFrame, label: str = "optimal_price",
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(y - yhat)).alias("mae"),
         F.sum((y - yhat) * (y - yhat)).alias("sse"),
-        F.avg(y).alias("mean_y"),
+        # total sum of squares, in the same pass
+        (F.var_pop(y) * F.count(y)).alias("sst"),
         F.avg(F.abs((y - yhat) / F.greatest(y, F.lit(0.01)))).alias("mape_frac"))
-    # two-pass total sum of squares; the mean arrives as a scalar subquery
-    centered = df.withColumn("_dev", y - df.agg(F.avg(y)).scalar())
-    sst = centered.agg(F.sum(F.col("_dev") * F.col("_dev"))).scalar()
-    return stats.withColumn("sst", sst).select(
+    return stats.select(
         "n",
         F.round("mae", 6).alias("mae"),
         F.round(F.lit(1.0) - pricing.safe_ratio("sse", "sst"), 6).alias("r2"),

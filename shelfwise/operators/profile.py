@@ -9,14 +9,25 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: raw tables with their time column and key, where they have one
+RAW = [
+    ("product_catalog", None, "sku_id"),
+    ("inventory_events", "event_timestamp", "sku_id"),
+    ("competitor_prices", "event_timestamp", "sku_id"),
+    ("daily_sales", "sale_date", "sku_id"),
+    ("customer_behavior", "snapshot_date", "sku_id"),
+    ("promotions", "start_date", "sku_id"),
+    ("supplier_cost_changes", "event_timestamp", "sku_id"),
+    ("macro_signals", "signal_week", None),
+]
 
-def profile(df: DataFrame, name: str, ts_col: str, key_col: str = "sku_id") -> DataFrame:
-    return df.agg(
-        F.lit(name).alias("table_name"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.max(ts_col).cast("timestamp").alias("latest_ts"),
-        F.count_distinct(key_col).alias("distinct_keys"))
 
+def profile(df: DataFrame, name: str, ts_col: str | None, key_col: str | None = "sku_id") -> DataFrame:
+    latest = F.max(ts_col).cast("timestamp") if ts_col else F.lit(None).cast("timestamp")
+    keys = F.count_distinct(key_col) if key_col else F.lit(None).cast("long")
+    return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                  latest.alias("latest_ts"), keys.alias("distinct_keys"))
 
-def profiles(tables: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
+
+def profiles(tables: list[tuple[DataFrame, str, str | None, str | None]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(*t) for t in tables])

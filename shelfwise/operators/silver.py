@@ -15,19 +15,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import pricing
 from .bronze import stamp
-from .joins import join_dimension
+from .unique import one_per_key
 
 PRICE_KEYS = ["sku_id", "competitor", "event_timestamp"]
 INVENTORY_KEYS = ["sku_id", "event_timestamp"]
 # Batch tie-breaks among rows that share a dedup key (first wins).
-PRICE_TIEBREAK = ["competitor_price", "event_id"]
-INVENTORY_TIEBREAK = ["stock_after", "warehouse_id", "event_id"]
+PRICE_TIEBREAK = ["competitor_price", "event_id", "scrape_url"]
+INVENTORY_TIEBREAK = ["stock_after", "warehouse_id", "event_id", "event_type", "stock_delta"]
+# fixed values: the catalog columns of the enriched price events
 CATALOG_COLUMNS = ["sku_id", "category", "subcategory", "brand", "unit_cost", "product_name"]
 
 
@@ -58,14 +59,19 @@ def deduplicate(df: DataFrame, keys: list[str], tiebreak: list[str],
     """
     if df.isStreaming:
         return df.withWatermark("event_timestamp", delay).dropDuplicates(keys)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in tiebreak])
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    return one_per_key(df, keys, [F.col(c).asc() for c in tiebreak])
+
+
+def unique_catalog(catalog: DataFrame) -> DataFrame:
+    """One row per SKU: the latest created, then the first by all other columns."""
+    rest = [F.col(c).asc() for c in catalog.columns if c not in ("sku_id", "created_date")]
+    latest = [F.col("created_date").desc_nulls_last()] if "created_date" in catalog.columns else []
+    return one_per_key(catalog, "sku_id", latest + rest)
 
 
 def catalog_lookup(catalog: DataFrame) -> DataFrame:
-    """The six catalog columns used for enrichment."""
-    return catalog.select(*CATALOG_COLUMNS)
+    """The six catalog columns used for enrichment, one row per SKU."""
+    return unique_catalog(catalog).select(*CATALOG_COLUMNS)
 
 
 def dedup_prices(bronze: DataFrame) -> DataFrame:
@@ -73,32 +79,18 @@ def dedup_prices(bronze: DataFrame) -> DataFrame:
     return deduplicate(valid_prices(bronze), PRICE_KEYS, PRICE_TIEBREAK)
 
 
-def enrich_prices(deduped: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None,
-                  catalog_small: bool | None = None) -> DataFrame:
-    """D1 + B2 + B5: inner join with the catalog (unknown SKUs dropped), stamps."""
-    enriched = join_dimension(deduped, catalog_lookup(catalog), "sku_id", "inner", catalog_small)
+def enrich_prices(deduped: DataFrame, lookup: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """D1 + B2 + B5: inner join with :func:`catalog_lookup` (unknown SKUs dropped), stamps."""
+    enriched = deduped.join(lookup, "sku_id")
     return enriched.withColumns({
         "_validated_at": stamp(run_ts),
         "_price_to_cost": pricing.price_to_cost(),
     })
 
 
-def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None,
-                  catalog_small: bool | None = None) -> DataFrame:
+def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Bronze prices -> silver prices (validate, dedup, enrich, stamp)."""
-    return enrich_prices(dedup_prices(bronze), catalog, run_ts, catalog_small)
-
-
-def sales_velocity(daily_sales: DataFrame, as_of: dt.date, days: int = config.DEMAND_LONG_DAYS) -> DataFrame:
-    """Mean units per stored sales row over [as_of - days, as_of].
-
-    Partial + final hash aggregate: a hot SKU is pre-aggregated on the map side.
-    """
-    start = F.date_sub(F.lit(as_of), days)
-    return (daily_sales
-            .filter((F.col("sale_date") >= start) & (F.col("sale_date") <= F.lit(as_of)))
-            .groupBy("sku_id")
-            .agg(F.avg("units_sold").alias("avg_daily_units")))
+    return enrich_prices(dedup_prices(bronze), catalog_lookup(catalog), run_ts)
 
 
 def dedup_inventory(bronze: DataFrame) -> DataFrame:
@@ -106,10 +98,9 @@ def dedup_inventory(bronze: DataFrame) -> DataFrame:
     return deduplicate(valid_inventory(bronze), INVENTORY_KEYS, INVENTORY_TIEBREAK)
 
 
-def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
-                     velocity_small: bool | None = None) -> DataFrame:
+def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """D2 + B9 + B10 + B2: left join with per-SKU velocity, days of supply."""
-    joined = join_dimension(deduped, velocity, "sku_id", "left", velocity_small)
+    joined = deduped.join(velocity, "sku_id", "left")
     return joined.withColumns({
         "days_of_supply": pricing.days_of_supply("stock_after", "avg_daily_units"),
         "current_stock": F.col("stock_after"),
@@ -117,7 +108,6 @@ def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetim
     })
 
 
-def silver_inventory(bronze: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
-                     velocity_small: bool | None = None) -> DataFrame:
+def silver_inventory(bronze: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
     """Bronze inventory -> silver inventory (validate, dedup, velocity, DoS)."""
-    return enrich_inventory(dedup_inventory(bronze), velocity, run_ts, velocity_small)
+    return enrich_inventory(dedup_inventory(bronze), velocity, run_ts)

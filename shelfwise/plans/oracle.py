@@ -61,7 +61,7 @@ product_catalog AS (
          p_size * {D(0.5)} AS weight_lbs, TRUE AS is_active, CAST(NULL AS BIGINT) AS lead_time_days,
          'SUP-' || lpad(CAST(p_partkey % 30 + 1 AS VARCHAR), 3, '0') AS supplier_id,
          CAST(NULL AS VARCHAR) AS created_date
-  FROM part WHERE p_partkey % 20 <> 7)""",
+  FROM part)""",
     "competitor_prices": f"""
 competitor_prices AS (
   SELECT 'CP-' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS event_id,
@@ -72,8 +72,7 @@ competitor_prices AS (
                   ELSE {D(1.0)} END AS competitor_price,
          CAST(NULL AS VARCHAR) AS scrape_url,
          CAST(l.l_shipdate AS TIMESTAMP) AS event_timestamp
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE l.l_shipdate <= {AS_OF_TS})""",
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)""",
     "inventory_events": f"""
 inventory_events AS (
   SELECT 'IE-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS event_id,
@@ -83,7 +82,7 @@ inventory_events AS (
          CAST(l_quantity * 10 - 20 AS BIGINT) AS stock_after,
          'WH-0' || CAST(l_suppkey % 5 + 1 AS VARCHAR) AS warehouse_id,
          CAST(l_shipdate AS TIMESTAMP) AS event_timestamp
-  FROM lineitem WHERE l_returnflag <> 'R' AND l_shipdate <= {AS_OF_TS})""",
+  FROM lineitem WHERE l_returnflag <> 'R')""",
     "daily_sales": f"""
 daily_sales AS (
   SELECT {SKU.format('l_partkey')} AS sku_id, CAST(l_shipdate AS DATE) AS sale_date,
@@ -107,8 +106,7 @@ customer_behavior AS (
          CAST(NULL AS BIGINT) AS avg_session_time_sec, {AS_OF_D} AS snapshot_date
   FROM part p
   CROSS JOIN (SELECT max(user_id) + 1 AS n_slots FROM event_users) s
-  JOIN event_users u ON p.p_partkey % s.n_slots = u.user_id
-  WHERE p.p_partkey % 10 <> 3)""",
+  JOIN event_users u ON p.p_partkey % s.n_slots = u.user_id)""",
     "promotions": f"""
 promotions AS (
   SELECT 'PR-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS promo_id,
@@ -128,7 +126,7 @@ supplier_cost_changes AS (
          l_tax * {D(2.875)} - {D(0.08)} AS cost_delta_pct,
          ({_list(config.COST_REASONS)})[l_linenumber % 5 + 1] AS reason,
          CAST(l_shipdate AS TIMESTAMP) AS event_timestamp
-  FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate <= {AS_OF_TS})""",
+  FROM lineitem WHERE l_returnflag = 'R')""",
     "macro_signals": f"""
 macro_weeks AS (
   SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS signal_week, count(*) AS n,
@@ -163,7 +161,7 @@ silver_prices AS (
   FROM (
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY sku_id, competitor, event_timestamp
-                                   ORDER BY competitor_price ASC NULLS FIRST, event_id ASC NULLS FIRST) AS rn
+                                   ORDER BY competitor_price ASC NULLS FIRST, event_id ASC NULLS FIRST, scrape_url ASC NULLS FIRST) AS rn
       FROM bronze_prices
       WHERE sku_id IS NOT NULL AND event_timestamp IS NOT NULL
         AND competitor_price > 0 AND competitor_price < 10000)
@@ -185,7 +183,8 @@ silver_inventory AS (
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY sku_id, event_timestamp
                                    ORDER BY stock_after ASC NULLS FIRST, warehouse_id ASC NULLS FIRST,
-                                            event_id ASC NULLS FIRST) AS rn
+                                            event_id ASC NULLS FIRST, event_type ASC NULLS FIRST,
+                                            stock_delta ASC NULLS FIRST) AS rn
       FROM bronze_inventory
       WHERE sku_id IS NOT NULL AND event_timestamp IS NOT NULL AND stock_after >= 0)
     WHERE rn = 1) d
@@ -220,7 +219,7 @@ supplier_pressure AS (
   SELECT sku_id, {R('AVG(cost_delta_pct)', 6)} AS cost_delta_pct
   FROM supplier_cost_changes
   WHERE event_timestamp >= {_ts(dt.datetime.combine(AS_OF, dt.time()) - dt.timedelta(days=90))}
-    AND event_timestamp <= {AS_OF_TS}
+    AND event_timestamp < {_ts(dt.datetime.combine(AS_OF, dt.time()) + dt.timedelta(days=1))}
   GROUP BY sku_id)""",
     "macro_trailing": f"""
 macro_trailing AS (
@@ -360,9 +359,10 @@ SILVER_PRICE_STREAM_COLS = ("sku_id, competitor, event_timestamp, _ingested_at,
 SILVER_INVENTORY_STREAM_COLS = "sku_id, event_timestamp, _ingested_at, _source, avg_daily_units, _validated_at"
 
 
-def _profile(table: str, name: str, ts: str) -> str:
-    return (f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(max({ts}) AS TIMESTAMP) AS latest_ts, "
-            f"count(DISTINCT sku_id) AS distinct_keys FROM {table}")
+def _profile(table: str, name: str, ts: str | None, key: str | None = "sku_id") -> str:
+    latest = f"CAST(max({ts}) AS TIMESTAMP)" if ts else "CAST(NULL AS TIMESTAMP)"
+    keys = f"count(DISTINCT {key})" if key else "CAST(NULL AS BIGINT)"
+    return f"SELECT '{name}' AS table_name, count(*) AS row_count, {latest} AS latest_ts, {keys} AS distinct_keys FROM {table}"
 
 
 QUERIES = {
@@ -421,15 +421,33 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
     "mart_preview": "SELECT * FROM feature_mart ORDER BY sku_id LIMIT 5",
     "recommendations_table": "SELECT * FROM price_flags",
     "table_profile": " UNION ALL ".join([
-        _profile("competitor_prices", "raw.competitor_prices", "event_timestamp"),
+        _profile("product_catalog", "raw.product_catalog", None),
         _profile("inventory_events", "raw.inventory_events", "event_timestamp"),
-        _profile("silver_prices", "silver.competitor_prices", "event_timestamp"),
-        _profile("silver_inventory", "silver.inventory", "event_timestamp"),
+        _profile("competitor_prices", "raw.competitor_prices", "event_timestamp"),
+        _profile("daily_sales", "raw.daily_sales", "sale_date"),
+        _profile("customer_behavior", "raw.customer_behavior", "snapshot_date"),
+        _profile("promotions", "raw.promotions", "start_date"),
+        _profile("supplier_cost_changes", "raw.supplier_cost_changes", "event_timestamp"),
+        _profile("macro_signals", "raw.macro_signals", "signal_week", None),
+        _profile("bronze_prices", "bronze.competitor_prices_raw", "_ingested_at"),
+        _profile("bronze_inventory", "bronze.inventory_events_raw", "_ingested_at"),
+        _profile("silver_prices", "silver.competitor_prices", "_validated_at"),
+        _profile("silver_inventory", "silver.inventory", "_validated_at"),
         _profile("gold_features", "gold.gold_pricing_features", "source_event_timestamp"),
+        _profile("feature_mart", "gold.gold_feature_mart", "source_event_timestamp"),
     ]),
     "sku_dimension": "SELECT * FROM sku_dim",
     "stream_bronze_silver_prices": f"SELECT {SILVER_PRICE_STREAM_COLS} FROM silver_prices",
     "stream_silver_inventory": f"SELECT {SILVER_INVENTORY_STREAM_COLS} FROM silver_inventory",
+    "stream_late_data": """
+SELECT DISTINCT sku_id, competitor, event_timestamp FROM (
+  SELECT *, CAST(right(event_id, 1) AS INT) % 2 = 1 AS odd FROM bronze_prices
+  WHERE sku_id IS NOT NULL AND event_timestamp IS NOT NULL AND competitor_price > 0 AND competitor_price < 10000) e
+JOIN product_catalog USING (sku_id)
+WHERE odd OR event_timestamp > (
+  SELECT max(event_timestamp) - INTERVAL 30 MINUTE FROM bronze_prices
+  WHERE CAST(right(event_id, 1) AS INT) % 2 = 1 AND sku_id IS NOT NULL
+    AND competitor_price > 0 AND competitor_price < 10000)""",
     "stream_gold": "SELECT * FROM gold_features",
     "stream_feature_mart": "SELECT * FROM feature_mart",
 }

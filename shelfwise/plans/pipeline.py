@@ -20,12 +20,14 @@ from ..sources.testdata import RawTables
 
 
 class PricingPipeline:
-    """Lazily built layers over the test-data stand-ins of one directory."""
+    """Lazily built layers over eight raw tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF,
+    def __init__(self, spark: SparkSession, source, as_of: dt.date = config.AS_OF,
                  run_ts: dt.datetime | None = config.RUN_TS):
-        self.spark, self.sf_dir, self.as_of, self.run_ts = spark, sf_dir, as_of, run_ts
-        self.raw = RawTables(spark, sf_dir, as_of)
+        """``source``: the eight raw tables (``sources.tables.SourceTables``), or
+        the directory of the test tables to read through the stand-ins."""
+        self.spark, self.as_of, self.run_ts = spark, as_of, run_ts
+        self.raw = RawTables(spark, source, as_of) if isinstance(source, str) else source
 
     # bronze ---------------------------------------------------------------
     @cached_property
@@ -64,7 +66,8 @@ class PricingPipeline:
     @cached_property
     def sku_dimension_plan(self) -> DataFrame:
         r = self.raw
-        return gold.sku_dimension(r.product_catalog, self.silver_inventory, self.demand,
+        inventory = gold.latest_inventory_of_events(silver.dedup_inventory(self.bronze_inventory), self.velocity)
+        return gold.sku_dimension_of(r.product_catalog, inventory, self.demand,
                                   r.customer_behavior, r.promotions, r.supplier_cost_changes,
                                   r.macro_signals, self.as_of)
 
@@ -81,12 +84,14 @@ class PricingPipeline:
 
     @cached_property
     def gold_features(self) -> DataFrame:
-        return gold.pricing_features(self.silver_prices, self.sku_dimension, self.run_ts)
+        # straight from the deduplicated events: one exchange on sku_id, one
+        # join, whose hot SKUs AQE splits
+        return gold.pricing_features(silver.dedup_prices(self.bronze_prices), self.sku_dimension, self.run_ts)
 
     @cached_property
     def feature_mart(self) -> DataFrame:
         # F3 pushed below the join (same rows; see gold.feature_mart_batch)
-        return gold.feature_mart_batch(self.silver_prices, self.sku_dimension, self.run_ts)
+        return gold.feature_mart_batch(silver.dedup_prices(self.bronze_prices), self.sku_dimension, self.run_ts)
 
     # recommendations ------------------------------------------------------
     @cached_property

@@ -40,3 +40,32 @@ def write_table(df: DataFrame, name: str, cluster_by: str | None = None,
         writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+RAW_TABLES = ("product_catalog", "inventory_events", "competitor_prices", "daily_sales",
+              "customer_behavior", "promotions", "supplier_cost_changes", "macro_signals")
+
+
+class SourceTables:
+    """A1 + A2: the eight raw tables of a deployment, by catalog name or path.
+
+    ``namespace`` gives ``<namespace>.<table>`` for each; ``names`` overrides
+    single tables (a name with ``/`` is a Parquet folder).  Batch reads are
+    attributes, streams come from :meth:`stream`.
+    """
+
+    def __init__(self, spark: SparkSession, as_of, namespace: str = "raw", names: dict[str, str] | None = None):
+        self.spark, self.as_of = spark, as_of
+        self.names = {t: f"{namespace}.{t}" for t in RAW_TABLES} | (names or {})
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in RAW_TABLES:
+            raise AttributeError(table)
+        name = self.names[table]
+        return self.spark.read.parquet(name) if "/" in name else read_table(self.spark, name)
+
+    def stream(self, table: str) -> DataFrame:
+        name = self.names[table]
+        if "/" in name:
+            return self.spark.readStream.schema(self.spark.read.parquet(name).schema).parquet(name)
+        return self.spark.readStream.table(name)

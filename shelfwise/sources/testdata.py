@@ -4,7 +4,7 @@ daily_sales, customer_behavior, promotions, supplier_cost_changes,
 macro_signals).
 
 Every adapter is a lazy DataFrame over the parquet files, so Catalyst prunes
-columns and pushes the date / flag predicates into the scans; nothing is
+columns and pushes the flag predicates into the scans; nothing is
 collected.  The formulas only have to give the pipeline realistic shapes and
 reach every branch of its rules; they are mirrored in SQL by
 ``shelfwise.plans.oracle``.
@@ -21,37 +21,6 @@ from .. import config
 from . import schemas
 
 
-_SPLITS: dict[tuple[int, str], tuple[SparkSession, int]] = {}
-
-
-def _splits(spark: SparkSession, path: str) -> int:
-    """Scan partitions of a file source (computed once per session and path)."""
-    key = (id(spark), path)
-    cached = _SPLITS.get(key)
-    if cached is None or cached[0] is not spark:
-        cached = _SPLITS[key] = (spark, _reader(spark, path).rdd.getNumPartitions())
-    return cached[1]
-
-
-def spread(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Use every core even when a source has fewer splits than cores.
-
-    A Parquet file with a single row group is read by one task, which then
-    also runs the whole map side (filters, partial aggregates, partial
-    top-1 sorts) alone.  When the scan has fewer partitions than the
-    session's default parallelism, a round-robin repartition hands that work
-    to all cores.  Large inputs (more splits than cores, as at cluster scale)
-    are returned untouched, so they pay no extra shuffle.
-    """
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        if _splits(spark, path) < parallelism:
-            return df.repartition(parallelism)
-    except Exception:  # Spark Connect: no RDD access; leave the plan as is
-        pass
-    return df
-
-
 def _reader(spark: SparkSession, path: str) -> DataFrame:
     table = path.rsplit("/", 1)[-1].removesuffix(".parquet")
     schema = schemas.TESTDATA.get(table)
@@ -59,20 +28,8 @@ def _reader(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
-# Event-grain inputs; dimension files (part) are read as they are.
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-
 def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
-    path = f"{sf_dir}/{table}.parquet"
-    df = _reader(spark, path).select(*cols)
-    return spread(spark, path, df) if table in FACT_TABLES else df
-
-
-def _ntz(as_of: dt.date) -> str:
-    # lineitem timestamps are TIMESTAMP_NTZ; compare against an NTZ literal so
-    # the predicate is pushed into the parquet scan as-is.
-    return f"TIMESTAMP_NTZ '{as_of.isoformat()} 00:00:00'"
+    return _reader(spark, f"{sf_dir}/{table}.parquet").select(*cols)
 
 
 def _lineitem(spark, sf_dir, *cols):
@@ -105,7 +62,7 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type",
                  "p_size", "p_retailprice")
-    df = part.filter("p_partkey % 20 <> 7").selectExpr(
+    df = part.selectExpr(
         f"{SKU.format('p_partkey')} AS sku_id",
         "p_name AS product_name",
         "p_type AS category",
@@ -119,10 +76,9 @@ def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, "product_catalog")
 
 
-def competitor_prices(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
-    li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    "l_quantity", "l_discount", "l_shipdate")
-          .filter(f"l_shipdate <= {_ntz(as_of)}"))
+def competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                   "l_quantity", "l_discount", "l_shipdate")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_retailprice", "p_size")
     # quantity 1 / 2 produce out-of-range prices for the validation filter
     df = li.join(part, li.l_partkey == part.p_partkey, "inner").selectExpr(
@@ -136,10 +92,10 @@ def competitor_prices(spark: SparkSession, sf_dir: str, as_of: dt.date = config.
     return _conform(df, "competitor_prices")
 
 
-def inventory_events(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
+def inventory_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     "l_quantity", "l_returnflag", "l_shipdate")
-          .filter(f"l_returnflag <> 'R' AND l_shipdate <= {_ntz(as_of)}"))
+          .filter("l_returnflag <> 'R'"))
     df = li.selectExpr(
         f"{_id('IE')} AS event_id",
         f"{SKU.format('l_partkey')} AS sku_id",
@@ -176,7 +132,6 @@ def customer_behavior(spark: SparkSession, sf_dir: str, as_of: dt.date = config.
     # number of user slots: a scalar subquery over the (one-row) aggregate
     n_slots = users.selectExpr("max(user_id) + 1 AS n_slots").scalar()
     part = (_read(spark, sf_dir, "part", "p_partkey")
-            .filter("p_partkey % 10 <> 3")
             .select("p_partkey", (F.col("p_partkey") % n_slots).alias("slot")))
     df = part.join(users, part.slot == users.user_id, "inner").selectExpr(
         f"{SKU.format('p_partkey')} AS sku_id",
@@ -204,10 +159,10 @@ def promotions(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF)
     return _conform(df, "promotions")
 
 
-def supplier_cost_changes(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF) -> DataFrame:
+def supplier_cost_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (_lineitem(spark, sf_dir, "l_orderkey", "l_linenumber", "l_partkey", "l_tax",
                     "l_returnflag", "l_shipdate")
-          .filter(f"l_returnflag = 'R' AND l_shipdate <= {_ntz(as_of)}"))
+          .filter("l_returnflag = 'R'"))
     df = li.selectExpr(
         f"{_id('SC')} AS event_id",
         f"{SKU.format('l_partkey')} AS sku_id",

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, model, recommend
 from ..operators.joins import write_and_read
+from ..sources.tables import SourceTables
 from ..sources.testdata import RawTables
 from . import runner
 
@@ -58,16 +59,18 @@ def land_raw(raw: RawTables, root: str) -> None:
     runner.land(raw.inventory_events, f"{root}/raw/inventory_events")
 
 
-def run_all(spark: SparkSession, raw: RawTables, root: str,
+def run_all(spark: SparkSession, raw: RawTables | SourceTables, root: str,
             run_ts: dt.datetime | None = None, train_model: bool = True) -> RunOutputs:
     """Run every layer once (bounded streams), reading raw events from the
     landing folders under ``root``."""
     out = paths(root)
     chk = f"{root}/_checkpoints"
     # 01 · bronze
-    runner.bronze_job(spark, f"{root}/raw/competitor_prices", "competitor_prices",
+    # raw events: table streams where the source has them, else the landing folders
+    source = raw.stream if isinstance(raw, SourceTables) else lambda table: f"{root}/raw/{table}"
+    runner.bronze_job(spark, source("competitor_prices"), "competitor_prices",
                       out.bronze_prices, f"{chk}/bronze_prices", run_ts)
-    runner.bronze_job(spark, f"{root}/raw/inventory_events", "inventory_events",
+    runner.bronze_job(spark, source("inventory_events"), "inventory_events",
                       out.bronze_inventory, f"{chk}/bronze_inventory", run_ts)
     # 02 · silver (statics re-read every run)
     demand = write_and_read(gold.demand_window(raw.daily_sales, raw.as_of), "demand_window")
@@ -79,7 +82,7 @@ def run_all(spark: SparkSession, raw: RawTables, root: str,
     dim = gold.sku_dimension(raw.product_catalog, runner.read_table(spark, out.silver_inventory), demand,
                              raw.customer_behavior, raw.promotions, raw.supplier_cost_changes,
                              raw.macro_signals, raw.as_of)
-    runner.gold_job(spark, out.silver_prices, dim, out.gold_features, f"{chk}/gold", run_ts)
+    runner.gold_job(spark, out.silver_prices, write_and_read(dim, "sku_dimension"), out.gold_features, f"{chk}/gold", run_ts)
     # 03 · mart (materialised view), clustered by sku_id
     mart = runner.refresh_mart(spark, out.gold_features, out.feature_mart)
     # 05 · recommendations

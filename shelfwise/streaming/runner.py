@@ -6,15 +6,15 @@ append mode (I4) with a bounded ``availableNow`` trigger (A5): each run
 processes whatever is pending and stops, and a rerun with the same
 checkpoint resumes exactly where the previous one ended.
 
-Silver and gold streams keep their stateful part (watermark dedup) inside the
-streaming plan and hand each micro-batch to ``foreachBatch``, where the join
-with the run's static side (catalog, sales velocity, SKU dimension — each
-written once per run to the shared folder) runs as a *batch* query: AQE
-measures the static side and broadcasts it or splits hot SKUs, as in batch
-(AQE is off inside streaming plans).  Every micro-batch is written to its own
-``batch-<id>`` folder with overwrite, so a replayed batch replaces its own
-output (exactly-once effect); downstream streams read ``<table>/batch-*`` and
-batch readers use ``read_table``.
+Every table a job writes is a native file sink: its metadata log names the
+files of committed micro-batches, and both streaming and batch readers of the
+folder follow that log, so a micro-batch that is run again changes nothing
+downstream and half-written files are never read.  The static side of a join
+(catalog, sales velocity, SKU dimension) is written once per run to the shared
+folder.
+
+Columns that appear in newly landed files are added to bronze and silver
+(additive evolution); the gold table has its fixed columns.
 """
 
 from __future__ import annotations
@@ -34,17 +34,22 @@ def land(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-BATCHES = "batch-*"
+def evolved(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
+    """``declared`` plus the columns that files of a folder have beyond it; a
+    declared column of another type fails."""
+    extra = []
+    for f in spark.read.option("mergeSchema", "true").parquet(path).schema.fields:
+        if f.name not in declared.names:
+            extra.append(T.StructField(f.name, f.dataType, True))
+        elif f.dataType != declared[f.name].dataType:
+            raise ValueError(f"{path}: column {f.name} is {f.dataType.simpleString()}, "
+                             f"not {declared[f.name].dataType.simpleString()}")
+    return T.StructType(declared.fields + extra)
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, batches: bool = False) -> DataFrame:
-    """A1: unbounded read of an append-only Parquet directory (or of the
-    per-micro-batch folders of a foreachBatch table)."""
-    return spark.readStream.schema(schema).parquet(f"{path}/{BATCHES}" if batches else path)
-
-
-def batch_folder(out: str, batch_id: int) -> str:
-    return f"{out}/batch-{batch_id:012d}"
+def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A1: unbounded read of an append-only Parquet folder or a file sink."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> None:
@@ -61,76 +66,41 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, name: str | Non
         raise RuntimeError(f"stream {name or path} failed: {err}")
 
 
-def run_foreach_batch(df: DataFrame, handle, checkpoint: str, name: str | None = None) -> None:
-    """A5 with a per-micro-batch handler ``handle(batch_df, batch_id)``."""
-    writer = (df.writeStream.foreachBatch(handle)
-              .option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True))
-    if name:
-        writer = writer.queryName(name)
-    query = writer.start()
-    query.awaitTermination()
-    err = query.exception()
-    if err is not None:
-        raise RuntimeError(f"stream {name or checkpoint} failed: {err}")
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of a sink folder (flat, or one sub-folder per micro-batch)."""
-    return (spark.read.option("recursiveFileLookup", "true")
-            .option("mergeSchema", "true").parquet(path))
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Batch read of a table folder (a file sink's log is followed).  With a
+    declared ``schema`` no file footer is merged."""
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def bronze_job(spark: SparkSession, landing: str, table: str, out: str, checkpoint: str,
+def bronze_job(spark: SparkSession, landing: str | DataFrame, table: str, out: str, checkpoint: str,
                run_ts: dt.datetime | None = None) -> None:
-    """Raw landing directory -> bronze (B1 metadata)."""
-    raw = read_stream(spark, landing, schemas.RAW[table])
+    """Raw landing directory, or a table's stream -> bronze (B1 metadata)."""
+    raw = landing if isinstance(landing, DataFrame) else read_stream(spark, landing, evolved(spark, landing, schemas.RAW[table]))
     run_available_now(bronze.to_bronze(raw, f"raw.{table}", run_ts), out, checkpoint, f"bronze_{table}")
 
 
 def silver_prices_job(spark: SparkSession, bronze_dir: str, catalog: DataFrame, out: str,
                       checkpoint: str, run_ts: dt.datetime | None = None) -> None:
-    """Bronze prices -> silver prices: dedup state in the stream, catalog join
-    per micro-batch under AQE."""
-    stream = read_stream(spark, bronze_dir, schemas.bronze_schema(schemas.COMPETITOR_PRICES))
+    """Bronze prices -> silver prices (watermark dedup, catalog join)."""
+    schema = evolved(spark, bronze_dir, schemas.bronze_schema(schemas.COMPETITOR_PRICES))
     lookup = write_and_read(silver.catalog_lookup(catalog), "catalog_lookup")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        silver.enrich_prices(batch, lookup, run_ts).write.mode("overwrite").parquet(
-            batch_folder(out, batch_id))
-
-    run_foreach_batch(silver.dedup_prices(stream), write_batch, checkpoint, "silver_competitor_prices")
+    events = silver.dedup_prices(read_stream(spark, bronze_dir, schema))
+    run_available_now(silver.enrich_prices(events, lookup, run_ts), out, checkpoint, "silver_competitor_prices")
 
 
 def silver_inventory_job(spark: SparkSession, bronze_dir: str, velocity: DataFrame, out: str,
                          checkpoint: str, run_ts: dt.datetime | None = None) -> None:
-    """Bronze inventory -> silver inventory: dedup state in the stream,
-    velocity join per micro-batch under AQE."""
-    stream = read_stream(spark, bronze_dir, schemas.bronze_schema(schemas.INVENTORY_EVENTS))
-    velocity = write_and_read(velocity, "sales_velocity")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        silver.enrich_inventory(batch, velocity, run_ts).write.mode("overwrite").parquet(
-            batch_folder(out, batch_id))
-
-    run_foreach_batch(silver.dedup_inventory(stream), write_batch, checkpoint, "silver_inventory")
+    """Bronze inventory -> silver inventory (watermark dedup, velocity join)."""
+    schema = evolved(spark, bronze_dir, schemas.bronze_schema(schemas.INVENTORY_EVENTS))
+    events = silver.dedup_inventory(read_stream(spark, bronze_dir, schema))
+    run_available_now(silver.enrich_inventory(events, velocity, run_ts), out, checkpoint, "silver_inventory")
 
 
 def gold_job(spark: SparkSession, silver_dir: str, dim: DataFrame, out: str, checkpoint: str,
              run_ts: dt.datetime | None = None) -> None:
-    """The gold streaming table: silver price stream x SKU dimension.
-
-    The dimension is written once per run; each micro-batch joins it as a
-    batch query (AQE on) and lands in ``out/batch-<id>``.
-    """
-    stream = read_stream(spark, silver_dir, schemas.SILVER_PRICES, batches=True)
-    dim = write_and_read(dim, "gold_dimension")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        gold.pricing_features(batch, dim, run_ts).write.mode("overwrite").parquet(
-            batch_folder(out, batch_id))
-
-    run_foreach_batch(stream, write_batch, checkpoint, "gold_pricing_features")
+    """The gold streaming table: silver price stream x SKU dimension."""
+    stream = read_stream(spark, silver_dir, schemas.SILVER_PRICES)
+    run_available_now(gold.pricing_features(stream, dim, run_ts), out, checkpoint, "gold_pricing_features")
 
 
 def refresh_mart(spark: SparkSession, gold_dir: str, out: str) -> DataFrame:
