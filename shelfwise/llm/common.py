@@ -31,12 +31,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def parts_of(df: DataFrame, text: str, bytes_per_part: int) -> int:
-    """Number of parts so that each holds about ``bytes_per_part`` of a text column."""
-    size = df.agg(F.sum(F.octet_length(text) + 16)).first()[0] or 0
-    return max(1, -(-size // bytes_per_part))
-
-
 def hash_sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
     """``n`` rows of ``df`` (all, if fewer) by the order of their key's hash.
     Of a larger table only a hash range with about ``2 n`` rows is sorted, so

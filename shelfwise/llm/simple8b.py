@@ -17,9 +17,10 @@ BLOCK = 512
 COUNT = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPED = np.uint64(1 << 63)
-#: selectors tried at every place, and the denser ones tried where the densest of those fits
-_NEAR = range(15, 9, -1)
-_DENSE = range(9, 0, -1)
+#: one to eight values to a word: selectors 15 to 8, and the values each may hold
+_LIMITS = np.uint64(1) << BITS[15:7:-1].astype(np.uint64)
+#: selectors tried where eight values fit
+_DENSE = range(7, 0, -1)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,49 +31,59 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not blocks:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     pad = int(COUNT.max())  # zeros after each block, which the reader drops
-    grid = np.zeros((blocks, BLOCK + pad), np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint64)
+    kind = np.uint32 if values.max() < 1 << 32 else np.uint64
+    limits = np.minimum(_LIMITS, np.iinfo(kind).max).astype(kind)
+    grid = np.zeros((blocks, BLOCK + pad), kind)
+    flat = np.zeros(blocks * BLOCK, kind)
     flat[:n] = values
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     stride, flat = BLOCK + pad, grid.reshape(-1)
     size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     cursor, live = np.zeros(blocks, np.int64), np.arange(blocks)
-    window = np.arange(COUNT[_NEAR[-1]])
     chosen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # blocks, places, selectors
     while len(live):
         at = live * stride + cursor[live]
-        top = np.maximum.accumulate(flat[at[:, None] + window], axis=1)
-        selector = np.zeros(len(live), np.int64)
-        for s in _NEAR:  # from sparse to dense: the densest that fits stays
-            selector[top[:, COUNT[s] - 1] >> np.uint64(BITS[s]) == 0] = s
-        dense = np.flatnonzero(selector == _NEAR[-1])
+        top, fitting = np.zeros(len(live), kind), np.zeros(len(live), np.int8)
+        for k, limit in enumerate(limits):  # the largest rises and the limit falls: no gaps
+            np.maximum(top, flat[at + k], out=top)
+            fitting += top < limit
+        selector = np.where(fitting > 0, 16 - fitting.astype(np.int64), 0)
+        dense = np.flatnonzero(fitting == len(_LIMITS))
         for s in _DENSE:
             if not len(dense):
                 break
-            fits = flat[at[dense, None] + np.arange(COUNT[s])].max(axis=1) >> np.uint64(BITS[s]) == 0
+            fits = flat[at[dense, None] + np.arange(COUNT[s])].max(axis=1).astype(np.uint64) >> np.uint64(BITS[s]) == 0
             dense = dense[fits]
             selector[dense] = s
         chosen.append((live, at, selector))
         cursor[live] += COUNT[selector]
         live = live[cursor[live] < size[live]]
     block, at, selector = (np.concatenate(x) for x in zip(*chosen, strict=True))
-    order = np.lexsort((at, block))
-    block, at, selector = block[order], at[order], selector[order]
-    width = 1 + (selector == 0)  # an escape takes two words
-    place = np.cumsum(width) - width
-    words = np.zeros(int(width.sum()), np.uint64)
+    escape = selector == 0
+    if escape.any():  # an escape takes two words
+        order = np.argsort(at)
+        block, at, selector, escape = block[order], at[order], selector[order], escape[order]
+        place = np.arange(len(at)) + np.cumsum(escape) - escape
+        first = place[np.searchsorted(block, np.arange(blocks))]
+    else:  # the k-th round gave each block its k-th word
+        count = np.bincount(block, minlength=blocks)
+        first = np.cumsum(count) - count
+        place = first[block] + np.repeat(np.arange(len(chosen)), [len(x[0]) for x in chosen])
+    words = np.zeros(len(at) + int(escape.sum()), np.uint64)
     for s in np.unique(selector).tolist():
         mine = selector == s
         if s == 0:
             words[place[mine] + 1] = flat[at[mine]]
         elif s > 1:
-            shifts = (np.arange(COUNT[s]) * BITS[s]).astype(np.uint64)
-            body = np.bitwise_or.reduce(flat[at[mine][:, None] + np.arange(COUNT[s])] << shifts, axis=1)
-            words[place[mine]] = body | np.uint64(s << 60)
+            begin = at[mine]
+            body = np.full(len(begin), s << 60, np.uint64)
+            for k in range(COUNT[s]):
+                body |= flat[begin + k].astype(np.uint64) << np.uint64(k * BITS[s])
+            words[place[mine]] = body
         else:
             words[place[mine]] = np.uint64(1 << 60)
-    offsets = place[np.searchsorted(block, np.arange(blocks))].astype(np.uint64)
-    offsets[np.unique(block[selector == 0])] |= ESCAPED
+    offsets = first.astype(np.uint64)
+    offsets[np.unique(block[escape])] |= ESCAPED
     return words, offsets
 
 
@@ -95,13 +106,13 @@ def _unpack_plain(words: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
     selector = (words >> np.uint64(60)).astype(np.int64)
     count = COUNT[selector]
     first = np.cumsum(count) - count
-    out = np.zeros(int(count.sum()), np.uint64)
+    out = np.zeros(int(count.sum()), np.uint32 if (selector < 15).all() else np.uint64)
     for s in np.unique(selector).tolist():
         if s > 1:
             mine = selector == s
-            shifts = (np.arange(COUNT[s]) * BITS[s]).astype(np.uint64)
-            mask = np.uint64((1 << int(BITS[s])) - 1)
-            out[first[mine][:, None] + np.arange(COUNT[s])] = (words[mine][:, None] >> shifts) & mask
+            own, at, mask = words[mine], first[mine], np.uint64((1 << int(BITS[s])) - 1)
+            for k in range(COUNT[s]):
+                out[at + k] = own >> np.uint64(k * BITS[s]) & mask
     # drop the zeros that fill each block's last word
     starts = first[begin]
     sizes = np.minimum(BLOCK, n - BLOCK * np.arange(len(begin)))

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 import re
 import struct
 import zlib
@@ -35,9 +36,8 @@ from shelfwise.session import run_dir
 
 from . import common, simple8b
 
-BYTES_PER_FILE = 64 << 20
 #: units a worker remembers; ids packed, and blocks unpacked, at once
-MAX_UNITS, FLUSH, BLOCKS_AT_ONCE = 1_000_000, 1 << 21, 4096
+MAX_UNITS, FLUSH, BLOCKS_AT_ONCE = 1_200_000, 1 << 21, 4096
 MAGIC = b"S8BT"
 HEADER = struct.Struct("<4sI")
 TRAILER = struct.Struct("<QQQQI4s")  # documents, blocks, ids, words, checksum of the index, magic
@@ -52,6 +52,7 @@ class UnitEncoder:
     """Ids of texts by way of their units."""
 
     def __init__(self, path: str, end_id: int | None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,10 +80,11 @@ class UnitEncoder:
         tell whose they are."""
         plain = [u for u in units if u[0] in _SPACES and u[-1] not in _SPACES]
         other = [u for u in units if not (u[0] in _SPACES and u[-1] not in _SPACES)]
-        for i in range(0, len(plain), 4096):
-            some = plain[i:i + 4096]
-            ids = np.array(self._library(["".join(some)])[0], np.uint32)
-            ends = np.cumsum([len(u.encode()) for u in some])
+        for i in range(0, len(plain), 256):
+            some = plain[i:i + 256]
+            joined = "".join(some)
+            ids = np.array(self._library([joined])[0], np.uint32)
+            ends = np.cumsum([len(u) for u in some] if joined.isascii() else [len(u.encode()) for u in some])
             reached = np.cumsum(self.token_bytes[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if not (reached[cuts - 1] == ends).all():
@@ -118,9 +120,7 @@ class UnitEncoder:
                 units += _UNIT.findall(text)
             units.append(None)
             counts.append(len(units) - before)
-        get = self.known.get
-        place = [get(u, -1) for u in units]
-        place = np.array(place, np.int64)
+        place = np.fromiter(map(self.known.get, units, itertools.repeat(-1)), np.int64, len(units))
         missed = np.flatnonzero(place < 0).tolist()
         if missed:
             fresh = [units[i] for i in missed]
@@ -233,12 +233,11 @@ def read_file(file, size: int):
 MANIFEST = "file string, bytes long, first_doc long, first_hash long, docs long, ids long"
 
 
-def write_files(docs: DataFrame, path: str, end_id: int | None, folder: str,
-                bytes_per_file: int = BYTES_PER_FILE) -> DataFrame:
-    """Write ``docs`` as token files below ``folder``; the stored manifest, with
+def write_files(docs: DataFrame, path: str, end_id: int | None, folder: str, files: int | None = None) -> DataFrame:
+    """Write ``docs`` as token files below ``folder``, ``files`` of them or as
+    many as Spark's shuffle settings give; the stored manifest, with
     ``first_id``, the number of ids in the files before."""
     common.small_batches(docs.sparkSession)
-    files = common.parts_of(docs, "text", bytes_per_file)
 
     def write(batches):
         batches = (b for b in batches if len(b))
@@ -257,7 +256,7 @@ def write_files(docs: DataFrame, path: str, end_id: int | None, folder: str,
                             "first_hash": [first["h"].iloc[0]], "docs": [sum(map(len, out.lengths))], "ids": [out.n_ids]})
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text"))
-    manifest = (rows.repartitionByRange(files, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    manifest = (rows.repartitionByRange(*([files] if files else []), "doc_id", "h").sortWithinPartitions("doc_id", "h")
                 .mapInPandas(write, MANIFEST))
     manifest = common.stored(manifest, "token-manifest")  # one row per file
     before = Window.orderBy("first_doc", "first_hash").rowsBetween(Window.unboundedPreceding, -1)
