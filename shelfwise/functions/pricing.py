@@ -35,11 +35,6 @@ def price_to_cost(price="competitor_price", cost="unit_cost", scale: int = 4) ->
     return F.round(safe_ratio(price, cost), scale)
 
 
-def shelf_price(cost="unit_cost") -> Column:
-    """current_price = round(unit_cost * 1.35, 2)."""
-    return F.round(col(cost) * F.lit(config.SHELF_MARKUP), 2)
-
-
 def days_of_supply(stock="stock_after", velocity="avg_daily_units") -> Column:
     """round(stock / velocity, 1) when velocity > 0, else NULL."""
     return (F.when(col(velocity) > 0, F.round(col(stock) / col(velocity), 1))
@@ -115,7 +110,7 @@ def flag_columns(target_gm: float = config.TARGET_GM,
 
 
 # --- J1 --------------------------------------------------------------------
-TARGET_GM_SPAN = 0.17   # fixed value: width of the target-margin range [0.38, 0.55]
+TARGET_GM_SPAN = round(config.TARGET_GM_HIGH - config.TARGET_GM_LOW, 2)   # fixed value: width of the target-margin range [0.38, 0.55]
 
 
 def price_target(key="sku_id") -> Column:

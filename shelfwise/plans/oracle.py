@@ -354,11 +354,6 @@ SIGNAL = (f"CASE WHEN delta_pct > {D(config.SIGNAL_CUTOFF_PCT)} THEN '{config.SI
           f"WHEN delta_pct < -{D(config.SIGNAL_CUTOFF_PCT)} THEN '{config.SIGNAL_DISCOUNT}' "
           f"ELSE '{config.SIGNAL_HOLD}' END")
 
-SILVER_PRICE_STREAM_COLS = ("sku_id, competitor, event_timestamp, _ingested_at, _source, category, "
-                            "subcategory, brand, unit_cost, product_name, _validated_at")
-SILVER_INVENTORY_STREAM_COLS = "sku_id, event_timestamp, _ingested_at, _source, avg_daily_units, _validated_at"
-
-
 def _profile(table: str, name: str, ts: str | None, key: str | None = "sku_id") -> str:
     latest = f"CAST(max({ts}) AS TIMESTAMP)" if ts else "CAST(NULL AS TIMESTAMP)"
     keys = f"count(DISTINCT {key})" if key else "CAST(NULL AS BIGINT)"
@@ -440,8 +435,8 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
     "gbt_checks": (f"SELECT count(*) > 0 AS vectors_hold_columns, count(*) > 0 AS reloaded_scores_equal, "
                    f"count(*) > 0 AS beats_shelf_price FROM price_target WHERE {_u("'split:' || sku_id")} >= {D(0.8)}"),
     "sku_dimension": "SELECT * FROM sku_dim",
-    "stream_bronze_silver_prices": f"SELECT {SILVER_PRICE_STREAM_COLS} FROM silver_prices",
-    "stream_silver_inventory": f"SELECT {SILVER_INVENTORY_STREAM_COLS} FROM silver_inventory",
+    "stream_bronze_silver_prices": "SELECT * FROM silver_prices",
+    "stream_silver_inventory": "SELECT * FROM silver_inventory",
     "stream_late_data": """
 SELECT DISTINCT sku_id, competitor, event_timestamp FROM (
   SELECT *, CAST(right(event_id, 1) AS INT) % 2 = 1 AS odd FROM bronze_prices

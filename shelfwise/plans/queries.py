@@ -188,22 +188,29 @@ def table_profile(spark, sf_dir):
 
 
 # --- streaming -------------------------------------------------------------------
-SILVER_PRICE_STREAM_COLS = ["sku_id", "competitor", "event_timestamp", "_ingested_at", "_source",
-                            "category", "subcategory", "brand", "unit_cost", "product_name",
-                            "_validated_at"]
-SILVER_INVENTORY_STREAM_COLS = ["sku_id", "event_timestamp", "_ingested_at", "_source",
-                                "avg_daily_units", "_validated_at"]
+SILVER_PRICE_STREAM_COLS = ["event_id", "sku_id", "competitor", "competitor_price", "scrape_url", "event_timestamp",
+                            "_ingested_at", "_source", "category", "subcategory", "brand", "unit_cost",
+                            "product_name", "_validated_at", "_price_to_cost"]
+SILVER_INVENTORY_STREAM_COLS = ["event_id", "sku_id", "event_type", "stock_delta", "stock_after", "warehouse_id",
+                                "event_timestamp", "_ingested_at", "_source", "avg_daily_units", "days_of_supply",
+                                "current_stock", "_validated_at"]
+
+
+def _one_payload(raw: DataFrame, deduped: DataFrame, valid: DataFrame) -> DataFrame:
+    """The raw events with one payload per key, each valid one twice: streaming
+    dedup keeps whichever copy arrives first, so all columns can be compared."""
+    return deduped.unionByName(deduped).unionByName(raw.exceptAll(valid))
 
 
 def stream_bronze_silver_prices(spark, sf_dir):
     """Raw landing -> bronze stream -> silver stream (watermark dedup).
 
-    Streaming dedup keeps whichever duplicate arrives first, so the result is
-    projected to the columns that the dedup key determines.
+    All columns of silver prices, from a source with one payload per key.
     """
     p = _p(spark, sf_dir)
     base = run_dir(spark, "prices")
-    runner.land(p.raw.competitor_prices, f"{base}/landing")
+    raw = p.raw.competitor_prices
+    runner.land(_one_payload(raw, silver.dedup_prices(raw), silver.valid_prices(raw)), f"{base}/landing")
     runner.bronze_job(spark, f"{base}/landing", "competitor_prices", f"{base}/bronze",
                       f"{base}/_chk/bronze", p.run_ts)
     runner.silver_prices_job(spark, f"{base}/bronze", p.raw.product_catalog, f"{base}/silver",
@@ -214,7 +221,8 @@ def stream_bronze_silver_prices(spark, sf_dir):
 def stream_silver_inventory(spark, sf_dir):
     p = _p(spark, sf_dir)
     base = run_dir(spark, "inventory")
-    runner.land(p.raw.inventory_events, f"{base}/landing")
+    raw = p.raw.inventory_events
+    runner.land(_one_payload(raw, silver.dedup_inventory(raw), silver.valid_inventory(raw)), f"{base}/landing")
     runner.bronze_job(spark, f"{base}/landing", "inventory_events", f"{base}/bronze",
                       f"{base}/_chk/bronze", p.run_ts)
     runner.silver_inventory_job(spark, f"{base}/bronze", p.velocity, f"{base}/silver",

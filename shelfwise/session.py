@@ -14,8 +14,12 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
+#: what a session without a SparkContext (Spark Connect) raises
+_NO_CONTEXT = (AttributeError, PySparkNotImplementedError)
+
 # Spark settings the pipeline relies on.  Shuffle partitions stay the AQE
 # *initial* number: AQE coalesces small partitions at runtime and splits skewed
 # ones, so the same value is safe from sf0.001 to 100 TB (raise it on a big
@@ -46,7 +50,7 @@ def build_session(master: str = "local[8]", app: str = "shelfwise",
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("SHELFWISE_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("SHELFWISE_DRIVER_MEMORY", "4g")
     if extra:
         conf.update(extra)
     for key, value in conf.items():
@@ -59,7 +63,7 @@ def build_session(master: str = "local[8]", app: str = "shelfwise",
 def _is_local(spark: SparkSession) -> bool:
     try:
         return spark.sparkContext.master.startswith("local")
-    except Exception:  # Spark Connect has no SparkContext
+    except _NO_CONTEXT:
         return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
@@ -74,7 +78,7 @@ def shared_dir(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     try:
         current = spark.sparkContext.getCheckpointDir()
-    except Exception:
+    except _NO_CONTEXT:
         current = None
     if current:
         # setCheckpointDir appends a per-application UUID folder; use its parent
@@ -86,7 +90,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = tempfile.mkdtemp(prefix="shelfwise-")
     try:
         spark.sparkContext.setCheckpointDir(base)
-    except Exception:  # Spark Connect: the runtime setting is all we have
+    except _NO_CONTEXT:  # the runtime setting is all we have
         pass
     spark.conf.set("spark.checkpoint.dir", base)
     return base
@@ -103,5 +107,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(base)
-    except Exception:
+    except _NO_CONTEXT:
         pass
