@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: characters of rendered conversations sent on at once
+FLUSH = 1 << 18
 #: role -> tag
 TAGS = {"user": "INST", "assistant": "OUT", "system": "SYS"}
 OTHER = "ROLE"
@@ -132,30 +134,46 @@ def format_conversations(turns: DataFrame, path: str) -> DataFrame:
     their offsets, the loss mask and the assistant's spans."""
     common.small_batches(turns.sparkSession)
 
-    def work(batches):
+    def conversations(batches):
         key, held = None, []
         for rows in batches:
             for conv, role, text in zip(rows["conv_id"], rows["role"], rows["text"], strict=True):
                 conv = None if pd.isna(conv) else int(conv)
                 if held and conv != key:
-                    yield _formatted(key, held, path)
+                    yield key, held
                     held = []
                 key = conv
                 held.append((role or "", text or ""))
         if held:
-            yield _formatted(key, held, path)
+            yield key, held
+
+    def work(batches):
+        done, size = [], 0
+        for conv, held in conversations(batches):
+            done.append(_formatted(conv, held, path))
+            size += len(done[-1][1])
+            if size >= FLUSH:
+                yield _frame(done)
+                done, size = [], 0
+        if done:
+            yield _frame(done)
 
     rows = turns.select("conv_id", "turn", "role", "text")
     return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
             .select("conv_id", "role", "text").mapInPandas(work, FORMATTED))
 
 
-def _formatted(conv: int | None, turns: list[tuple[str, str]], path: str) -> pd.DataFrame:
+def _formatted(conv: int | None, turns: list[tuple[str, str]], path: str) -> tuple:
     text, spans = render(turns)
     coded = tokenizer(path).encode(text, add_special_tokens=False)
-    offsets = np.array(coded.offsets, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"conv_id": pd.array([conv], "Int64"), "text": [text], "ids": [coded.ids], "begins": [offsets[:, 0]],
-                         "ends": [offsets[:, 1]], "mask": [loss_mask(offsets, spans)], "spans": [[list(s) for s in spans]]})
+    offsets = np.array(coded.offsets, np.int32).reshape(-1, 2)
+    return (conv, text, np.array(coded.ids, np.int32), offsets[:, 0], offsets[:, 1], loss_mask(offsets, spans),
+            [list(s) for s in spans])
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    got = pd.DataFrame(rows, columns=[c.split()[0] for c in FORMATTED.split(", ")])
+    return got.assign(conv_id=got["conv_id"].astype("Int64"))
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, loss_tokens long"
