@@ -5,12 +5,16 @@ of the text's word shingles.  Two fingerprints link when at most ``DISTANCE``
 bits differ.  The distinct fingerprints form a binary trie; the join walks
 pairs of its nodes from the top, adds one to a pair's error wherever the two
 sides take different branches, and drops a pair once its error passes the
-budget.  To spread the walk, the bits are seen in ``DISTANCE + 1`` rotations:
-two linked fingerprints agree in all bits of at least one band, so each
-rotation's trie falls into independent subtries below its first band, and
-each subtrie is walked with the whole budget for the bits that are left.  A
-subtrie with more than ``MAX_SUBTRIE`` fingerprints is dealt into parts, and
-every pair of parts is a walk of its own, so no task holds a hot subtrie.
+budget.  To spread the walk, the 64 bits are cut into ``DISTANCE + SHARED``
+bands: two linked fingerprints agree in all bits of at least ``SHARED`` of
+them.  For each choice of so many bands the trie is built over the bits with
+these bands first, so it falls into independent subtries below them, and each
+subtrie is walked with the whole budget for the bits that are left.  With two
+shared bands, 15 orders of the bits have 20 bits or more in front, so a subtrie
+of evenly spread fingerprints stays within ``MAX_SUBTRIE`` up to four billion
+of them, and what is shuffled grows with their number.  A subtrie with more
+than ``MAX_SUBTRIE`` fingerprints is dealt into parts, and every pair of parts
+is a walk of its own, so no task holds a hot subtrie.
 
 A walk reports a spanning forest of the links it finds, not all pairs, and the
 forests are joined into components.  Equal texts meet earlier, in one
@@ -24,6 +28,8 @@ are); repeated documents are documents of their own.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -34,6 +40,8 @@ from . import common
 from .components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
+#: bands that two linked fingerprints are sure to agree in, and that subtries hang below
+SHARED = 2
 MAX_SUBTRIE = 4096
 ROWS_PER_TASK = 50_000
 #: node pairs walked at once, and hashes unpacked at once
@@ -68,13 +76,33 @@ def fingerprint(text: Column, size: int = SHINGLE) -> Column:
 
 
 # --- walk --------------------------------------------------------------------------
-def rotated(values: np.ndarray, shift: int) -> np.ndarray:
-    if shift == 0:
-        return values
-    return (values << np.uint64(shift)) | (values >> np.uint64(64 - shift))
+def orders(budget: int, shared: int) -> list[list[tuple[int, int]]]:
+    """Each choice of ``shared`` out of ``budget + shared`` bands that cover the
+    64 bits, as all bands (first bit, width) with the chosen ones in front."""
+    n = budget + shared
+    cuts = [round(64 * i / n) for i in range(n + 1)]
+    bands = [(a, b - a) for a, b in itertools.pairwise(cuts)]
+    return [[*chosen, *(x for x in bands if x not in chosen)] for chosen in itertools.combinations(bands, shared)]
+
+
+def arranged(values: np.ndarray, order: list[tuple[int, int]]) -> np.ndarray:
+    """The bits of ``values`` with their bands in another order."""
+    out = np.zeros_like(values)
+    for first, width in order:
+        out = (out << np.uint64(width)) | (values << np.uint64(first) >> np.uint64(64 - width))
+    return out
+
 
+def subtrie_of(fp: Column, chosen: list[tuple[int, int]]) -> Column:
+    """The bits of the chosen bands as one number: the subtrie's place."""
+    out = F.lit(0).cast("long")
+    for first, width in chosen:
+        band = F.shiftrightunsigned(F.shiftleft(fp, first), 64 - width)
+        out = F.shiftleft(out, width).bitwiseOR(band)
+    return out
 
-def linked_pairs(values: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int, depth: int):
+
+def linked_pairs(values: np.ndarray, roots: np.ndarray | list[tuple[int, int, int, int]], budget: int, depth: int):
     """Pairs of positions in ``values`` that differ in at most ``budget`` bits.
 
     ``values`` is sorted within each range of ``roots`` (a_low, a_high, b_low,
@@ -134,34 +162,28 @@ class Forest:
             self._settle()
 
 
-def bands(budget: int) -> list[tuple[int, int]]:
-    """(first bit, width) of ``budget + 1`` bands that cover the 64 bits."""
-    cuts = [round(64 * i / (budget + 1)) for i in range(budget + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
-def _walk(budget: int):
-    widths = bands(budget)
+def _walk(budget: int, shared: int):
+    every = orders(budget, shared)
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        """One bucket of subtries: (band, subtrie, part_a, part_b, side, fp)."""
+        """One bucket of subtries: (band, subtrie, part_a, part_b, side, fp),
+        band being the number of the order."""
         out = []
         for band, own in rows.groupby("band", sort=False):
-            first, width = widths[band]
-            value = rotated(own["fp"].to_numpy(np.int64).view(np.uint64), first)
+            depth = sum(width for _, width in every[band][:shared])
+            value = arranged(own["fp"].to_numpy(np.int64).view(np.uint64), every[band])
             task = own.groupby(["subtrie", "part_a", "part_b"], sort=False).ngroup().to_numpy()
             side = own["side"].to_numpy()
             order = np.lexsort((value, side, task))
             value, task, side = value[order], task[order], side[order]
             edges = np.flatnonzero(np.concatenate([[True], (task[1:] != task[:-1]) | (side[1:] != side[:-1]), [True]]))
-            roots = []
-            for low, high in zip(edges[:-1], edges[1:], strict=True):
-                if side[low] == 0:
-                    roots.append((low, high, low, high))
-                elif side[low] == 1 and high < len(task) and task[high] == task[low]:
-                    roots.append((low, high, high, edges[np.searchsorted(edges, high) + 1]))
+            low, high = edges[:-1], edges[1:]
+            alone = (side[low] == 0) & (high - low > 1)
+            both = np.flatnonzero((side[low[:-1]] == 1) & (task[low[:-1]] == task[low[1:]]))
+            roots = np.concatenate([np.stack([low, high, low, high], 1)[alone],
+                                    np.stack([low[both], high[both], low[both + 1], high[both + 1]], 1)])
             forest = Forest(len(value))
-            for a, b in linked_pairs(value, roots, budget, width):
+            for a, b in linked_pairs(value, roots, budget, depth):
                 forest.add(a, b)
             child = np.flatnonzero(forest.up != np.arange(len(value)))
             fp = own["fp"].to_numpy(np.int64)[order]
@@ -171,10 +193,10 @@ def _walk(budget: int):
     return walk
 
 
-def links(fps: DataFrame, budget: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, budget: int = DISTANCE, shared: int = SHARED) -> DataFrame:
     """Spanning edges (a, b) of the graph that links the distinct fingerprints
     ``fp`` of a stored table at ``budget`` or fewer differing bits."""
-    subtrie = [F.shiftrightunsigned(F.shiftleft("fp", first), 64 - width) for first, width in bands(budget)]
+    subtrie = [subtrie_of(F.col("fp"), order[:shared]) for order in orders(budget, shared)]
     rows = fps.select("fp", F.posexplode(F.array(*subtrie)).alias("band", "subtrie"))
     hot = (rows.groupBy("band", "subtrie").count().where(F.col("count") > MAX_SUBTRIE)
            .select(F.col("band").alias("_b"), F.col("subtrie").alias("_s"),
@@ -188,10 +210,10 @@ def links(fps: DataFrame, budget: int = DISTANCE) -> DataFrame:
     side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
     rows = rows.select("band", "subtrie", F.least("part", "other").alias("part_a"),
                        F.greatest("part", "other").alias("part_b"), side.alias("side"), "fp")
-    buckets = max(1, -(-fps.count() * (budget + 1) // ROWS_PER_TASK))
+    buckets = max(1, -(-fps.count() * len(subtrie) // ROWS_PER_TASK))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("band", "subtrie", "part_a", "part_b"), F.lit(buckets)))
     return rows.groupBy("bucket").applyInPandas(
-        lambda got: _walk(budget)(got), "a long, b long")
+        lambda got: _walk(budget, shared)(got), "a long, b long")
 
 
 def groups(prints: DataFrame, budget: int = DISTANCE) -> DataFrame:

@@ -80,6 +80,35 @@ def test_linked_pairs_are_all_pairs():
     assert got == want
 
 
+@pytest.mark.parametrize("shared", [1, 2, 3])
+def test_orders(shared):
+    """Every order holds each bit once; a pair within the budget meets in a subtrie."""
+    r = random.Random(4)
+    every = simhash.orders(4, shared)
+    values = np.array([r.getrandbits(64) for _ in range(200)], np.uint64)
+    others = np.array([near(r, int(v), r.randrange(5)) for v in values], np.uint64)
+    met = np.zeros(len(values), bool)
+    for order in every:
+        depth = sum(w for _, w in order[:shared])
+        a, b = simhash.arranged(values, order), simhash.arranged(others, order)
+        assert (np.bitwise_count(a) == np.bitwise_count(values)).all()
+        assert (np.bitwise_count(a ^ b) == np.bitwise_count(values ^ others)).all()
+        met |= a >> np.uint64(64 - depth) == b >> np.uint64(64 - depth)
+    assert met.all()
+
+
+@pytest.mark.parametrize("shared", [1, 3])
+def test_links_do_not_depend_on_the_bands(spark, shared):
+    r = random.Random(5)
+    prints = [(i, near(r, c, r.randrange(5))) for i, c in enumerate([r.getrandbits(64) for _ in range(8)] * 15)]
+    prints = list({v: (i, v) for i, v in prints}.values())
+    table = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for _, v in prints], "fp long")
+    root = {x.node % (1 << 64): x.root for x in components(simhash.links(table, 4, shared)).collect()}
+    want = plain_components(prints, 4)
+    got = [root.get(v, ("alone", v)) for _, v in prints]
+    assert len(set(got)) == len(set(want)) == len(set(zip(got, want)))
+
+
 def test_documents(spark):
     base = " ".join(f"w{i}" for i in range(200))
     rows = [(3, base, "k"), (1, base.upper(), "k"), (2, base + " extra", "k"), (7, "other words here now " * 3, None),
