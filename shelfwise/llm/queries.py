@@ -10,7 +10,8 @@ from . import bpe, chat, common, decontaminate, quality, reshard, simhash, token
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_table(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    found = quality.quality_table(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+    return found.withColumn("fired_rules", F.array_join("fired_rules", ","))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +58,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') "
                       "AS t(conv_id, turn, role, text)")
     turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.chat_table(turns, public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.chat_table(turns, public_tokenizers.path("byte_bpe_50k.json")).drop("n_tokens", "loss_tokens")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,4 +124,85 @@ SELECT page_id, host, path, rule,
 FROM ruled LEFT JOIN listed ON key = k
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_decontaminate": _OP7, "op8_url_filter": _OP8}
+#: the cutoffs are written out, as the bound on false rejections is (2% over five rules, level 5%)
+_OP2 = r"""
+WITH doc AS (SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM doc),
+win AS (SELECT k, s, count(*) OVER (PARTITION BY k, g) AS n
+        FROM (SELECT k, s, array_to_string(w[s:s + 2], ' ') AS g
+              FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS s FROM split WHERE len(w) > 2))),
+rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest([s, s + 1, s + 2]) AS p FROM win WHERE n > 1) GROUP BY k),
+sig AS (SELECT k, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+               CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
+               CAST(length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_upper
+        FROM split LEFT JOIN rep USING (k)),
+rated AS (SELECT k, lang, 1 AS r, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS v FROM sig
+          UNION ALL SELECT k, lang, 2, CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END FROM sig
+          UNION ALL SELECT k, lang, 3, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END FROM sig
+          UNION ALL SELECT k, lang, 4, CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0 END FROM sig
+          UNION ALL SELECT k, lang, 5, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END FROM sig),
+cuts AS (SELECT r, rule, unnest(c)::DOUBLE AS cut, generate_subscripts(c, 1) AS i FROM (VALUES
+           (1, 'symbols', [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03]),
+           (2, 'repeats', [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05]),
+           (3, 'copied_lines', [0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1]),
+           (4, 'capitals', [0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15]),
+           (5, 'long_words', [40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0, 10.0])) AS x(r, rule, c)),
+lab AS (SELECT doc_id, min(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT rated.*, q = 1 AS good FROM rated JOIN doc USING (k) JOIN lab USING (doc_id)),
+tally AS (SELECT held.lang, r, rule, i, cut, count(*) FILTER (good) AS n, count(*) FILTER (good AND v >= cut) AS d,
+                 count(*) FILTER (NOT good AND v >= cut) AS b
+          FROM held JOIN cuts USING (r) GROUP BY ALL),
+tested AS (SELECT *, (SELECT 0.05 / (5 * count(DISTINCT coalesce('=' || lang, ''))) FROM held) AS level,
+                  CASE WHEN n = 0 OR d >= n * 0.004 THEN 1 ELSE list_sum(list_transform(range(0, d + 1), lambda j:
+                    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.004) + (n - j) * ln(0.996)))) END AS tail
+           FROM tally),
+certified AS (SELECT *, bool_and(tail <= level) OVER (PARTITION BY lang, r ORDER BY i) AS ok, b - 10 * d AS gain FROM tested),
+used AS (SELECT lang, r, rule, arg_max(cut, (gain, -i)) AS cut FROM certified WHERE ok AND gain > 0 GROUP BY lang, r, rule),
+fired AS (SELECT k, string_agg(rule, ',' ORDER BY rated.r) AS rules
+          FROM rated JOIN used ON rated.r = used.r AND rated.lang IS NOT DISTINCT FROM used.lang WHERE v >= cut GROUP BY k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND rules IS NULL AS kept,
+       coalesce(rules, '') AS fired_rules
+FROM sig LEFT JOIN fired USING (k)
+"""
+
+_ESCAPED = r"""regexp_replace({0}, '([<\[])(\\*(?:/?s>|/?(?:INST|OUT|SYS|ROLE)\]))', '\1\\\2', 'g')"""
+_OP6 = rf"""
+WITH said AS (SELECT conv_id, turn, role, text FROM conversations
+              UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+turns AS (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t FROM said),
+sized AS (SELECT *, length({_ESCAPED.format('t')}) + CASE r WHEN 'user' THEN 15 WHEN 'assistant' THEN 13 WHEN 'system' THEN 13
+            ELSE 16 + length({_ESCAPED.format("replace(replace(r, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")}) END AS chars
+          FROM turns),
+conv AS (SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+                string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS every,
+                coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, text NULLS FIRST) FILTER (r = 'assistant'), '') AS loss
+         FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(7 + chars AS BIGINT) AS formatted_chars
+FROM conv
+"""
+
+#: base 32 by way of the digest's bits
+_OP10 = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+first AS (SELECT t, min(page_id) AS f, sha1(t) AS x FROM page GROUP BY t),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+           lpad(bin(strpos('0123456789abcdef', substr(x, i, 1)) - 1), 4, '0')), '') AS b FROM first),
+named AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+              16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+              + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest FROM bits)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN f IS NULL OR page_id IS NOT DISTINCT FROM f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f IS NULL OR page_id IS NOT DISTINCT FROM f THEN NULL ELSE f END AS refers_to
+FROM page JOIN named USING (t)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": _OP2, "op6_chat": _OP6, "op7_decontaminate": _OP7, "op8_url_filter": _OP8,
+                              "op10_warc": _OP10}
