@@ -17,8 +17,8 @@ parameters and goes to every task; scoring shuffles no text.
 Defined results: a text without any term (null and empty texts too) gets the
 rate of toxic examples without any term, smoothed by one clean example; if
 nothing is labelled, scores are 0; ties in cosine go to the smaller example
-number; of several labels of one id the largest holds; repeated documents get
-equal scores.  A null id is not held out and never an example.
+number; of several labels of one id the largest holds, and of several texts
+the one of smallest sketch is the example; repeated documents get equal scores.  A null id is not held out and never an example.
 """
 
 from __future__ import annotations
@@ -252,7 +252,8 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     schema = "id long, label int, sketch long, terms array<binary>, tfs array<int>"
     bags = common.stored(examples_of(docs, labels).mapInPandas(_example_terms, schema), "toxic-examples")
-    bags = bags.groupBy("sketch").agg(F.min_by(F.struct(*bags.columns), F.struct("id", "label")).alias("e")).select("e.*")
+    for key in ("id", "sketch"):  # also bounds the examples if ids repeat
+        bags = bags.groupBy(key).agg(F.min_by(F.struct(*bags.columns), F.struct("id", "sketch", "label")).alias("e")).select("e.*")
     bags = common.stored(bags, "toxic-distinct")
     sizes = bags.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     n1, n0 = int(sizes[0]), int(sizes[1] - sizes[0])
