@@ -3,8 +3,8 @@
 The examples are a bounded sample of the labelled rows (``MAX_EXAMPLES``), one
 per near-equal text.  Their words, and word beginnings of STEMS bytes (written
 ``abcd*``), are the candidates for the TF-IDF space: the ``MAX_TERMS`` most associated with the label, each in at least
-``MIN_SUPPORT`` of the toxic examples.  Inverse document frequencies are
-counted over all documents.  Every whole text becomes a unit TF-IDF vector; an
+``MIN_EXAMPLES`` toxic examples, however many there are in other languages.
+Inverse document frequencies are counted over all documents.  Every whole text becomes a unit TF-IDF vector; an
 inverted index of the examples, cut into blocks with the largest weight of
 each term per block, finds the ``K`` examples of highest cosine exactly:
 blocks are visited by falling upper bound and the search ends when no block
@@ -38,8 +38,8 @@ MAX_EXAMPLES = 8192
 MAX_TERMS = 512
 #: lengths in bytes of word beginnings
 STEMS = range(4, 9)
-#: share of toxic examples that must hold a term, and the least number of them
-MIN_SUPPORT, MIN_EXAMPLES = 0.02, 3
+#: toxic examples that must hold a term
+MIN_EXAMPLES = 3
 #: association a term must show: chi-square, and ratio of its rates in both classes
 MIN_CHI2, MIN_RATIO = 30.0, 20.0
 K, EPSILON, PRIOR, BLOCK = 25, 0.05, 0.25, 64
@@ -220,7 +220,7 @@ def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]
     chi2 = n * F.pow(a * n0 - b * n1, 2) / ((a + b) * (n - a - b) * n1 * n0)
     chosen = (bags.select("label", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-              .where((F.col("a") >= max(MIN_EXAMPLES, MIN_SUPPORT * n1)) & (a / n1 > MIN_RATIO * b / n0) & (a + b < n))
+              .where((F.col("a") >= MIN_EXAMPLES) & (a / n1 > MIN_RATIO * b / n0) & (a + b < n))
               .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
               .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS))
     return [bytes(r.term) for r in chosen.select("term").collect()]

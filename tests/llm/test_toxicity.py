@@ -1,6 +1,7 @@
 """The block-max search against plain cosines, and scores on held-out rows."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -81,3 +82,24 @@ def test_no_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [x.score for x in toxicity.toxicity_table(docs, labels).collect()] == [0.0, 0.0]
     assert toxicity.toxicity_table(docs.limit(0), labels).collect() == []
+
+
+def test_language_with_a_hundredth_of_the_labels(spark):
+    r = random.Random(3)
+    ids = iter(range(100_000))
+    shown = {i for i in range(100_000) if zlib.crc32(str(i).encode()) % 4 != 2}
+
+    def some(n, words, bad, held):
+        """``n`` documents of either the examples or the held-out ones."""
+        own = [next(i for i in ids if (i in shown) != held) for _ in range(n)]
+        return [(i, " ".join([*r.sample(words, 8), *([bad] if bad else [])])) for i in own]
+
+    rare = [f"seltsam{i}" for i in range(300)]
+    toxic = some(495, CLEAN, "scheusal", False) + some(5, rare, "zhlobnik", False)
+    clean = some(3000, CLEAN, None, False) + some(300, rare, None, False)
+    asked = some(20, rare, "zhlobnik", True)
+    docs = spark.createDataFrame(toxic + clean + asked, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in toxic] + [(i, 0) for i, _ in clean], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert b"zhlobnik" in model.terms
+    assert all(model.score(t)[0] >= toxicity.THRESHOLD for _, t in asked)
