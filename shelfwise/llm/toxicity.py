@@ -2,8 +2,10 @@
 
 The examples are a bounded sample of the labelled rows (``MAX_EXAMPLES``), one
 per near-equal text.  Their words, and word beginnings of STEMS bytes (written
-``abcd*``), are the candidates for the TF-IDF space: the ``MAX_TERMS`` most associated with the label, each in at least
-``MIN_EXAMPLES`` toxic examples, however many there are in other languages.
+``abcd*``), are the candidates for the TF-IDF space: all that are associated
+with the label (MIN_CHI2, MIN_RATIO), each in at least ``MIN_EXAMPLES`` toxic
+examples, however many there are in other languages.  The search runs over
+these terms only; README has the figures of a search over all words.
 Inverse document frequencies are counted over all documents.  Every whole text becomes a unit TF-IDF vector; an
 inverted index of the examples, cut into blocks with the largest weight of
 each term per block, finds the ``K`` examples of highest cosine exactly:
@@ -35,7 +37,6 @@ from pyspark.sql import types as T
 from . import common
 
 MAX_EXAMPLES = 8192
-MAX_TERMS = 512
 #: lengths in bytes of word beginnings
 STEMS = range(4, 9)
 #: toxic examples that must hold a term
@@ -213,8 +214,8 @@ def _example_terms(batches):
 
 
 def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]:
-    """Terms of the examples most associated with the label (chi-square), a
-    bounded list; ties in byte order."""
+    """All terms of the examples associated with the label, by falling
+    chi-square, ties in byte order; bounded by the words of the toxic examples."""
     n1, n0, n = positives, negatives, positives + negatives
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi2 = n * F.pow(a * n0 - b * n1, 2) / ((a + b) * (n - a - b) * n1 * n0)
@@ -222,13 +223,13 @@ def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
               .where((F.col("a") >= MIN_EXAMPLES) & (a / n1 > MIN_RATIO * b / n0) & (a + b < n))
               .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-              .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS))
+              .orderBy(F.desc("chi2"), "term"))
     return [bytes(r.term) for r in chosen.select("term").collect()]
 
 
 def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarray, int]:
     """(documents with each term, documents), over whole texts of all rows; each
-    task sends one row of MAX_TERMS counts at most."""
+    task sends one count a term."""
     whole, begun = lookups(terms)
 
     def count(batches):
@@ -269,7 +270,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame({"id": rows["id"], "label": rows["label"], "terms": [[t for t, _ in x] for x in pairs],
                                 "tfs": [[f for _, f in x] for x in pairs]})
 
-    # bounded: MAX_EXAMPLES rows of at most MAX_TERMS pairs each
+    # bounded: MAX_EXAMPLES rows of the terms they hold
     rows = bags.mapInPandas(restricted, "id long, label int, terms array<int>, tfs array<int>").collect()
     rows.sort(key=lambda r: (r.id, r.label))
     vectors = [unit(dict(zip(r.terms, r.tfs, strict=True)), idf) for r in rows]

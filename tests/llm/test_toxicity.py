@@ -103,3 +103,9 @@ def test_language_with_a_hundredth_of_the_labels(spark):
     model = toxicity.learn(docs, labels)
     assert b"zhlobnik" in model.terms
     assert all(model.score(t)[0] >= toxicity.THRESHOLD for _, t in asked)
+
+
+def test_all_associated_terms_are_kept(spark):
+    bags = [(1, [f"bad{w:03}".encode() for w in range(700) if w % 7 == i % 7]) for i in range(70)] + [(0, [b"plain"])] * 700
+    got = toxicity.select_terms(spark.createDataFrame(bags, "label int, terms array<binary>"), 70, 700)
+    assert sorted(got) == sorted(f"bad{w:03}".encode() for w in range(700))
