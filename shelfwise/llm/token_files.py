@@ -13,6 +13,9 @@ worker lets the library encode the units it hasn't met, many in one call, and
 remembers a bounded number.  Texts with white space beyond ASCII are handed to
 the library whole.
 
+The strings of added tokens in a text are ordinary text, as the README of
+``public_tokenizers`` sets it for this vocabulary (``encode_special_tokens``).
+
 Defined results: a null or empty text has only the end id; null document ids
 come first; rows of one id are ordered by their text's hash; an empty table
 gives no files and no rows.
