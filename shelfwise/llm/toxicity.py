@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples.
 
 The examples are a bounded sample of the labelled rows (``MAX_EXAMPLES``), one
-per near-equal text.  Their words, and word beginnings of STEMS bytes (written
+per text and label; of texts with equal sketch and label, those that share
+``SIMILAR`` of their words with the one of smallest id give way to it.  Their words, and word beginnings of STEMS bytes (written
 ``abcd*``), are the candidates for the TF-IDF space: all that are associated
 with the label (MIN_CHI2, MIN_RATIO), each in at least ``MIN_EXAMPLES`` toxic
 examples, however many there are in other languages.  The search runs over
@@ -20,7 +21,8 @@ Defined results: a text without any term (null and empty texts too) gets the
 rate of toxic examples without any term, smoothed by one clean example; if
 nothing is labelled, scores are 0; ties in cosine go to the smaller example
 number; of several labels of one id the largest holds, and of several texts
-the one of smallest sketch is the example; repeated documents get equal scores.  A null id is not held out and never an example.
+the one of smallest sketch is the example; equal texts
+with both labels are two examples; repeated documents get equal scores.  A null id is not held out and never an example.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ STEMS = range(4, 9)
 MIN_EXAMPLES = 3
 #: association a term must show: chi-square, and ratio of its rates in both classes
 MIN_CHI2, MIN_RATIO = 30.0, 20.0
+#: share of the words of two examples together that both must hold to be one
+SIMILAR = 0.8
 K, EPSILON, PRIOR, BLOCK = 25, 0.05, 0.25, 64
 THRESHOLD = 0.3
 
@@ -201,6 +205,9 @@ def examples_of(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -
             .select(F.col("_id").alias("id"), (F.col("_label") == 1).cast("int").alias("label"), "text"))
 
 
+BAGS = "id long, label int, digest binary, sketch long, words array<long>, terms array<binary>, tfs array<int>"
+
+
 def _example_terms(batches):
     for rows in batches:
         out = []
@@ -209,8 +216,26 @@ def _example_terms(batches):
             tf: dict[bytes, int] = {}
             for t in [*tokens, *(t + b"*" for n in STEMS for t in stems(tokens, n))]:
                 tf[t] = tf.get(t, 0) + 1
-            out.append((i, y, sketch(tokens), list(tf), list(tf.values())))
-        yield pd.DataFrame(out, columns=["id", "label", "sketch", "terms", "tfs"])
+            digest = xxhash.xxh128_digest((text or "").encode("utf-8", "surrogatepass"))
+            held = [xxhash.xxh64_intdigest(t) >> 1 for t in set(tokens)]
+            out.append((i, y, digest, sketch(tokens), held, list(tf), list(tf.values())))
+        yield pd.DataFrame(out, columns=["id", "label", "digest", "sketch", "words", "terms", "tfs"])
+
+
+def distinct_examples(bags: DataFrame) -> DataFrame:
+    """One row per id, then per text and label, then without the near copies of
+    the first of their sketch and label.  Only the firsts of groups are
+    broadcast, so a large group isn't dealt to one task."""
+    for key in (["id"], ["digest", "label"]):  # also bounds the examples if ids repeat
+        bags = bags.groupBy(*key).agg(F.min_by(F.struct(*bags.columns), F.struct("id", "sketch", "label")).alias("e")).select("e.*")
+    bags = common.stored(bags, "toxic-texts")
+    first = (bags.groupBy(F.col("sketch").alias("_sketch"), F.col("label").alias("_label"))
+             .agg(F.min("id").alias("_id"), F.min_by("words", "id").alias("_words"), F.count("*").alias("_n"))
+             .where("_n > 1"))
+    both = F.size(F.array_intersect("words", "_words"))
+    near = ((F.col("sketch") == F.col("_sketch")) & (F.col("label") == F.col("_label")) & (F.col("id") != F.col("_id"))
+            & (both >= SIMILAR * (F.size("words") + F.size("_words") - both)))
+    return common.stored(bags.join(F.broadcast(first), near, "left_anti"), "toxic-distinct")
 
 
 def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]:
@@ -251,11 +276,7 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    schema = "id long, label int, sketch long, terms array<binary>, tfs array<int>"
-    bags = common.stored(examples_of(docs, labels).mapInPandas(_example_terms, schema), "toxic-examples")
-    for key in ("id", "sketch"):  # also bounds the examples if ids repeat
-        bags = bags.groupBy(key).agg(F.min_by(F.struct(*bags.columns), F.struct("id", "sketch", "label")).alias("e")).select("e.*")
-    bags = common.stored(bags, "toxic-distinct")
+    bags = distinct_examples(common.stored(examples_of(docs, labels).mapInPandas(_example_terms, BAGS), "toxic-examples"))
     sizes = bags.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     n1, n0 = int(sizes[0]), int(sizes[1] - sizes[0])
     terms = select_terms(bags, n1, n0) if n1 and n0 else []

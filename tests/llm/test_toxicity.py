@@ -109,3 +109,17 @@ def test_all_associated_terms_are_kept(spark):
     bags = [(1, [f"bad{w:03}".encode() for w in range(700) if w % 7 == i % 7]) for i in range(70)] + [(0, [b"plain"])] * 700
     got = toxicity.select_terms(spark.createDataFrame(bags, "label int, terms array<binary>"), 70, 700)
     assert sorted(got) == sorted(f"bad{w:03}".encode() for w in range(700))
+
+
+def test_only_near_copies_of_one_label_merge(spark):
+    def sketch(text):
+        return toxicity.sketch(toxicity.words(text))
+
+    passage = " ".join(f"shared{i}" for i in range(20))
+    texts = (passage + " " + " ".join(f"{k}own{j}" for j in range(60)) for k in range(400))
+    one, two = [t for t in texts if sketch(t) == sketch(passage) == sketch(t + " x")][:2]
+    rows = [(one, 0), (two, 0), (one, 1), (one, 0), (one + " x", 0), (two, 1)]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:len(rows)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, rows, strict=True)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, rows, strict=True)], "doc_id long, toxic int")
+    assert toxicity.learn(docs, labels).ids == [ids[0], ids[1], ids[2], ids[5]]
