@@ -67,7 +67,8 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFra
 
 def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Stored table of windows with their prefix: the rarest word and its place
-    in the window, the second rarest and its place.  Ties in word order."""
+    in the window, the second rarest and its place.  Ties in word order.
+    Windows with a word that no document holds can't occur and are left out."""
     entries = windows.select("wid", F.posexplode("window").alias("at", "word"))
     known = common.stored(entries.select("word").distinct(), "window-words")
     slices = slices_of(known)
@@ -84,6 +85,7 @@ def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
     ranked = ranked.withColumn("second", F.coalesce(F.get("rare", F.lit(1)), F.get("rare", F.lit(0))))
     return common.stored(
         windows.join(ranked.withColumnRenamed("wid", "_wid"), F.col("wid") == F.col("_wid"))
+        .where(F.col("rare")[0].n > 0)
         .select("wid", "window", F.col("rare")[0].word.alias("prefix"), F.col("rare")[0]["at"].alias("prefix_at"),
                 F.col("second.word").alias("second"), F.col("second.at").alias("second_at")), "windows-prefixes")
 
@@ -104,7 +106,7 @@ def occurrences(docs: DataFrame, prefixed: DataFrame) -> DataFrame:
                 & (F.slice("w", start + 1, F.size("window")) == F.col("window")))
     slices, found = slices_of(prefixed), None
     for n in range(slices):
-        some = prefixed.where(F.pmod(F.xxhash64("prefix"), F.lit(slices)) == n)
+        some = prefixed.where(F.pmod(F.xxhash64("wid"), F.lit(slices)) == n)
         part = place.join(F.broadcast(some), verified).select(
             "doc_id", "h", start.alias("start"), (start + F.size("window")).alias("end"), "wid")
         found = part if found is None else found.unionByName(part)

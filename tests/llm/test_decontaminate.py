@@ -69,3 +69,16 @@ def test_plan_has_no_python(spark):
     with contextlib.redirect_stdout(out):
         decontaminate.contamination_table(docs, bench).explain()
     assert "Python" not in out.getvalue() and "Cartesian" not in out.getvalue() and "NestedLoop" not in out.getvalue()
+
+
+def test_one_prefix_in_many_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_WINDOWS", 100)
+    broadcast, sizes = decontaminate.F.broadcast, []
+    ends = [f"a{i} b{i}" for i in range(400)]
+    bench = spark.createDataFrame(list(enumerate([f"{w} {e}" for w in ("rare", "absent") for e in ends])), "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(2 * ends)), (2, "rare a7 b7")], "doc_id long, text string")
+    windows, _ = decontaminate.benchmark_windows(bench, 3)
+    prefixed = decontaminate.prefixes(docs, windows)
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda df: sizes.append(df.count()) or broadcast(df))
+    assert [(r.doc_id, r.start, r.end) for r in decontaminate.occurrences(docs, prefixed).collect()] == [(2, 0, 3)]
+    assert sum(sizes) == 400 and max(sizes) <= 150
