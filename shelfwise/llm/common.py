@@ -23,11 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: computed once,
-    and nothing above it is run again when an executor is lost."""
+    and nothing above it is run again when an executor is lost.  With
+    ``partition_by``, a filter on that column reads its files only."""
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

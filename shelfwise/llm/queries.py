@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, decontaminate, quality, reshard, simhash, token_files, toxicity, urls, warc
+from . import (bpe, chat, collocations, common, decontaminate, manifest, packing, quality, reshard, simhash, token_files, toxicity,
+               urls, warc)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_table(common.table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocation_table(common.table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_table(common.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_table(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -76,6 +89,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
+    "op12_packing": op12_packing,
+    "op13_manifest": op13_manifest,
 }
 
 _LOWER_AZ = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -204,5 +220,79 @@ SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, payload_digest,
 FROM page JOIN named USING (t)
 """
 
+_OP11 = r"""
+WITH piece AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p
+               FROM (SELECT coalesce(lang, 'und') AS lang, {lower} AS t FROM documents)),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+freq AS (SELECT lang, phrase, k, count(*) AS f FROM (
+           SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+           FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s
+                 FROM (SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM words) WHERE len(w) >= k))
+         GROUP BY lang, phrase, k HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM freq WHERE k >= 2),
+cut AS (SELECT c.lang, c.phrase, c.k, c.f AS a, s, l.f AS l, r.f AS r,
+               (2000000 * c.f::HUGEINT) // (l.f::HUGEINT + r.f::HUGEINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS s FROM cand) c
+        JOIN freq l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:s], ' ')
+        JOIN freq r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[s + 1:], ' ')),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, s) AS i FROM cut),
+inner_part AS (SELECT lang, array_to_string(w[b:b + size - 1], ' ') AS phrase, max(f) AS longer
+               FROM (SELECT *, unnest(range(1, k - size + 2)) AS b
+                     FROM (SELECT *, unnest(range(2, k)) AS size FROM cand WHERE k > 2))
+               GROUP BY ALL),
+ranked AS (SELECT low.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+           FROM low LEFT JOIN inner_part USING (lang, phrase)
+           WHERE i = 1 AND (longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""".replace("{lower}", _LOWER_AZ.format("coalesce(text, '')"))
+
+#: ranks within a level say which nodes form a run; the last runs of a group fall away when one node is left
+_OP13 = """
+WITH RECURSIVE field AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+         coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i:
+           ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)), lambda c, b:
+             list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))) AS crc
+  FROM documents),
+told AS (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN {lower} ELSE text END AS now FROM field),
+leaves AS (SELECT doc_id, lang, leaf, sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS changed,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM told),
+node AS (
+  SELECT 0 AS level, lang, r AS i, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, i // 8, sha256(string_agg(d, '' ORDER BY i)), (n + 7) // 8 FROM node WHERE n > 1
+  GROUP BY level, lang, i // 8, n),
+subroot AS (SELECT lang, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS level, r AS i, subroot AS d, count(*) OVER () AS n FROM subroot
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(d, '' ORDER BY i)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, i // 8, n),
+run AS (SELECT lang, level, i // 8 AS g, list(d ORDER BY i) AS ds FROM node WHERE n > 1 GROUP BY ALL),
+top_run AS (SELECT level, i // 8 AS g, list(d ORDER BY i) AS ds FROM top WHERE n > 1 GROUP BY ALL),
+lower_proof AS (
+  SELECT l.lang, l.r, list(array_to_string(ds[:(l.r // (8 ** level)::BIGINT) % 8], '') ORDER BY level) AS before,
+         list(array_to_string(ds[(l.r // (8 ** level)::BIGINT) % 8 + 2:], '') ORDER BY level) AS after
+  FROM leaves l JOIN run ON run.lang IS NOT DISTINCT FROM l.lang AND g = l.r // (8 ** (level + 1))::BIGINT GROUP BY ALL),
+upper_proof AS (
+  SELECT s.r AS s, list(array_to_string(ds[:(s.r // (8 ** level)::BIGINT) % 8], '') ORDER BY level) AS before,
+         list(array_to_string(ds[(s.r // (8 ** level)::BIGINT) % 8 + 2:], '') ORDER BY level) AS after
+  FROM subroot s JOIN top_run ON g = s.r // (8 ** (level + 1))::BIGINT GROUP BY ALL),
+proven AS (
+  SELECT l.doc_id, l.leaf, l.changed, s.subroot, (SELECT d FROM top WHERE n = 1) AS root,
+         coalesce(p.before, []) || coalesce(u.before, []) AS before, coalesce(p.after, []) || coalesce(u.after, []) AS after
+  FROM leaves l JOIN subroot s ON s.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN lower_proof p ON p.lang IS NOT DISTINCT FROM l.lang AND p.r = l.r LEFT JOIN upper_proof u ON u.s = s.r),
+folded AS (
+  SELECT *, list_reduce(list_prepend(changed, list_transform(range(1, len(before) + 1), lambda i: CAST(i AS VARCHAR))),
+                        lambda d, i: sha256(before[CAST(i AS INT)] || d || after[CAST(i AS INT)])) AS folded_root FROM proven)
+SELECT doc_id, leaf, subroot, root, folded_root, folded_root = root AS verified,
+       sha256(array_to_string(list_transform(range(1, len(before) + 1), lambda i: before[i] || after[i]), '')) AS proof_sha256
+FROM folded
+""".replace("{lower}", _LOWER_AZ.format("text"))
+
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": _OP2, "op6_chat": _OP6, "op7_decontaminate": _OP7, "op8_url_filter": _OP8,
-                              "op10_warc": _OP10}
+                              "op10_warc": _OP10, "op11_collocations": _OP11, "op13_manifest": _OP13}
