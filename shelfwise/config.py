@@ -26,12 +26,12 @@ SIGNAL_CUTOFF_PCT = 3.0        # J4: RAISE if delta > 3, DISCOUNT if < -3
 SIGNAL_RAISE = "↑ RAISE"
 SIGNAL_DISCOUNT = "↓ DISCOUNT"
 SIGNAL_HOLD = "→ HOLD"
-PROMO_TYPES = ["CLEARANCE", "SEASONAL", "COMPETITIVE", "VOLUME", "BUNDLE"]
-COST_REASONS = ["RAW_MATERIAL", "TARIFF", "FUEL_SURCHARGE", "VOLUME_DISCOUNT", "NEGOTIATION"]
-MACRO_SOURCE = "BLS"
 # Price-target label: target margin drawn from [0.38, 0.55]
 TARGET_GM_LOW = 0.38
 TARGET_GM_HIGH = 0.55
+# Its optional noise: standard deviation of a promotion's price, and of a list price per unit of its floor
+PROMO_NOISE = 0.5
+LIST_NOISE = 0.01
 SAMPLE_SEED = 99
 
 # The 19 model features, in training order.

@@ -113,11 +113,20 @@ def flag_columns(target_gm: float = config.TARGET_GM,
 TARGET_GM_SPAN = round(config.TARGET_GM_HIGH - config.TARGET_GM_LOW, 2)   # fixed value: width of the target-margin range [0.38, 0.55]
 
 
-def price_target(key="sku_id") -> Column:
+def normal(key: str | Column, draw: str = "noise") -> Column:
+    """A standard normal draw per key (Box-Muller over two hashes of it): the
+    same under any partitioning, with no state to pass along."""
+    u, v = (unit_hash(F.concat(F.lit(f"{draw}-{i}:"), col(key))) for i in "ab")
+    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u)) * F.cos(F.lit(2.0) * F.pi() * v)
+
+
+def price_target(key="sku_id", noise: bool = False) -> Column:
     """Synthetic optimal price (training label) for one mart row.
 
-    The target margin is a deterministic per-SKU draw from [0.38, 0.55] and the
-    label noise is left out, so the label is reproducible on any cluster.
+    The target margin is a deterministic per-SKU draw from [0.38, 0.55], so the
+    label is reproducible on any cluster.  With ``noise`` a normal draw keyed by
+    the SKU is added, of a fixed spread to a promotion's price and of a share of
+    the floor price to a list price, before the latter is held above cost.
     """
     g = F.lit(config.TARGET_GM_LOW) + F.lit(TARGET_GM_SPAN) * unit_hash(key)
     floor = F.col("unit_cost") / (F.lit(1.0) - g)
@@ -130,9 +139,13 @@ def price_target(key="sku_id") -> Column:
                   .otherwise(F.lit(0.0)))
     dos = F.col("days_of_supply")
     scarcity_adj = F.when((dos > 0) & (dos < 14), floor * F.lit(0.02)).otherwise(F.lit(0.0))
-    promo_price = F.round(floor * (F.lit(1.0) - F.col("discount_pct")), 2)
-    list_price = F.round(F.greatest(F.col("unit_cost") * F.lit(1.10),
-                                    floor + comp_adj + demand_adj + scarcity_adj), 2)
+    promo_price = floor * (F.lit(1.0) - F.col("discount_pct"))
+    list_price = floor + comp_adj + demand_adj + scarcity_adj
+    if noise:
+        z = normal(key)
+        promo_price, list_price = promo_price + config.PROMO_NOISE * z, list_price + floor * config.LIST_NOISE * z
+    promo_price = F.round(promo_price, 2)
+    list_price = F.round(F.greatest(F.col("unit_cost") * F.lit(1.10), list_price), 2)
     return F.when(F.col("discount_pct") > 0, promo_price).otherwise(list_price)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import pricing
+from . import skew
 from .bronze import stamp, ts_literal
 from .silver import unique_catalog
 from .unique import one_per_key
@@ -47,13 +48,18 @@ def latest_inventory(silver_inventory: DataFrame) -> DataFrame:
     return one_per_key(rows, "sku_id", order).select("sku_id", "current_stock", "days_of_supply")
 
 
-def latest_inventory_of_events(deduped: DataFrame, velocity: DataFrame) -> DataFrame:
-    """The same rows from deduplicated inventory events: the latest per SKU
-    first (a map-side top-1), then the velocity join at SKU grain, so neither
-    step sees a hot SKU's events together."""
+def latest_stock(deduped: DataFrame) -> DataFrame:
+    """The latest of deduplicated inventory events per SKU (a map-side top-1)."""
     order = [F.col("event_timestamp").desc(), F.col("event_id").asc()]
     rows = deduped.select("sku_id", "event_timestamp", "event_id", F.col("stock_after").alias("current_stock"))
-    return one_per_key(rows, "sku_id", order).join(velocity, "sku_id", "left").select(
+    return one_per_key(rows, "sku_id", order).select("sku_id", "current_stock")
+
+
+def latest_inventory_of_events(deduped: DataFrame, velocity: DataFrame) -> DataFrame:
+    """:func:`latest_inventory` from deduplicated events: the latest per SKU
+    first, then the velocity join at SKU grain, so neither step sees a hot
+    SKU's events together."""
+    return latest_stock(deduped).join(velocity, "sku_id", "left").select(
         "sku_id", "current_stock", pricing.days_of_supply("current_stock", "avg_daily_units").alias("days_of_supply"))
 
 
@@ -126,8 +132,9 @@ def sku_dimension_of(catalog: DataFrame, inventory: DataFrame, demand: DataFrame
     """One row per catalog SKU with every non-competitor feature filled in:
     each side is made unique per SKU, whatever its table holds.
 
-    ``inventory`` is the output of :func:`latest_inventory` (or its form over
-    events), ``demand`` that of :func:`demand_window`.
+    ``inventory`` is the output of :func:`latest_inventory`, or that of
+    :func:`latest_stock`, whose days of supply are then taken from ``demand``,
+    the output of :func:`demand_window`.
     """
     # D6, the one-row PPI aggregate, attached as a scalar subquery (a struct)
     macro = macro_trailing(macro_signals, as_of).select(
@@ -140,6 +147,8 @@ def sku_dimension_of(catalog: DataFrame, inventory: DataFrame, demand: DataFrame
            .join(best_promo(promotions), "sku_id", "left")
            .join(supplier_pressure(supplier_cost_changes, as_of), "sku_id", "left")
            .withColumn("_macro", macro))
+    if "days_of_supply" not in dim.columns:
+        dim = dim.withColumn("days_of_supply", pricing.days_of_supply("current_stock", "avg_daily_units"))
     # B8 defaults (one SQL projection: a single driver round trip)
     return dim.selectExpr(
         "sku_id", "product_name", "category", "subcategory", "brand", "supplier_id",
@@ -164,12 +173,14 @@ def sku_dimension_of(catalog: DataFrame, inventory: DataFrame, demand: DataFrame
 
 
 # --- D8: the feature row ------------------------------------------------------------
-def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+def pricing_features(silver_prices: DataFrame, dim: DataFrame, run_ts: dt.datetime | None = None,
+                     hot: list[str] | None = None, salts: int = 0) -> DataFrame:
     """Valid, deduplicated price events (batch or stream) x SKU dimension -> 30
     gold columns.  The dimension holds exactly the catalog's SKUs, so events
-    need no catalog join before this one."""
+    need no catalog join before this one.  A stream names its ``hot`` SKUs; in
+    a batch Spark splits them by itself."""
     events = silver_prices.select("sku_id", "competitor", "competitor_price", "event_timestamp")
-    joined = events.join(dim, "sku_id")
+    joined = skew.salted_join(events, dim, "sku_id", hot or [], ["sku_id", "competitor", "event_timestamp"], salts=salts)
     return joined.select(
         "sku_id", "product_name", "category", "subcategory", "brand", "supplier_id",
         "unit_cost", "weight_lbs", "competitor", "competitor_price",

@@ -29,5 +29,14 @@ def profile(df: DataFrame, name: str, ts_col: str | None, key_col: str | None =
                   latest.alias("latest_ts"), keys.alias("distinct_keys"))
 
 
+def profile_two(df: DataFrame, one: tuple[str, str], two: tuple[str, str], key_col: str) -> DataFrame:
+    """Two tables with the same rows, each with a (name, time column) of its
+    own, in one aggregate."""
+    sums = df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key_col).alias("distinct_keys"),
+                  *[F.max(ts).cast("timestamp").alias(f"_{i}") for i, (_, ts) in enumerate((one, two))])
+    both = F.array(*[F.struct(F.lit(name).alias("table_name"), F.col(f"_{i}").alias("latest_ts")) for i, (name, _) in enumerate((one, two))])
+    return sums.select("row_count", "distinct_keys", F.inline(both)).select("table_name", "row_count", "latest_ts", "distinct_keys")
+
+
 def profiles(tables: list[tuple[DataFrame, str, str | None, str | None]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(*t) for t in tables])

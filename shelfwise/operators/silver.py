@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import pricing
+from . import skew
 from .bronze import stamp
 from .unique import one_per_key
 
@@ -50,15 +51,22 @@ def valid_inventory(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, keys: list[str], tiebreak: list[str],
-                delay: str = config.WATERMARK_DELAY) -> DataFrame:
+                delay: str = config.WATERMARK_DELAY, salts: int = 0) -> DataFrame:
     """I1 + I2: one row per key.
 
     Stream: watermark + dropDuplicates (rows behind the watermark are dropped,
-    I3).  Batch: row_number over the key with a total order; Spark plans the
+    I3).  With ``salts`` in two levels: first by key and a salt of the input
+    partition, so a key that holds a large share of a batch is spread over
+    that many state tasks, then what is left of it (a row per salt) by key.
+    Batch: row_number over the key with a total order; Spark plans the
     ``rn = 1`` filter as a partial WindowGroupLimit before the shuffle.
     """
     if df.isStreaming:
-        return df.withWatermark("event_timestamp", delay).dropDuplicates(keys)
+        df = df.withWatermark("event_timestamp", delay)
+        if salts:
+            salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+            df = df.withColumn("_salt", salt).dropDuplicates([*keys, "_salt"]).drop("_salt")
+        return df.dropDuplicates(keys)
     return one_per_key(df, keys, [F.col(c).asc() for c in tiebreak])
 
 
@@ -74,14 +82,16 @@ def catalog_lookup(catalog: DataFrame) -> DataFrame:
     return unique_catalog(catalog).select(*CATALOG_COLUMNS)
 
 
-def dedup_prices(bronze: DataFrame) -> DataFrame:
+def dedup_prices(bronze: DataFrame, salts: int = 0) -> DataFrame:
     """C1 + C2, then I1 + I2: valid price events, one per key."""
-    return deduplicate(valid_prices(bronze), PRICE_KEYS, PRICE_TIEBREAK)
+    return deduplicate(valid_prices(bronze), PRICE_KEYS, PRICE_TIEBREAK, salts=salts)
 
 
-def enrich_prices(deduped: DataFrame, lookup: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-    """D1 + B2 + B5: inner join with :func:`catalog_lookup` (unknown SKUs dropped), stamps."""
-    enriched = deduped.join(lookup, "sku_id")
+def enrich_prices(deduped: DataFrame, lookup: DataFrame, run_ts: dt.datetime | None = None,
+                  hot: list[str] | None = None, salts: int = 0) -> DataFrame:
+    """D1 + B2 + B5: inner join with :func:`catalog_lookup` (unknown SKUs
+    dropped), stamps; the events of ``hot`` SKUs are spread over ``salts`` tasks."""
+    enriched = skew.salted_join(deduped, lookup, "sku_id", hot or [], PRICE_KEYS, salts=salts)
     return enriched.withColumns({
         "_validated_at": stamp(run_ts),
         "_price_to_cost": pricing.price_to_cost(),
@@ -93,14 +103,15 @@ def silver_prices(bronze: DataFrame, catalog: DataFrame, run_ts: dt.datetime | N
     return enrich_prices(dedup_prices(bronze), catalog_lookup(catalog), run_ts)
 
 
-def dedup_inventory(bronze: DataFrame) -> DataFrame:
+def dedup_inventory(bronze: DataFrame, salts: int = 0) -> DataFrame:
     """C1 + C2, then I1 + I2: valid inventory events, one per key."""
-    return deduplicate(valid_inventory(bronze), INVENTORY_KEYS, INVENTORY_TIEBREAK)
+    return deduplicate(valid_inventory(bronze), INVENTORY_KEYS, INVENTORY_TIEBREAK, salts=salts)
 
 
-def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+def enrich_inventory(deduped: DataFrame, velocity: DataFrame, run_ts: dt.datetime | None = None,
+                     hot: list[str] | None = None, salts: int = 0) -> DataFrame:
     """D2 + B9 + B10 + B2: left join with per-SKU velocity, days of supply."""
-    joined = deduped.join(velocity, "sku_id", "left")
+    joined = skew.salted_join(deduped, velocity, "sku_id", hot or [], INVENTORY_KEYS, "left", salts)
     return joined.withColumns({
         "days_of_supply": pricing.days_of_supply("stock_after", "avg_daily_units"),
         "current_stock": F.col("stock_after"),

@@ -12,9 +12,9 @@ from .joins import materialize
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def with_price_target(mart: DataFrame, label: str = "optimal_price") -> DataFrame:
+def with_price_target(mart: DataFrame, label: str = "optimal_price", noise: bool = False) -> DataFrame:
     """Add the synthetic optimal-price label to every mart row."""
-    return mart.withColumn(label, pricing.price_target())
+    return mart.withColumn(label, pricing.price_target(noise=noise))
 
 
 def price_target_rows(mart: DataFrame) -> DataFrame:

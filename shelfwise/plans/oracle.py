@@ -42,10 +42,6 @@ RUN = _ts(config.RUN_TS)
 SKU = "printf('SKU-%05d', {})"
 
 
-def _list(values: list[str]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
 def _u(expr: str) -> str:
     """U[0,1) from the first 8 hex digits of md5(expr)."""
     return f"(CAST('0x' || substr(md5({expr}), 1, 8) AS BIGINT) / {D(4294967296.0)})"
@@ -101,7 +97,7 @@ event_users AS (
 customer_behavior AS (
   SELECT {SKU.format('p.p_partkey')} AS sku_id, CAST(u.views AS BIGINT) AS view_count,
          CAST(u.clicks AS DOUBLE) / u.n_events AS cart_add_rate,
-         CAST(u.purchases AS DOUBLE) / u.n_events AS conversion_rate,
+         CAST(u.purchases AS DOUBLE) / u.n_events * CASE WHEN p.p_partkey % 3 = 0 THEN {D(0.2)} ELSE {D(1.0)} END AS conversion_rate,
          CAST(u.errors AS DOUBLE) / u.n_events AS return_rate,
          CAST(NULL AS BIGINT) AS avg_session_time_sec, {AS_OF_D} AS snapshot_date
   FROM part p
@@ -111,7 +107,7 @@ customer_behavior AS (
 promotions AS (
   SELECT 'PR-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS promo_id,
          {SKU.format('l_partkey')} AS sku_id,
-         ({_list(config.PROMO_TYPES)})[l_linenumber % 5 + 1] AS promo_type,
+         'PROMO-' || CAST(l_linenumber % 5 AS VARCHAR) AS promo_type,
          l_discount + {D(0.05)} AS discount_pct,
          CAST(l_shipdate AS DATE) AS start_date,
          CAST(l_shipdate AS DATE) + 30 AS end_date,
@@ -124,7 +120,7 @@ supplier_cost_changes AS (
          {SKU.format('l_partkey')} AS sku_id,
          'SUP-' || lpad(CAST(l_partkey % 30 + 1 AS VARCHAR), 3, '0') AS supplier_id,
          l_tax * {D(2.875)} - {D(0.08)} AS cost_delta_pct,
-         ({_list(config.COST_REASONS)})[l_linenumber % 5 + 1] AS reason,
+         'REASON-' || CAST(l_linenumber % 5 AS VARCHAR) AS reason,
          CAST(l_shipdate AS TIMESTAMP) AS event_timestamp
   FROM lineitem WHERE l_returnflag = 'R')""",
     "macro_signals": f"""
@@ -139,7 +135,7 @@ macro_signals AS (
          {D(100.0)} + CAST(cents AS DOUBLE) / CAST(n * 2500000 AS DOUBLE) AS ppi_steel,
          {D(60.0)} + {D(160.0)} * n_open / n AS ppi_copper,
          {D(70.0)} + {D(110.0)} * n_urgent / n AS ppi_pvc,
-         '{config.MACRO_SOURCE}' AS source
+         'orders' AS source
   FROM macro_weeks)""",
 }
 
@@ -322,6 +318,16 @@ price_target AS (
               ELSE {R(f'greatest(unit_cost * {D(1.10)}, floor_price + comp_adj + demand_adj + scarcity_adj)', 2)}
          END AS optimal_price
   FROM target_parts)""",
+    "price_target_noisy": f"""
+target_draws AS (
+  SELECT *, sqrt({D(-2.0)} * ln({D(1.0)} - {_u("'noise-a:' || sku_id")})) * cos(2 * pi() * {_u("'noise-b:' || sku_id")}) AS z
+  FROM target_parts),
+price_target_noisy AS (
+  SELECT sku_id, discount_pct,
+         CASE WHEN discount_pct > 0 THEN {R(f'floor_price * ({D(1.0)} - discount_pct) + {D(config.PROMO_NOISE)} * z', 2)}
+              ELSE {R(f'greatest(unit_cost * {D(1.10)}, floor_price + comp_adj + demand_adj + scarcity_adj + floor_price * {D(config.LIST_NOISE)} * z)', 2)}
+         END AS optimal_price
+  FROM target_draws)""",
     "score_compare": f"""
 score_rec AS (
   SELECT sku_id, product_name, category, unit_cost, current_price, competitor_price, units_sold_7d,
@@ -340,7 +346,7 @@ ORDER = [
     "promotions", "supplier_cost_changes", "macro_signals",
     "bronze_prices", "bronze_inventory", "silver_prices", "velocity", "silver_inventory",
     "latest_inventory", "demand_window", "best_promo", "supplier_pressure", "macro_trailing",
-    "sku_dim", "gold_features", "feature_mart", "flag_inputs", "price_flags", "price_target", "score_compare",
+    "sku_dim", "gold_features", "feature_mart", "flag_inputs", "price_flags", "price_target", "price_target_noisy", "score_compare",
 ]
 ALL_CTES = {**RAW_CTES, **DERIVED_CTES}
 
@@ -381,6 +387,7 @@ QUERIES = {
                   "sku_id ASC NULLS FIRST LIMIT 20"),
     "price_target": ("SELECT sku_id, unit_cost, competitor_price, avg_daily_units, days_of_supply, "
                      "discount_pct, optimal_price FROM price_target"),
+    "price_target_noisy": "SELECT * FROM price_target_noisy",
     "target_summary": f"""
 SELECT count(optimal_price) AS count, {R('avg(optimal_price)', 2)} AS mean,
        {R('stddev_samp(optimal_price)', 2)} AS std, {R('min(optimal_price)', 2)} AS min,
@@ -433,7 +440,8 @@ WHERE {_u("'split:' || sku_id")} >= {D(0.8)}""",
     ]),
     # what must hold of the model on the test split of the labelled mart
     "gbt_checks": (f"SELECT count(*) > 0 AS vectors_hold_columns, count(*) > 0 AS reloaded_scores_equal, "
-                   f"count(*) > 0 AS beats_shelf_price FROM price_target WHERE {_u("'split:' || sku_id")} >= {D(0.8)}"),
+                   f"count(*) > 0 AS beats_shelf_price, "
+                   f"count(*) > 0 AS beats_four_rounds, count(*) > 0 AS best_rounds_kept, count(*) > 0 AS patience_kept FROM price_target WHERE {_u("'split:' || sku_id")} >= {D(0.8)}"),
     "sku_dimension": "SELECT * FROM sku_dim",
     "stream_bronze_silver_prices": "SELECT * FROM silver_prices",
     "stream_silver_inventory": "SELECT * FROM silver_inventory",
@@ -446,6 +454,16 @@ WHERE odd OR event_timestamp > (
   SELECT max(event_timestamp) - INTERVAL 30 MINUTE FROM bronze_prices
   WHERE CAST(right(event_id, 1) AS INT) % 2 = 1 AND sku_id IS NOT NULL
     AND competitor_price > 0 AND competitor_price < 10000)""",
+    "stream_hot_prices": f"""
+SELECT DISTINCT sku_id, competitor, event_timestamp FROM (
+  SELECT CASE WHEN third < 2 THEN 'SKU-00001' ELSE sku_id END AS sku_id,
+         CASE WHEN third = 0 THEN 'C0' ELSE competitor END AS competitor,
+         CASE WHEN third = 0 THEN 10 ELSE competitor_price END AS competitor_price,
+         CASE WHEN third = 0 THEN {AS_OF_TS}
+              WHEN third = 1 THEN event_timestamp + to_seconds(CAST(split_part(event_id, '-', 2) AS BIGINT) % 86400)
+              ELSE event_timestamp END AS event_timestamp
+  FROM (SELECT *, CAST(right(event_id, 1) AS INT) % 3 AS third FROM competitor_prices))
+JOIN product_catalog USING (sku_id) WHERE competitor_price > 0 AND competitor_price < 10000""",
     "stream_gold": "SELECT * FROM gold_features",
     "stream_feature_mart": "SELECT * FROM feature_mart",
 }

@@ -65,9 +65,10 @@ class PricingPipeline:
     # gold -----------------------------------------------------------------
     @cached_property
     def sku_dimension_plan(self) -> DataFrame:
+        # demand joins once, and is written only where silver needs it too
         r = self.raw
-        inventory = gold.latest_inventory_of_events(silver.dedup_inventory(self.bronze_inventory), self.velocity)
-        return gold.sku_dimension_of(r.product_catalog, inventory, self.demand,
+        inventory = gold.latest_stock(silver.dedup_inventory(self.bronze_inventory))
+        return gold.sku_dimension_of(r.product_catalog, inventory, gold.demand_window(r.daily_sales, self.as_of),
                                   r.customer_behavior, r.promotions, r.supplier_cost_changes,
                                   r.macro_signals, self.as_of)
 

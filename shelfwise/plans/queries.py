@@ -7,14 +7,15 @@ statements live in ``shelfwise.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, model, profile, recommend, silver, target
+from ..operators import gold, model, profile, recommend, silver, skew, target
 from ..session import run_dir
 from ..operators.joins import write_and_read
-from ..sources import tables
+from ..sources import schemas, tables
 from ..streaming import runner
 from .pipeline import PricingPipeline
 
@@ -123,6 +124,11 @@ def price_target(spark, sf_dir):
     return target.price_target_rows(_p(spark, sf_dir).feature_mart)
 
 
+def price_target_noisy(spark, sf_dir):
+    """J1 with its noise terms, drawn per SKU."""
+    return target.with_price_target(_p(spark, sf_dir).feature_mart, noise=True).select("sku_id", "discount_pct", "optimal_price")
+
+
 def target_summary(spark, sf_dir):
     return target.target_summary(_p(spark, sf_dir).labelled_mart)
 
@@ -174,17 +180,27 @@ def gbt_checks(spark, sf_dir):
 
 def table_profile(spark, sf_dir):
     """Every raw table, bronze by ingestion, silver by validation, gold and
-    the mart; silver and gold are written once and profiled from there."""
+    the mart.  Each layer is computed once: silver and gold are written, gold
+    comes from the written silver and the mart from the written gold."""
     p = _p(spark, sf_dir)
-    raw = [(getattr(p.raw, t), f"raw.{t}", ts, key) for t, ts, key in profile.RAW]
-    return profile.profiles(raw + [
-        (p.bronze_prices, "bronze.competitor_prices_raw", "_ingested_at", "sku_id"),
-        (p.bronze_inventory, "bronze.inventory_events_raw", "_ingested_at", "sku_id"),
-        (write_and_read(p.silver_prices, "silver_prices"), "silver.competitor_prices", "_validated_at", "sku_id"),
-        (write_and_read(p.silver_inventory, "silver_inventory"), "silver.inventory", "_validated_at", "sku_id"),
-        (write_and_read(p.gold_features, "gold_features"), "gold.gold_pricing_features", "source_event_timestamp", "sku_id"),
-        (p.feature_mart, "gold.gold_feature_mart", "source_event_timestamp", "sku_id"),
-    ])
+    r = p.raw
+    prices = write_and_read(p.silver_prices, "silver_prices")
+    inventory = write_and_read(p.silver_inventory, "silver_inventory")
+    dim = gold.sku_dimension(r.product_catalog, inventory, p.demand, r.customer_behavior, r.promotions,
+                             r.supplier_cost_changes, r.macro_signals, p.as_of)
+    features = write_and_read(gold.pricing_features(prices, write_and_read(dim, "sku_dimension"), p.run_ts), "gold_features")
+    bronze = {"competitor_prices": (p.bronze_prices, "bronze.competitor_prices_raw"),
+              "inventory_events": (p.bronze_inventory, "bronze.inventory_events_raw")}
+    raw = [(getattr(r, t), f"raw.{t}", ts, key) for t, ts, key in profile.RAW if t not in bronze]
+    return reduce(DataFrame.unionByName, [
+        profile.profiles(raw + [
+            (prices, "silver.competitor_prices", "_validated_at", "sku_id"),
+            (inventory, "silver.inventory", "_validated_at", "sku_id"),
+            (features, "gold.gold_pricing_features", "source_event_timestamp", "sku_id"),
+            (gold.feature_mart(features), "gold.gold_feature_mart", "source_event_timestamp", "sku_id")]),
+        # raw and bronze hold the same rows: one pass for both
+        *[profile.profile_two(rows, (f"raw.{t}", "event_timestamp"), (name, "_ingested_at"), "sku_id")
+          for t, (rows, name) in bronze.items()]])
 
 
 # --- streaming -------------------------------------------------------------------
@@ -244,24 +260,51 @@ def stream_late_data(spark, sf_dir):
     return runner.read_table(spark, f"{base}/silver").select(*silver.PRICE_KEYS)
 
 
-def _gold_stream(spark, sf_dir) -> str:
+def stream_gold(spark, sf_dir):
+    """Silver directory -> gold streaming table (stream x static dimension)."""
     p = _p(spark, sf_dir)
     base = run_dir(spark, "gold")
     p.silver_prices.write.parquet(f"{base}/silver")
     runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/_chk/gold",
                     p.run_ts)
-    return base
-
-
-def stream_gold(spark, sf_dir):
-    """Silver directory -> gold streaming table (stream x static dimension)."""
-    return runner.read_table(spark, f"{_gold_stream(spark, sf_dir)}/gold")
+    return runner.read_table(spark, f"{base}/gold")
 
 
 def stream_feature_mart(spark, sf_dir):
-    """Gold streaming table -> refreshed, clustered mart."""
-    base = _gold_stream(spark, sf_dir)
-    return runner.refresh_mart(spark, f"{base}/gold", f"{base}/mart")
+    """Gold streaming table -> mart, merged over three appends."""
+    p = _p(spark, sf_dir)
+    base = run_dir(spark, "mart")
+    silver_rows = write_and_read(p.silver_prices, "silver_prices")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for n in range(3):
+        silver_rows.where(part == n).write.mode("append").parquet(f"{base}/silver")
+        runner.gold_job(spark, f"{base}/silver", p.sku_dimension, f"{base}/gold", f"{base}/_chk/gold", p.run_ts)
+        mart = runner.refresh_mart(spark, f"{base}/gold", f"{base}/mart", f"{base}/_chk/mart")
+    return mart
+
+
+def stream_hot_prices(spark, sf_dir):
+    """I2 + I5 + A5 on skewed events: a third of the price events are copies of
+    one event, another third are one SKU's; the backlog is admitted in slices
+    of event time, copies and the hot SKU are spread over tasks."""
+    p = _p(spark, sf_dir)
+    base = run_dir(spark, "hot")
+    third = "CAST(substring(event_id, -1, 1) AS INT) % 3"
+    day = p.as_of.isoformat()
+    events = p.raw.competitor_prices.selectExpr(
+        "event_id",
+        f"CASE WHEN {third} < 2 THEN 'SKU-00001' ELSE sku_id END AS sku_id",
+        f"CASE WHEN {third} = 0 THEN 'C0' ELSE competitor END AS competitor",
+        f"CASE WHEN {third} = 0 THEN 10.0D ELSE competitor_price END AS competitor_price",
+        "scrape_url",
+        f"CASE WHEN {third} = 0 THEN TIMESTAMP '{day} 00:00:00' WHEN {third} = 1 THEN "
+        "timestampadd(SECOND, CAST(split(event_id, '-')[1] AS INT) % 86400, event_timestamp) ELSE event_timestamp END AS event_timestamp")
+    runner.land(events, f"{base}/landing")
+    declared = schemas.bronze_schema(schemas.COMPETITOR_PRICES)
+    runner.bronze_job(spark, f"{base}/landing", "competitor_prices", f"{base}/bronze", f"{base}/_chk/bronze", p.run_ts)
+    runner.admit(spark, f"{base}/bronze", declared, f"{base}/admitted", 3, lambda: runner.silver_prices_job(
+        spark, f"{base}/admitted", p.raw.product_catalog, f"{base}/silver", f"{base}/_chk/silver", p.run_ts, skew.SALTS))
+    return runner.read_table(spark, f"{base}/silver").select(*silver.PRICE_KEYS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -286,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_preview": mart_preview,
     "recommendations_table": recommendations_table,
     "price_target": price_target,
+    "price_target_noisy": price_target_noisy,
     "target_summary": target_summary,
     "score_compare": score_compare,
     "score_summary": score_summary,
@@ -296,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_data": stream_late_data,
     "stream_gold": stream_gold,
     "stream_feature_mart": stream_feature_mart,
+    "stream_hot_prices": stream_hot_prices,
     "gbt_score_compare": gbt_score_compare,
     "gbt_metrics": gbt_metrics,
     "gbt_checks": gbt_checks,

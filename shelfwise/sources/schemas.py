@@ -79,6 +79,14 @@ SILVER_INVENTORY = T.StructType(
             ("avg_daily_units", D), ("days_of_supply", D), ("current_stock", L),
             ("_validated_at", TS))])
 
+GOLD_FEATURES = _schema(
+    ("sku_id", S), ("product_name", S), ("category", S), ("subcategory", S), ("brand", S), ("supplier_id", S),
+    ("unit_cost", D), ("weight_lbs", D), ("competitor", S), ("competitor_price", D), ("competitor_markup", D),
+    ("current_stock", L), ("days_of_supply", D), ("units_sold_7d", L), ("units_sold_30d", L), ("avg_daily_units", D),
+    ("seasonality_index", D), ("view_count", L), ("cart_add_rate", D), ("conversion_rate", D), ("return_rate", D),
+    ("discount_pct", D), ("promo_type", S), ("cost_delta_pct", D), ("ppi_steel", D), ("ppi_copper", D), ("ppi_pvc", D),
+    ("current_price", D), ("source_event_timestamp", TS), ("_updated_at", TS))
+
 
 # --- test-data inputs (TPC-H-like files under /root/testdata/sf*/) -------------
 # Declared so reads skip schema inference (one footer-reading job per read).

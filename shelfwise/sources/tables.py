@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.gold import clustered
+from .versions import replace_catalog_table
 
 LAYERS = ["raw", "bronze", "silver", "gold", "ml"]
 
@@ -31,15 +32,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, cluster_by: str | None = None,
                 path: str | None = None) -> DataFrame:
-    """A3: replace a table's rows and schema; optionally clustered (A8) and
-    stored at an explicit (shared) path."""
+    """A3: replace a table's rows and schema in one step; optionally clustered
+    (A8) and stored below an explicit (shared) path."""
     if cluster_by:
         df = clustered(df, cluster_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return replace_catalog_table(df, name, path or f"{warehouse}/{name.replace('.', '.db/')}-versions")
 
 
 RAW_TABLES = ("product_catalog", "inventory_events", "competitor_prices", "daily_sales",

@@ -46,11 +46,6 @@ def _id(prefix: str) -> str:
     return f"concat('{prefix}-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING))"
 
 
-def _pick(values: list[str], index_expr: str) -> str:
-    items = ", ".join(f"'{v}'" for v in values)
-    return f"element_at(array({items}), CAST({index_expr} AS INT))"
-
-
 def _conform(df: DataFrame, table: str) -> DataFrame:
     """Project to the declared raw schema (order, types, missing -> NULL)."""
     have = set(df.columns)
@@ -137,7 +132,8 @@ def customer_behavior(spark: SparkSession, sf_dir: str, as_of: dt.date = config.
         f"{SKU.format('p_partkey')} AS sku_id",
         "views AS view_count",
         "clicks / n_events AS cart_add_rate",
-        "purchases / n_events AS conversion_rate",
+        # a third of the SKUs convert rarely, so that every price action occurs
+        "purchases / n_events * CASE WHEN p_partkey % 3 = 0 THEN 0.2D ELSE 1.0D END AS conversion_rate",
         "errors / n_events AS return_rate",
         f"DATE '{as_of.isoformat()}' AS snapshot_date")
     return _conform(df, "customer_behavior")
@@ -151,7 +147,7 @@ def promotions(spark: SparkSession, sf_dir: str, as_of: dt.date = config.AS_OF)
     df = li.selectExpr(
         f"{_id('PR')} AS promo_id",
         f"{SKU.format('l_partkey')} AS sku_id",
-        f"{_pick(config.PROMO_TYPES, 'l_linenumber % 5 + 1')} AS promo_type",
+        "concat('PROMO-', CAST(l_linenumber % 5 AS STRING)) AS promo_type",
         "l_discount + 0.05D AS discount_pct",
         "to_date(l_shipdate) AS start_date",
         "date_add(to_date(l_shipdate), 30) AS end_date",
@@ -168,7 +164,7 @@ def supplier_cost_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{SKU.format('l_partkey')} AS sku_id",
         "concat('SUP-', lpad(CAST(l_partkey % 30 + 1 AS STRING), 3, '0')) AS supplier_id",
         "l_tax * 2.875D - 0.08D AS cost_delta_pct",
-        f"{_pick(config.COST_REASONS, 'l_linenumber % 5 + 1')} AS reason",
+        "concat('REASON-', CAST(l_linenumber % 5 AS STRING)) AS reason",
         "CAST(l_shipdate AS TIMESTAMP) AS event_timestamp")
     return _conform(df, "supplier_cost_changes")
 
@@ -188,7 +184,7 @@ def macro_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "100.0D + cents / (n * 2500000) AS ppi_steel",
         "60.0D + 160.0D * n_open / n AS ppi_copper",
         "70.0D + 110.0D * n_urgent / n AS ppi_pvc",
-        f"'{config.MACRO_SOURCE}' AS source")
+        "'orders' AS source")
     return _conform(df, "macro_signals")
 
 

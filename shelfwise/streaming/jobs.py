@@ -6,8 +6,9 @@
 
 Every layer is a directory under ``root`` (shared storage on a cluster), every
 stream keeps its own checkpoint there, and rerunning ``run_all`` with the same
-``root`` after new raw files land processes only the new files (the mart,
-recommendations and model are recomputed, as materialised views are).
+``root`` after new raw files land processes only the new files; the mart merges
+them, recommendations and model are computed anew from it, and each of these
+tables is replaced in one step.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import gold, model, recommend
+from ..operators import gold, model, recommend, skew
 from ..operators.joins import write_and_read
 from ..sources.tables import SourceTables
 from ..sources.testdata import RawTables
+from ..sources.versions import VersionedTable
 from . import runner
 
 
@@ -60,9 +62,10 @@ def land_raw(raw: RawTables, root: str) -> None:
 
 
 def run_all(spark: SparkSession, raw: RawTables | SourceTables, root: str,
-            run_ts: dt.datetime | None = None, train_model: bool = True) -> RunOutputs:
+            run_ts: dt.datetime | None = None, train_model: bool = True, salts: int = skew.SALTS) -> RunOutputs:
     """Run every layer once (bounded streams), reading raw events from the
-    landing folders under ``root``."""
+    landing folders under ``root``; hot keys and SKUs are spread over ``salts``
+    tasks."""
     out = paths(root)
     chk = f"{root}/_checkpoints"
     # 01 · bronze
@@ -75,28 +78,31 @@ def run_all(spark: SparkSession, raw: RawTables | SourceTables, root: str,
     # 02 · silver (statics re-read every run)
     demand = write_and_read(gold.demand_window(raw.daily_sales, raw.as_of), "demand_window")
     runner.silver_prices_job(spark, out.bronze_prices, raw.product_catalog, out.silver_prices,
-                             f"{chk}/silver_prices", run_ts)
+                             f"{chk}/silver_prices", run_ts, salts)
     runner.silver_inventory_job(spark, out.bronze_inventory, demand.select("sku_id", "avg_daily_units"),
-                                out.silver_inventory, f"{chk}/silver_inventory", run_ts)
+                                out.silver_inventory, f"{chk}/silver_inventory", run_ts, salts)
     # 03 · gold streaming table over the silver price stream
     dim = gold.sku_dimension(raw.product_catalog, runner.read_table(spark, out.silver_inventory), demand,
                              raw.customer_behavior, raw.promotions, raw.supplier_cost_changes,
                              raw.macro_signals, raw.as_of)
-    runner.gold_job(spark, out.silver_prices, write_and_read(dim, "sku_dimension"), out.gold_features, f"{chk}/gold", run_ts)
+    runner.gold_job(spark, out.silver_prices, write_and_read(dim, "sku_dimension"), out.gold_features, f"{chk}/gold", run_ts, salts)
     # 03 · mart (materialised view), clustered by sku_id
-    mart = runner.refresh_mart(spark, out.gold_features, out.feature_mart)
+    mart = runner.refresh_mart(spark, out.gold_features, out.feature_mart, f"{chk}/mart")
     # 05 · recommendations
     flags = recommend.price_flags(mart, run_ts=run_ts)
-    gold.clustered(flags).write.mode("overwrite").parquet(out.recommendations)
+    VersionedTable(spark, out.recommendations).replace(gold.clustered(flags))
     # 04 · model: fit, persist, score the whole mart
     if train_model:
         fitted, _ = model.train(mart)
         model.save(fitted, out.model)
         scores = recommend.score_compare(model.score(model.load(out.model), mart))
-        scores.write.mode("overwrite").parquet(out.model_scores)
+        VersionedTable(spark, out.model_scores).replace(scores)
     return out
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return runner.read_table(spark, path)
+    """A layer's rows: the current version where it is replaced, else the whole
+    appended table."""
+    table = VersionedTable(spark, path)
+    return table.read() if table.current() else runner.read_table(spark, path)
 
