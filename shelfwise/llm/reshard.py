@@ -4,7 +4,8 @@ A table lies in shards (folders ``shard=i/class=c``, a class being the power
 of two of a row's size).  From the shards' sizes and the new capacities a
 minimum-cost flow gives the bytes each old shard keeps and sends to each new
 one; a byte that stays costs nothing, one that moves costs one.  Rows of a
-shard have a fixed order, large classes first and by hash within a class, and
+shard have a fixed order, large classes first and by hash within a class (of
+the row and the number it was stored with, so that equal rows lie apart), and
 each flow takes the next stretch of it, what stays first.  So the cuts fall
 among small rows, which makes the sizes near equal; only the classes a cut
 touches or passes are rewritten, the rest of each shard's files stay as they
@@ -15,8 +16,8 @@ with a cut: a fixed number of rows at any size of the table.  Rows reach their
 shard by comparing (class, hash) with the cuts, without a join.
 
 Defined results: a null text has size 1 and checksum 0 and stays null; rows
-equal in id and text have one place in the order and stay together; an empty
-table has no rows; a null id is an id like any other.
+equal in id and text are dealt out like any others; an empty table has no rows;
+a null id is an id like any other.
 """
 
 from __future__ import annotations
@@ -98,8 +99,8 @@ def size_class(size: Column) -> Column:
     return (F.length(F.bin(size)) - 1).cast("int")
 
 
-def row_hash(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id, text)
+def row_hash(doc_id: Column, text: Column, row: Column) -> Column:
+    return F.xxhash64(doc_id, text, row)
 
 
 def hash_range(h: Column, ranges: int) -> Column:
@@ -108,14 +109,19 @@ def hash_range(h: Column, ranges: int) -> Column:
     return F.shiftright(h, 64 - bits) + F.lit(ranges // 2)
 
 
+#: the number a row is stored with; it only tells equal rows apart
+ROW = "_row"
+
+
 def write_shards(docs: DataFrame, shard: Column, folder: str) -> None:
-    """``docs`` as files below shard=i/class=c; large ones are split."""
-    rows = docs.withColumn("shard", shard).withColumn("class", size_class(row_size(F.col("text"))))
+    """``docs`` as files below shard=i/class=c; large ones are split.  ``shard``
+    may use the number of the row."""
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id()).withColumn("shard", shard).withColumn("class", size_class(row_size(F.col("text"))))
     rows.hint("rebalance", "shard", "class").write.option("compression", "zstd").partitionBy("shard", "class").parquet(folder)
 
 
 def read_shards(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, shard int, class int").parquet(folder)
+    return spark.read.schema(f"{schema}, {ROW} long, shard int, class int").parquet(folder)
 
 
 def plan_cuts(keys: DataFrame, capacity: list[int]) -> tuple[dict, dict[int, list[tuple[int, tuple[int, int] | None]]]]:
@@ -207,7 +213,7 @@ def reshard(spark: SparkSession, old: str, new: str, schema: str, capacity: list
     cut, are written below ``new``; returns (table over both folders with the
     new shard and the old one, flows)."""
     rows = read_shards(spark, old, schema)
-    rows = rows.withColumn("h", row_hash(F.col("doc_id"), F.col("text")))
+    rows = rows.withColumn("h", row_hash(F.col("doc_id"), F.col("text"), F.col(ROW)))
     keys = common.stored(rows.select("shard", "class", "h", row_size(F.col("text")).alias("size")), "shard-keys")
     if isinstance(capacity, int):
         capacity = equal_capacities(keys.agg(F.sum("size")).first()[0] or 0, capacity)
@@ -223,7 +229,7 @@ def reshard(spark: SparkSession, old: str, new: str, schema: str, capacity: list
              .withColumn("shard", new_shard(cuts, F.col("shard"), F.col("class"), F.col("h"))))
     (moved.drop("h").hint("rebalance", "shard", "class").write.option("compression", "zstd")
      .partitionBy("shard", "class").parquet(new))
-    back = spark.read.schema(f"{schema}, old_shard int, shard int, class int").parquet(new)
+    back = spark.read.schema(f"{schema}, {ROW} long, old_shard int, shard int, class int").parquet(new)
     stayed = read_shards(spark, old, schema).where(~touched).withColumn("old_shard", F.col("shard"))
     return stayed.unionByName(back), flows
 
@@ -248,11 +254,11 @@ def shard_table(docs: DataFrame, old_shards: int = OLD_SHARDS, new_shards: int =
     spark = docs.sparkSession
     folder = run_dir(spark, "shards")
     docs = docs.select("doc_id", "text")
-    by_hash = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(old_shards)).cast("int")
+    by_hash = F.pmod(F.xxhash64("doc_id", ROW, F.lit("shard")), F.lit(old_shards)).cast("int")
     write_shards(docs, by_hash, f"{folder}/old")
     table, _ = reshard(spark, f"{folder}/old", f"{folder}/new", "doc_id long, text string", new_shards)
     rows = table.select("doc_id", row_size(F.col("text")).alias("size"),
                         F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"), "shard", "old_shard",
-                        row_hash(F.col("doc_id"), F.col("text")).alias("h"))
+                        row_hash(F.col("doc_id"), F.col("text"), F.col(ROW)).alias("h"))
     return slots(rows).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                               F.lit(None).cast("int").alias("grown_shard"), "old_shard")

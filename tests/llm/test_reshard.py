@@ -54,6 +54,26 @@ def test_shards(spark, rows):
     assert moved <= least + 16 * max(x[1] for x in got)
 
 
+def test_a_third_of_equal_rows(spark):
+    """Rows equal in id and text are dealt out like others: the law holds."""
+    rows = [(i, f"{i:0200d}") for i in range(4000)] + [(7, "x" * 200)] * 2000
+    got = reshard.shard_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    sizes = [sum(r["size"] for r in got if r.shard == s) for s in range(16)]
+    assert sum(sizes) == 6000 * 201 and max(sizes) - min(sizes) <= 2 * 201
+    for s in range(16):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    # and the copies' slots are counted in many ranges, not in one
+    copies = [r for r in got if r.doc_id == 7 and r.text_crc32 == zlib.crc32(b"x" * 200)]
+    assert len({r.shard for r in copies}) == 16 and len(copies) == 2000
+
+
+def test_very_long_text(spark):
+    rows = [(i, "y" * 50) for i in range(300)] + [(1000, "z" * 2_000_000)]
+    got = reshard.shard_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    assert next(r["size"] for r in got if r.doc_id == 1000) == 2_000_001
+
+
 def test_reshard_to_fewer(spark):
     docs = spark.createDataFrame(rows_of(800, 3), "doc_id long, text string, x string").drop("x")
     folder = reshard.run_dir(spark, "s")
