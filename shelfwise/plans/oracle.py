@@ -372,6 +372,11 @@ QUERIES = {
     "silver_prices": "SELECT * FROM silver_prices",
     "silver_inventory": "SELECT * FROM silver_inventory",
     "demand_window": "SELECT * FROM demand_window",
+    "rolling_demand": "SELECT * FROM demand_window",
+    "gold_lookup": "SELECT * FROM gold_features WHERE sku_id IN ('SKU-00003', 'SKU-00077', 'SKU-00150')",
+    "profile_files": " UNION ALL ".join([
+        _profile("competitor_prices", "raw.competitor_prices", "event_timestamp"),
+        _profile("inventory_events", "raw.inventory_events", "event_timestamp")]),
     "supplier_pressure": "SELECT * FROM supplier_pressure",
     "macro_trailing": "SELECT * FROM macro_trailing",
     "latest_inventory": "SELECT * FROM latest_inventory",

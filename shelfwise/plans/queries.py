@@ -6,13 +6,14 @@ statements live in ``shelfwise.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, model, profile, recommend, silver, skew, target
+from ..operators import gold, model, profile, recommend, rolling, silver, skew, target
 from ..session import run_dir
 from ..operators.joins import write_and_read
 from ..sources import schemas, tables
@@ -203,6 +204,50 @@ def table_profile(spark, sf_dir):
           for t, (rows, name) in bronze.items()]])
 
 
+def rolling_demand(spark, sf_dir):
+    """E1-E3 moved on day by day from sums that are added and taken back; the
+    sales of half of the stores arrive two days late."""
+    p = _p(spark, sf_dir)
+    sales = p.raw.daily_sales
+    late = F.when(F.substring("store_id", -1, 1).cast("int") % 2 == 1, 2).otherwise(0)
+    sales = write_and_read(sales.withColumn("arrives", F.date_add("sale_date", late)), "sales")
+    table = rolling.RollingDemand(spark, run_dir(spark, "rolling"))
+    days = [p.as_of - dt.timedelta(days=n) for n in (3, 2, 1)]
+    since = F.lit(True)
+    for day in days:
+        table.advance(sales.where(since & (F.col("arrives") <= F.lit(day))), day)
+        since = F.col("arrives") > F.lit(day)
+    return table.advance(sales.where(since), p.as_of)
+
+
+def gold_lookup(spark, sf_dir):
+    """The gold table grown by three appends, clustered as it grows; the
+    rows of three SKUs from the files whose key range holds them."""
+    p = _p(spark, sf_dir)
+    base = run_dir(spark, "clustered")
+    features = write_and_read(p.gold_features, "gold_features")
+    part = F.pmod(F.xxhash64("sku_id", "competitor", "source_event_timestamp"), F.lit(3))
+    for n in range(3):
+        features.where(part == n).write.mode("append").parquet(f"{base}/gold")
+        table = runner.cluster_gold(spark, f"{base}/gold", f"{base}/clustered")
+    return table.read(["SKU-00003", "SKU-00077", "SKU-00150"])
+
+
+def profile_files(spark, sf_dir):
+    """E6 from per-file states: two raw tables grown by two appends, of which
+    the second profile reads the second only."""
+    p = _p(spark, sf_dir)
+    base = run_dir(spark, "profiles")
+    out = None
+    for t, ts in (("competitor_prices", "event_timestamp"), ("inventory_events", "event_timestamp")):
+        rows, half = getattr(p.raw, t), F.pmod(F.xxhash64("event_id"), F.lit(2))
+        for n in range(2):
+            rows.where(half == n).write.mode("append").parquet(f"{base}/{t}")
+            found = profile.profile_by_file(spark, f"{base}/{t}", schemas.RAW[t], f"{base}/{t}-files", f"raw.{t}", ts)
+        out = out.unionByName(found) if out is not None else found
+    return out
+
+
 # --- streaming -------------------------------------------------------------------
 SILVER_PRICE_STREAM_COLS = ["event_id", "sku_id", "competitor", "competitor_price", "scrape_url", "event_timestamp",
                             "_ingested_at", "_source", "category", "subcategory", "brand", "unit_cost",
@@ -335,6 +380,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_summary": score_summary,
     "model_metrics": model_metrics,
     "table_profile": table_profile,
+    "rolling_demand": rolling_demand,
+    "gold_lookup": gold_lookup,
+    "profile_files": profile_files,
     "stream_bronze_silver_prices": stream_bronze_silver_prices,
     "stream_silver_inventory": stream_silver_inventory,
     "stream_late_data": stream_late_data,

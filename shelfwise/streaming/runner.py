@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..operators import bronze, gold, silver, skew
 from ..operators.joins import write_and_read
 from ..sources import ledger, schemas
+from ..sources.clustered import ClusteredTable
 from ..sources.versions import VersionedTable
 
 
@@ -187,3 +188,14 @@ def refresh_mart(spark: SparkSession, gold_dir: str, out: str, checkpoint: str |
     if not table.current():
         table.replace(spark.createDataFrame([], schemas.GOLD_FEATURES))
     return table.read()
+
+
+def cluster_gold(spark: SparkSession, gold_dir: str, out: str, checkpoint: str | None = None) -> ClusteredTable:
+    """The gold table clustered by SKU: what was appended since the last
+    call becomes a sorted run.  ``out`` belongs to its checkpoint: a batch that
+    is run again is recognised by its number."""
+    table = ClusteredTable(spark, out, "sku_id", ("source_event_timestamp", "competitor"))
+    stream = read_stream(spark, gold_dir, schemas.GOLD_FEATURES)
+    _finish(stream.writeStream.foreachBatch(table.append).option("checkpointLocation", checkpoint or f"{out.rstrip('/')}-clustered")
+            .trigger(availableNow=True).queryName("gold_clustered").start(), out)
+    return table
