@@ -223,16 +223,12 @@ def quality_table(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The documents that pass, with the columns they had.  Only counts are
-    stored for learning; the verdict is computed beside each text, so that no
-    text is shuffled."""
+    """The documents that pass, with the columns they had.  Each text is read
+    once; it is stored beside its counts, and no text is shuffled."""
     common.small_batches(docs.sparkSession)
-    keep = docs.columns
-    # read again with other columns pruned: the labelled rows only need counts
-    rows = common.stored(docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"),
-                                     signals(F.col("text")).alias("signals")), "quality-signals")
+    held = docs.select(F.struct("*").alias("_doc")).withColumn("_q", signals(F.col("_doc.text")))
+    held = common.stored(held, "quality-held")
+    own = F.col("_doc")[stratum].cast("string")
+    rows = held.select(F.col("_doc.doc_id").alias("doc_id"), own.alias("stratum"), F.col("_q").alias("signals"))
     cutoffs = common.stored(learn_cutoffs(judged_labels(rows, labels)), "quality-learnt")
-    held = docs.select(F.struct("*").alias("_doc"))
-    judged = judge(held.withColumn("_q", signals(F.col("_doc.text"))), cutoffs,
-                   F.col("_doc")[stratum].cast("string"))
-    return judged.where("_kept").select(*[F.col("_doc")[c].alias(c) for c in keep])
+    return judge(held, cutoffs, own).where("_kept").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
