@@ -7,10 +7,11 @@ and only files named by a committed manifest are ever read.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.session import run_dir
@@ -49,6 +50,32 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: bits of a filter for each key, and its blocks of 64 bits at most
+BITS_PER_KEY, MAX_BLOCKS = 16, 1 << 20
+
+
+def _block(h: Column, blocks: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(h, 18), F.lit(blocks))
+
+
+def _bits(h: Column) -> Column:
+    """Three bits of a block, from the low bits of a key's hash."""
+    one = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, s).bitwiseAND(F.lit(63)).cast("int"))
+           for s in (0, 6, 12)]
+    return one[0].bitwiseOR(one[1]).bitwiseOR(one[2])
+
+
+def possible(rows: DataFrame, h: str, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_possible``: whether column ``h`` may be among the hashes
+    ``key`` of ``keys``.  A blocked Bloom filter of a bounded size is broadcast;
+    beyond ``MAX_BLOCKS`` blocks it lets more pass, but never misses a key."""
+    blocks = min(MAX_BLOCKS, max(1, -(-keys.count() * BITS_PER_KEY // 64)))
+    table = stored(keys.groupBy(_block(F.col(key), blocks).alias("_block")).agg(F.bit_or(_bits(F.col(key))).alias("_filter")), "filter")
+    own = _bits(F.col(h))
+    return (rows.join(F.broadcast(table), _block(F.col(h), blocks) == F.col("_block"), "left")
+            .withColumn("_possible", F.coalesce(F.col("_filter").bitwiseAND(own) == own, F.lit(False))).drop("_block", "_filter"))
+
+
 def shared_file_system(uri: str):
     """(pyarrow file system, path in it) of a folder in shared storage."""
     from pyarrow import fs
@@ -78,6 +105,19 @@ def write_file(folder: str, name: str, chunks) -> tuple[str, int]:
     return full, size
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within the block, Arrow batches of at most ``rows`` rows; what is meant by
+    it must run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most ``rows`` rows, unless the session names a size:
     with whole texts in a batch, the default of 10,000 rows is too many."""

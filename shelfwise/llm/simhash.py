@@ -223,7 +223,8 @@ def groups(prints: DataFrame, budget: int = DISTANCE) -> DataFrame:
     roots = components(links(fps, budget)).withColumnRenamed("root", "_root")
     fps = common.stored(fps.join(roots, F.col("fp") == F.col("node"), "left")
                         .select("fp", "first", F.coalesce("_root", "fp").alias("root")), "simhash-roots")
-    least = fps.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id"))
+    # stored, so that the join can split a root with many fingerprints
+    least = common.stored(fps.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id")), "simhash-least")
     return fps.join(least, F.col("root") == F.col("_root")).select("fp", "root", "component_id")
 
 
@@ -245,11 +246,32 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, budget: int = DISTANCE) -> Da
     prints = common.stored(docs.select("doc_id", key.alias("h"), fingerprint(F.col("text"), size).alias("fp")),
                            "simhash-prints")
     found = groups(prints, budget).withColumnRenamed("fp", "_fp")
-    first = (prints.join(found, F.col("fp") == F.col("_fp"))
-             .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("k"))
-             .select(F.col("k.doc_id").alias("_id"), F.col("k.h").alias("_h")))
-    first = common.stored(first, "simhash-kept")
+    placed = common.stored(prints.join(found, F.col("fp") == F.col("_fp")).groupBy("root", "doc_id", "h")
+                           .agg(F.count("*").alias("n")), "simhash-placed")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "h")
+    first = common.stored(placed.groupBy(F.col("root").alias("_root")).agg(F.min(order).alias("k")), "simhash-kept")
+    keeps = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("h") == F.col("k.h"))
+    # (id, hash) of what goes, and of what stays once though it is there more often
+    special = (placed.join(first, F.col("root") == F.col("_root")).withColumn("repeated", keeps)
+               .where(~F.col("repeated") | (F.col("n") > 1))
+               .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "repeated"))
+    return _without(docs, common.stored(special, "simhash-special"))
+
+
+def _without(docs: DataFrame, special: DataFrame) -> DataFrame:
+    """``docs`` without the rows (id, text hash) of the stored table ``special``,
+    of those marked ``repeated`` with one.  Only rows that a Bloom filter of
+    them lets pass are shuffled."""
     held = docs.select(F.struct("*").alias("_doc")).withColumn("_key", F.xxhash64("_doc.text"))
-    held = held.join(first, F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")))
-    return (held.withColumn("_id", F.col("_doc.doc_id")).dropDuplicates(["_id", "_h"])
-            .select(*[F.col("_doc")[c].alias(c) for c in docs.columns]))
+    held = held.withColumn("_both", F.xxhash64("_doc.doc_id", "_key"))
+    held = common.possible(held, "_both", special.select(F.xxhash64("_id", "_h").alias("k")), "k")
+    checked = held.where("_possible").join(
+        special, F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left")
+    checked = checked.where(F.coalesce("repeated", F.lit(True)))
+    if not special.where("repeated").isEmpty():
+        once = F.when(F.col("repeated"), F.struct("_id", "_h", F.lit(0).cast("long").alias("row"))).otherwise(
+            F.struct(F.lit(None).cast("long").alias("_id"), F.lit(None).cast("long").alias("_h"),
+                     F.monotonically_increasing_id().alias("row")))
+        checked = checked.withColumn("_once", once).dropDuplicates(["_once"])
+    columns = [F.col("_doc")[c].alias(c) for c in docs.columns]
+    return held.where("NOT _possible").select(*columns).unionByName(checked.select(*columns))
