@@ -9,9 +9,12 @@ positional bound) and hold the window's second rarest word in its place before
 the whole window is compared.  Covered words are counted by joining the
 intervals of a document, so nothing is paired within a group.
 
-Equal windows are one window, however many items share them.  The windows are
-dealt into slices of ``MAX_WINDOWS`` (usually one); each slice is broadcast and
-meets all documents.
+Equal windows are one window, however many items share them.  Documents are
+read twice, once to count words and once to look for windows, however large the
+benchmark is.  Up to ``MAX_BROADCAST_BYTES`` its words and windows are
+broadcast.  Beyond, a Bloom filter of bounded size is, and only what passes it
+leaves its task: word counts, added up first, and places with the words around
+them, which meet the windows in a shuffled join.
 
 Defined results: null and empty texts have no words and are not contaminated;
 an item without words has no window; an item id that is null isn't listed;
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from . import common
 
 WINDOW = 13
-MAX_WINDOWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
 MAX_BROADCAST_ROWS = 100_000
 #: share of a document's words inside windows, as 1 / this
 CONTAMINATED = 20
@@ -65,20 +68,31 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFra
     return distinct, common.stored(owners.select("wid", "item_id"), "windows-items")
 
 
+def small(table: DataFrame, words: str) -> bool:
+    """Whether a stored table can be broadcast, by the bytes of its words (and
+    64 for each word and row)."""
+    size = F.aggregate(words, F.lit(64).cast("long"), lambda n, w: n + F.octet_length(w) + 64)
+    return (table.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
+
+
+def word_counts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(word, count) over all documents of the words in the stored table
+    ``known``."""
+    every = docs.select(F.explode(words(F.col("text"))).alias("_word"))
+    if small(known.select(F.array("word").alias("word")), "word"):
+        return every.join(F.broadcast(known), F.col("_word") == F.col("word")).groupBy("word").count()
+    some = common.possible(every.withColumn("_h", F.xxhash64("_word")), "_h", known.select(F.xxhash64("word").alias("k")), "k")
+    counts = some.where("_possible").groupBy("_word").count()  # before the shuffle
+    return counts.join(known, F.col("_word") == F.col("word")).select("word", "count")
+
+
 def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Stored table of windows with their prefix: the rarest word and its place
     in the window, the second rarest and its place.  Ties in word order.
     Windows with a word that no document holds can't occur and are left out."""
     entries = windows.select("wid", F.posexplode("window").alias("at", "word"))
     known = common.stored(entries.select("word").distinct(), "window-words")
-    slices = slices_of(known)
-    counts = None
-    for n in range(slices):  # whole corpus, counted before the shuffle
-        some = known.where(F.pmod(F.xxhash64("word"), F.lit(slices)) == n)
-        part = (docs.select(F.explode(words(F.col("text"))).alias("_word"))
-                .join(F.broadcast(some), F.col("_word") == F.col("word")).groupBy("word").count())
-        counts = part if counts is None else counts.unionByName(part)
-    counts = common.stored(counts, "window-word-counts").withColumnRenamed("word", "_word")
+    counts = common.stored(word_counts(docs, known), "window-word-counts").withColumnRenamed("word", "_word")
     ranked = (entries.join(counts, F.col("word") == F.col("_word"), "left")
               .groupBy("wid").agg(F.array_sort(F.collect_list(F.struct(
                   F.coalesce("count", F.lit(0)).alias("n"), "word", "at"))).alias("rare")))
@@ -90,33 +104,38 @@ def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
                 F.col("second.word").alias("second"), F.col("second.at").alias("second_at")), "windows-prefixes")
 
 
-def slices_of(table: DataFrame) -> int:
-    return max(1, -(-table.count() // MAX_WINDOWS))
-
-
-def occurrences(docs: DataFrame, prefixed: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, prefixed: DataFrame, size: int = WINDOW) -> DataFrame:
     """Stored table (doc_id, h, start, end, wid) of the windows in documents;
     h, the text's hash, keeps texts of one id apart."""
     place = (docs.select("doc_id", F.xxhash64("text").alias("h"), words(F.col("text")).alias("w"))
              .select("doc_id", "h", "w", F.posexplode("w").alias("pos", "word")))
+    if small(prefixed, "window"):
+        found = place.join(F.broadcast(prefixed), _occurs("w", F.col("pos")))
+    else:
+        place = common.possible(place.withColumn("_h", F.xxhash64("word")), "_h", prefixed.select(F.xxhash64("prefix").alias("k")), "k")
+        # what a window around the word can reach
+        first = F.greatest(F.col("pos") - (size - 1), F.lit(0))
+        near = place.where("_possible").select("doc_id", "h", "pos", "word", (F.col("pos") - first).alias("own"),
+                                               F.slice("w", first + 1, F.lit(2 * size - 1)).alias("around"))
+        found = near.join(prefixed, _occurs("around", F.col("own")))
     start = F.col("pos") - F.col("prefix_at")
-    verified = ((F.col("word") == F.col("prefix")) & (start >= 0)
-                & (start + F.size("window") <= F.size("w"))
-                & (F.get("w", start + F.col("second_at")) == F.col("second"))
-                & (F.slice("w", start + 1, F.size("window")) == F.col("window")))
-    slices, found = slices_of(prefixed), None
-    for n in range(slices):
-        some = prefixed.where(F.pmod(F.xxhash64("wid"), F.lit(slices)) == n)
-        part = place.join(F.broadcast(some), verified).select(
-            "doc_id", "h", start.alias("start"), (start + F.size("window")).alias("end"), "wid")
-        found = part if found is None else found.unionByName(part)
+    found = found.select("doc_id", "h", start.alias("start"), (start + F.size("window")).alias("end"), "wid")
     return common.stored(found.distinct(), "window-occurrences")
 
 
+def _occurs(held: str, at: Column) -> Column:
+    """Whether the window lies in the words ``held`` with its prefix at ``at``."""
+    start = at - F.col("prefix_at")
+    return ((F.col("word") == F.col("prefix")) & (start >= 0)
+            & (start + F.size("window") <= F.size(held))
+            & (F.get(held, start + F.col("second_at")) == F.col("second"))
+            & (F.slice(held, start + 1, F.size("window")) == F.col("window")))
+
+
 def judge(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """One row per (doc_id, h) that holds a window: n_hit and the items."""
     windows, owners = benchmark_windows(benchmark, size)
-    found = occurrences(docs, prefixes(docs, windows))
+    found = occurrences(docs, prefixes(docs, windows), size)
     key = ["doc_id", "h"]
     before = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     covered = (found.groupBy(*key, "start").agg(F.max("end").alias("end"))
