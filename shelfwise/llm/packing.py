@@ -27,6 +27,7 @@ no pieces; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -45,6 +46,19 @@ CAPACITY = 4096
 MAX_WORDS, BLOCK = 1_000_000, 8 << 20
 
 _SPACE = re.compile(rb"[\t-\r ]")
+#: words of lower-case letters, digits and marks of ASCII and Latin, which normalising leaves as they are
+_LATIN = "".join(c for c in map(chr, range(0xA1, 0x250)) if c.islower() or c in "ßæøđłªº«»¿¡·")
+_PLAIN = re.compile(f"[!-@\\[-~{_LATIN}]+")
+#: characters beyond ASCII and Latin, and the one of them whose lower case isn't one character
+_CASED = re.compile("[^\\x00-\\x7f\xa1-\u012f\u0131-\u024f]")
+
+
+#: the end of a document, as a word that no text holds
+END = b" "
+
+
+def _encoded(tokenizer, texts: list[str]) -> list[list[int]]:
+    return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class WordEncoder:
@@ -52,30 +66,45 @@ class WordEncoder:
 
     def __init__(self, path: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end_id], np.uint32)
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token.removesuffix("</w>"))  # one character stands for one byte
+        # plain words are normalised already
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.encode_special_tokens = True
+        self.end = end_id
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, int] = {END: 0}
         # ids of the words in a row, and where each word's begin; both with room to grow
-        self.flat, self.begin, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+        self.flat, self.begin, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 1
+        self.flat[0], self.begin[1] = self.end, 1
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
-        for i in range(0, len(plain), 512):  # many words in one call, told apart by their offsets
-            some = plain[i:i + 512]
-            found = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-            self._add(some, np.array(found.ids, np.uint32), np.searchsorted(starts, ends))
+        """Encode new words.  Plain ones many in a call, told apart by the
+        bytes of their tokens, as normalising doesn't change them."""
+        plain, other = [], []
+        for w in words:
+            (plain if _PLAIN.fullmatch(w.decode("utf-8", "surrogatepass")) else other).append(w)
+        for i in range(0, len(plain), 256):
+            some = plain[i:i + 256]
+            ids = np.array(_encoded(self.plain, [b" ".join(some).decode()])[0], np.uint32)
+            ends, reached = np.cumsum([len(w) for w in some]), np.cumsum(self.token_bytes[ids])
+            cuts = np.searchsorted(reached, ends) + 1
+            if not (reached[cuts - 1] == ends).all():
+                raise ValueError("a token crosses the end of a word")
+            self._add(some, ids, cuts)
         for i in range(0, len(other), 512):
             some = other[i:i + 512]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False)
-            self._add(some, np.array([t for x in found for t in x.ids], np.uint32), np.cumsum([len(x.ids) for x in found]))
+            found = _encoded(self.tokenizer, [w.decode("utf-8", "surrogatepass") for w in some])
+            self._add(some, np.array([t for x in found for t in x], np.uint32), np.cumsum([len(x) for x in found]))
 
     def _add(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
         n, used = len(self.known), self.used + len(ids)
@@ -88,29 +117,50 @@ class WordEncoder:
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
         self.used = used
 
-    def _ids(self, words: list[bytes]) -> np.ndarray:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each)."""
         if len(self.known) > MAX_WORDS:
             self._forget()
-        missed = [w for w in dict.fromkeys(words) if w not in self.known]
+        words: list[bytes] = []
+        ends, parts = [], []
+
+        def done():
+            parts.append(self._ids(words))
+            words.clear()
+        size = count = 0
+        for text in texts:
+            text = text or ""
+            if not _CASED.search(text):
+                text = text.lower()  # as the vocabulary does; fewer words to know
+            raw, at = text.encode("utf-8", "surrogatepass"), 0
+            while at < len(raw):
+                cut = _SPACE.search(raw, at + BLOCK) if len(raw) - at > BLOCK else None
+                end = cut.start() if cut else len(raw)
+                words += raw[at:end].split()  # bytes split at ASCII white space only
+                size, at = size + end - at, end
+                if size > BLOCK:
+                    count += len(words)
+                    done()
+                    size = 0
+            words.append(END)
+            ends.append(count + len(words) - 1)
+        done()
+        lengths = np.concatenate([n for _, n in parts]) if parts else np.zeros(0, np.int64)
+        after = np.cumsum(lengths)[np.array(ends, np.int64)] if ends else np.zeros(0, np.int64)
+        return np.concatenate([ids for ids, _ in parts]), np.diff(np.concatenate([[0], after]))
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of words in a row, number of ids of each)."""
+        place = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missed = np.flatnonzero(place < 0).tolist()
         if missed:
-            self._learn(missed)
-        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            fresh = [words[i] for i in missed]
+            self._learn(list(dict.fromkeys(fresh)))
+            place[missed] = list(map(self.known.__getitem__, fresh))
         begin = self.begin[place]
         size = self.begin[place + 1] - begin
         after = np.cumsum(size)
-        return self.flat[np.repeat(begin - (after - size), size) + np.arange(int(after[-1]) if len(after) else 0)]
-
-    def encode(self, text: str | None) -> np.ndarray:
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        if raw.isascii():
-            raw = raw.lower()  # as the vocabulary does; fewer words to know
-        parts, at = [], 0
-        while at < len(raw):
-            cut = _SPACE.search(raw, at + BLOCK) if len(raw) - at > BLOCK else None
-            end = cut.start() if cut else len(raw)
-            parts.append(self._ids(raw[at:end].split()))  # bytes split at ASCII white space only
-            at = end
-        return np.concatenate([*parts, self.end])
+        return self.flat[np.repeat(begin - (after - size), size) + np.arange(int(after[-1]) if len(after) else 0)], size
 
 
 @functools.cache
@@ -132,8 +182,8 @@ def encode_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPAC
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows, piece, start, length, ids, nth = [], [], [], [], [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                found = enc.encode(text).astype("<u4")
+            ids_all, lengths = enc.encode(batch["text"].to_pylist())
+            for i, found in enumerate(np.split(ids_all.astype("<u4"), np.cumsum(lengths)[:-1])):
                 for n, at in enumerate(range(0, len(found), capacity)):
                     part = found[at:at + capacity]
                     rows.append(i), piece.append(n), start.append(at), length.append(len(part))

@@ -27,17 +27,21 @@ def library(text):
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.lists(st.sampled_from(PIECES), max_size=40).map("".join)), max_size=6))
 def test_words_equal_whole(texts):
-    enc = packing.encoder(VOCABULARY, 1)
-    for text in texts:
-        assert enc.encode(text).tolist() == [*library(text), 1]
+    ids, lengths = packing.encoder(VOCABULARY, 1).encode(texts)
+    want = [[*library(t), 1] for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_blocks_and_forgetting(monkeypatch):
     monkeypatch.setattr(packing, "BLOCK", 11)
     monkeypatch.setattr(packing, "MAX_WORDS", 3)
     enc = packing.WordEncoder(VOCABULARY, 1)
-    for text in ["a b c d e f", "One long text, of many words! " * 9, "é è " * 20, "x" * 50]:
-        assert enc.encode(text).tolist() == [*library(text), 1]
+    texts = ["a b c d e f", "One long text, of many words! " * 9, None, "", "é è " * 20, "x" * 50, " ", "end"]
+    for some in ([t] for t in texts), [texts, texts[::-1]]:
+        for batch in some:
+            ids, lengths = enc.encode(batch)
+            want = [[*library(t), 1] for t in batch]
+            assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 @settings(max_examples=200, deadline=None)
