@@ -7,16 +7,22 @@ word and the one without its first have reached the threshold.  Each phrase is
 counted for one full cycle of shards, whatever shard it begins at, so its
 count is exact; mining ends when no phrase is left to begin or to complete.
 
-State lives in stored tables, keyed by language and phrase: the count so far,
+Texts are lower-cased (A-Z), cut into pieces and words and stored once as blocks
+of word numbers, each of about ``BLOCK`` bytes of text; a block that begins
+inside a text begins with the last words of the one before, so memory doesn't
+grow with a text.  A shard is every ``SHARDS``-th block.
+
+The state holds, by language and phrase, the count so far, the shards counted,
 the scan at which counting began and the one at which the threshold was
-reached.  A scan is given two bitmaps for each length, of the hashes of
-phrases that have reached the threshold and of those that did so within the
-last cycle.  They have a fixed largest size (``MAX_BITS``), only spare work,
-and never decide: what a scan counts is joined with the state.
+reached.  It lies in buckets by the phrase's hash; a scan sends each bucket one
+packed table a block, not a row a phrase, and a task merges a bucket.  A bucket
+takes on about ``BUCKET_BYTES`` of text, up to ``MOST_BUCKETS`` buckets.
 
-Texts are lower-cased (A-Z), cut into pieces and words; a scan tallies blocks
-of ``BLOCK`` bytes, and a block that begins inside a text begins with the last
-words of the one before, so memory doesn't grow with a text.
+A scan is given bitmaps for each length, of the hashes of phrases that have
+reached the threshold, ever and within the last scans of a cycle.  They have a
+fixed largest size (``MAX_BITS``) and never miss a phrase.  A phrase that only
+seems active is counted for nothing: it stays below the threshold, as no shard
+is added twice.
 
 Defined results: null and empty texts have no words; a null language is
 ``und``; repeated documents count each time; ties rank by count, then by the
@@ -30,9 +36,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -40,20 +48,21 @@ from shelfwise.session import run_dir
 
 from . import common
 
-SHARDS, LONGEST, THRESHOLD, TOP = 4, 4, 30, 2000
+SHARDS, LONGEST, THRESHOLD, TOP = 2, 4, 30, 2000
 #: bytes of text tallied at once; bits of a bitmap for each phrase in it, and at least and most
-BLOCK, BITS_EACH, MIN_BITS, MAX_BITS = 16 << 20, 32, 1 << 16, 1 << 27
-BUCKET = 1 << 15  # bits of one row of bitmap_construct_agg
+BLOCK, BITS_EACH, MIN_BITS, MAX_BITS = 4 << 20, 32, 1 << 16, 1 << 26
+BITMAP_ROW = 1 << 15  # bits of one row of bitmap_construct_agg
+BUCKET_BYTES, MOST_BUCKETS, ROW_GROUP = 8 << 20, 1 << 16, 16 << 20
 
 #: what parts pieces becomes a word of its own, which no text holds
 GAP = b"."
 _GAPS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", GAP * 10)
 _END = re.compile(rb"[ .,;:!?\t-\r]")
-COUNTS = "lang string, k int, phrase string, n long"
 COUNTS_COLUMNS = ["lang", "k", "phrase", "n"]
-STATE = f"{COUNTS}, start int, reach int"
-#: files of the state: being counted, reached the threshold meanwhile, counted for a whole cycle
-COUNTING, REACHED, DONE = 0, 1, 2
+BLOCKS = "shard int, lang string, names binary, hashes binary, ids binary, held int"
+#: rows of the state: the packed phrases still counted of a bucket; a phrase that has reached the threshold; one whose cycle is over
+LIVE, REACHED, DONE = 0, 1, 2
+STATE = "bucket int, block binary, lang string, k int, phrase string, n long, reach int"
 
 
 # --- one block of text -------------------------------------------------------------
@@ -80,38 +89,50 @@ class Bitmap:
         return (self.bytes[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def tally(words: list[bytes], held: int, lang: str, known: dict[int, tuple[Bitmap, Bitmap]],
-          single: bool, longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of one language's block.  ``held`` words at the
-    start were counted with the block before: only phrases that end after them
-    count.  ``known``: for each length the bitmaps of phrases that have reached
-    the threshold, ever and lately; ``single``: words are still being counted."""
+def numbered(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words, their hashes, and the number of each word's."""
     names = list(dict.fromkeys(words))
     index = dict(zip(names, range(len(names)), strict=True))
-    ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-    gap = index.get(GAP, -1)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names))
+    return names, hashes, np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+
+
+def tally(names: list[bytes], hashes: np.ndarray, ids: np.ndarray, held: int, lang: str, known: dict[int, list[Bitmap]],
+          single: bool, longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(length, phrases, counts, age, hashes) of one language's block.  ``held``
+    words at the start were counted with the block before: only phrases that
+    end after them count.  ``known``: for each length the bitmaps of phrases
+    that have reached the threshold ever, in the last cycle of scans, in the
+    last but for its first scan, and so on; the age is the number of the last of
+    these that holds one of the phrase's two parts.  ``single``: words are still
+    being counted."""
+    ids = ids.astype(np.int64)
+    gap = names.index(GAP) if GAP in names else -1
     texts = pa.array(names, pa.binary())
+    seed = _rotated(hash_of(lang))
     if single:
         counts = np.bincount(ids[held:], minlength=len(names))
         if gap >= 0:
             counts[gap] = 0
         some = np.flatnonzero(counts)
-        yield 0, pa.array([b""], pa.binary()), counts.sum(keepdims=True)
-        yield 1, texts.take(pa.array(some)), counts[some]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names))[ids]
-    inside = ids != gap
-    h, whole = _rotated(hash_of(lang)) ^ hashes, inside
+        yield 0, pa.array([b""], pa.binary()), counts.sum(keepdims=True), np.zeros(1, np.int64), np.zeros(1, np.uint64)
+        yield 1, texts.take(pa.array(some)), counts[some], np.zeros(len(some), np.int64), seed ^ hashes[some]
+    if not known:
+        return
+    own, inside = hashes[ids], ids != gap
+    h, whole = seed ^ own, inside
     for k in range(2, longest + 1):
         if k - 1 not in known or len(whole) < 2:
             return
-        ever, lately = known[k - 1]
-        reached, late = np.zeros(len(whole), bool), np.zeros(len(whole), bool)
+        age = np.full(len(whole), -1, np.int8)  # -1: hasn't reached the threshold
         at = np.flatnonzero(whole)
-        reached[at] = ever.has(h[at])
-        at = np.flatnonzero(reached)
-        late[at] = lately.has(h[at])
-        at = np.flatnonzero(reached[:-1] & reached[1:] & (late[:-1] | late[1:]))
+        for n, bitmap in enumerate(known[k - 1]):
+            at = at[bitmap.has(h[at])]
+            age[at] = n
+        both = np.maximum(age[:-1], age[1:])
+        at = np.flatnonzero((np.minimum(age[:-1], age[1:]) >= 0) & (both > 0))
         at = at[at + k > held]
+        h, whole = _rotated(h[:-1]) ^ own[k - 1:], whole[:-1] & inside[k - 1:]
         if len(at):
             key = ids[at]
             for j in range(1, k):
@@ -119,10 +140,9 @@ def tally(words: list[bytes], held: int, lang: str, known: dict[int, tuple[Bitma
                 if j < k - 1:  # ranks, so that keys never overflow
                     key = np.unique(key, return_inverse=True)[1]
             _, first, counts = np.unique(key, return_index=True, return_counts=True)
-            parts = [texts.take(pa.array(ids[at[first] + j])) for j in range(k)]
-            yield k, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), counts
-        h = _rotated(h[:-1]) ^ hashes[k - 1:]
-        whole = whole[:-1] & inside[k - 1:]
+            at = at[first]
+            parts = [texts.take(pa.array(ids[at + j])) for j in range(k)]
+            yield k, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), counts, both[at].astype(np.int64), h[at]
 
 
 def blocks(texts: Iterator[tuple[str, str]], size: int, longest: int = LONGEST) -> Iterator[tuple[str, list[bytes], int]]:
@@ -155,16 +175,61 @@ def blocks(texts: Iterator[tuple[str, str]], size: int, longest: int = LONGEST)
     yield from flush()
 
 
-def scan(shard: DataFrame, known: dict[int, tuple[Bitmap, Bitmap]], single: bool, longest: int, size: int) -> DataFrame:
-    """COUNTS of one shard, as each block gives them."""
+def packed(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(block: bytes) -> pa.Table:
+    return pa.ipc.open_stream(block).read_all()
+
+
+def token_blocks(docs: DataFrame, shards: int, longest: int, size: int) -> DataFrame:
+    """BLOCKS of all texts."""
     def run(batches):
         texts = ((lang, text) for b in batches for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True))
-        for lang, words, held in blocks(texts, size, longest):
-            for k, phrases, counts in tally(words, held, lang, known, single, longest):
+        shard = TaskContext.get().partitionId()
+        for n, (lang, words, held) in enumerate(blocks(texts, size, longest)):
+            names, hashes, ids = numbered(words)
+            pa.default_memory_pool().release_unused()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([(shard + n) % shards], pa.int32()), pa.array([lang]), pa.array([b" ".join(names)], pa.binary()),
+                 pa.array([hashes.astype("<u8").tobytes()], pa.binary()), pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+                 pa.array([held], pa.int32())], names=["shard", "lang", "names", "hashes", "ids", "held"])
+
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(run, BLOCKS)
+
+
+def scan(shard: DataFrame, known: dict[int, list[Bitmap]], single: bool, longest: int, buckets: int) -> DataFrame:
+    """(bucket, block): what the blocks of a shard count, as packed tables
+    (lang, k, phrase, new, age)."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                pa.default_memory_pool().release_unused()
+                names = row["names"].split(b" ") if row["names"] else []
+                found = list(tally(names, np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["ids"], "<i4"), row["held"],
+                                   row["lang"], known, single, longest))
+                if not found:
+                    continue
+                h = np.concatenate([x[4] for x in found])
+                bucket = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
+                order = np.argsort(bucket, kind="stable")
+                table = pa.table({
+                    "k": np.repeat([x[0] for x in found], [len(x[1]) for x in found]).astype(np.int32),
+                    "phrase": pa.chunked_array([x[1] for x in found]).combine_chunks(),
+                    "new": np.concatenate([x[2] for x in found]).astype(np.int64),
+                    "age": np.concatenate([x[3] for x in found]).astype(np.int32)}).take(pa.array(order))
+                table = table.append_column("lang", pa.repeat(row["lang"], len(table)))
+                edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, len(phrases)), pa.repeat(pa.scalar(k, pa.int32()), len(phrases)),
-                     phrases.cast(pa.string()), pa.array(counts, pa.int64())], names=["lang", "k", "phrase", "n"])
-    return shard.select("lang", "text").mapInArrow(run, COUNTS)
+                    [pa.array(bucket[order][edges[:-1]], pa.int32()),
+                     pa.array([packed(table.slice(a, b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                    names=["bucket", "block"])
+    return shard.select("lang", "names", "hashes", "ids", "held").mapInArrow(run, "bucket int, block binary")
 
 
 # --- state -------------------------------------------------------------------------
@@ -175,24 +240,26 @@ def phrase_hash(lang: Column, phrase: Column) -> Column:
     return F.aggregate(F.split(phrase, " "), F.xxhash64(lang), lambda h, w: rotated(h).bitwiseXOR(F.xxhash64(w)))
 
 
-def bitmaps(reached: DataFrame, sizes: dict[int, int], late_from: int) -> dict[int, tuple[Bitmap, Bitmap]]:
-    """Bitmaps of the phrases in ``reached`` by length; at most ``MAX_BITS``
-    bits each reach the driver, however many phrases there are."""
+def bitmaps(reached: DataFrame, sizes: dict[int, int], step: int, shards: int) -> dict[int, list[Bitmap]]:
+    """For each length the bitmaps :func:`tally` takes at scan ``step``: of the
+    phrases in ``reached``, of those since scan ``step - shards``, and so on.
+    At most ``MAX_BITS`` bits of each reach the driver, however many phrases
+    there are."""
     bits = {k: min(MAX_BITS, max(MIN_BITS, 1 << (BITS_EACH * n - 1).bit_length())) for k, n in sizes.items()}
     if not bits:
         return {}
     shift = reduce(lambda out, k: out.when(F.col("k") == k, 64 - (bits[k].bit_length() - 1)), bits, F).otherwise(63)
+    age = F.greatest(F.lit(0), F.col("reach") - (step - shards) + 1)
     rows = (reached.where(F.col("k").isin(list(bits)))
-            .select("k", (F.col("reach") >= late_from).alias("late"),
-                    phrase_hash(F.col("lang"), F.col("phrase")).alias("h"), shift.alias("s"))
+            .select("k", age.alias("age"), phrase_hash(F.col("lang"), F.col("phrase")).alias("h"), shift.alias("s"))
             .withColumn("at", F.expr("shiftrightunsigned(h, s)"))
-            .groupBy("k", "late", F.shiftright("at", 15).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(BUCKET - 1))).alias("bits")))
-    out = {k: (Bitmap(n), Bitmap(n)) for k, n in bits.items()}
+            .groupBy("k", "age", F.shiftright("at", 15).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(BITMAP_ROW - 1))).alias("bits")))
+    out = {k: [Bitmap(n) for _ in range(shards + 1)] for k, n in bits.items()}
     for r in rows.collect():
         part = np.frombuffer(r["bits"], np.uint8)
         at = r["bucket"] * len(part)
-        for bitmap in out[r["k"]][:2 if r["late"] else 1]:
+        for bitmap in out[r["k"]][:r["age"] + 1]:
             end = min(len(bitmap.bytes), at + len(part))
             bitmap.bytes[at:end] |= part[:end - at]
     return out
@@ -202,63 +269,87 @@ def frequent_phrases(docs: DataFrame, shards: int = SHARDS, longest: int = LONGE
                      size: int = BLOCK) -> DataFrame:
     """(lang, k, phrase, n): phrases of ``k`` words, up to ``longest``, found
     ``threshold`` times or more, with their exact counts; ``k`` 0 is the number
-    of words of each language."""
+    of words of each language.  At most 62 shards."""
     spark = docs.sparkSession
-    common.small_batches(spark)
-    dealt = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                        F.coalesce("text", F.lit("")).alias("text"),
-                        F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-    texts = common.stored(dealt, "phrase-texts", partition_by="shard")
     folder, lengths = run_dir(spark, "phrase-state"), range(1, longest)
+    with common.arrow_rows(spark, 1000):  # a block is a large row: a few make a row group
+        (token_blocks(docs, shards, longest, size).write.option("parquet.block.size", ROW_GROUP)
+         .partitionBy("shard").parquet(f"{folder}-blocks"))
+    texts = spark.read.schema(BLOCKS).parquet(f"{folder}-blocks")
+    words = texts.agg(F.sum(F.octet_length("ids"))).first()[0] or 0  # four bytes a word
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, max(least, 2 * words // BUCKET_BYTES))
     state = spark.createDataFrame([], f"{STATE}, step int, part int")
-    known, finished, step, last = {}, dict.fromkeys(lengths, 0), 0, shards - 1
+    known, sizes, step, last = {}, dict.fromkeys(lengths, 0), 0, shards - 1
     while step <= last:
-        live = state.where((F.col("step") == step - 1) & (F.col("part") != DONE))
-        reached = reached_by(state, step - 1, longest)
-        found = scan(texts.where(F.col("shard") == step % shards), known, step < shards, longest, size)
-        found = begun(found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")), reached, step, shards)
-        rows = (live.drop("step", "part").unionByName(found).groupBy("lang", "k", "phrase")
-                .agg(F.sum("n").alias("n"), F.max("start").alias("start"), F.max("reach").alias("reach"))
-                .withColumn("reach", F.coalesce("reach", F.when(F.col("n") >= threshold, step)))
-                .withColumn("part", F.when(F.col("start") + (shards - 1) <= step, DONE)
-                            .when(F.col("reach").isNotNull(), REACHED).otherwise(COUNTING))
-                .where((F.col("part") != DONE) | F.col("reach").isNotNull() | (F.col("k") == 0)))
-        seen, metrics = Observation(), []
-        for k in lengths:
-            of = (F.col("k") == k) & F.col("reach").isNotNull()
-            metrics += [F.count_if(of).alias(f"all{k}"), F.count_if(of & (F.col("part") == DONE)).alias(f"done{k}"),
-                        F.max(F.when(of, F.col("reach"))).alias(f"top{k}")]
-        rows.observe(seen, *metrics).write.partitionBy("part").parquet(f"{folder}/step={step}")
+        live = state.where((F.col("step") == step - 1) & (F.col("part") == LIVE)).select("bucket", "block", F.lit(True).alias("live"))
+        found = scan(texts.where(F.col("shard") == step % shards), known, step < shards, longest, buckets)
+        rows = (live.unionByName(found.withColumn("live", F.lit(False))).groupBy("bucket")
+                .applyInPandas(merging(step, shards, threshold), f"{STATE}, part int"))
+        seen = Observation()
+        fresh = [F.count_if((F.col("part") == REACHED) & (F.col("k") == k)).alias(f"k{k}") for k in lengths]
+        with common.arrow_rows(spark, 1):
+            rows.observe(seen, *fresh).write.partitionBy("part").parquet(f"{folder}/step={step}")
         state = spark.read.schema(f"{STATE}, step int, part int").parquet(folder)
-        # what reached the threshold last lets longer phrases begin at the next
-        # scan, and those take one cycle
-        last = max([last, *(top + shards for k in lengths if (top := seen.get[f"top{k}"]) is not None)])
-        sizes = {k: finished[k] + seen.get[f"all{k}"] for k in lengths}
-        finished = {k: finished[k] + seen.get[f"done{k}"] for k in lengths}
+        sizes = {k: sizes[k] + seen.get[f"k{k}"] for k in lengths}
+        if any(seen.get[f"k{k}"] for k in lengths):
+            # what has reached the threshold lets longer phrases begin at the
+            # next scan, and those take one cycle
+            last = max(last, step + shards)
         step += 1
         if step <= last:
-            known = bitmaps(reached_by(state, step - 1, longest), {k: n for k, n in sizes.items() if n}, step - shards)
-    return state.where(F.col("part") == DONE).select(*COUNTS_COLUMNS)
-
-
-def reached_by(state: DataFrame, step: int, longest: int) -> DataFrame:
-    """The phrases that had reached the threshold when scan ``step`` ended."""
-    files = (F.col("part") == DONE) | ((F.col("part") == REACHED) & (F.col("step") == step))
-    return state.where(files & F.col("k").between(1, longest - 1)).select("lang", "k", "phrase", "reach")
-
-
-def begun(found: DataFrame, reached: DataFrame, step: int, shards: int) -> DataFrame:
-    """What a scan counted, with the scan its counting begins at: the one after
-    both subphrases have reached the threshold.  Phrases for which one hasn't,
-    or whose cycle is over, are left out; words begin at 0."""
-    rows = found
-    for i, part in enumerate(("substring_index(phrase, ' ', k - 1)", "substring_index(phrase, ' ', 1 - k)")):
-        side = reached.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), F.col("reach").alias(f"_reach{i}"))
-        own = F.when(F.col("k") > 1, F.expr(part)).otherwise(F.col("phrase"))
-        rows = rows.join(side, (F.col("lang") == F.col("_lang")) & (own == F.col("_phrase")), "left").drop("_lang", "_phrase")
-    both = F.when(F.col("_reach0").isNotNull() & F.col("_reach1").isNotNull(), F.greatest("_reach0", "_reach1") + 1)
-    rows = rows.withColumn("start", F.when(F.col("k") > 1, both).otherwise(0).cast("int"))
-    return rows.where(F.col("start") + shards > step).select(*COUNTS_COLUMNS, "start", F.lit(None).cast("int").alias("reach"))
+            reached = state.where((F.col("part") == REACHED) & (F.col("k") < longest))
+            known = bitmaps(reached, {k: n for k, n in sizes.items() if n}, step, shards)
+    # a phrase that seemed active again after its cycle has a second, lower count
+    return (state.where(F.col("part") == DONE).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
+            .select(*COUNTS_COLUMNS))
+
+
+def merging(step: int, shards: int, threshold: int):
+    """The state of a bucket after scan ``step``, as STATE rows: what the scan
+    counted is added to the phrases that hadn't counted its shard.  A phrase
+    begins at the scan after its parts had reached the threshold, which its age
+    tells; words begin at 0."""
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        pa.default_memory_pool().release_unused()
+        tables = []
+        for block, is_live in zip(rows["block"], rows["live"], strict=True):
+            table, none = unpacked(block), np.full
+            if not is_live:
+                n, k, age = len(table), table["k"].to_numpy(), table["age"].to_numpy()
+                table = pa.table({"lang": table["lang"], "k": table["k"], "phrase": table["phrase"], "n": np.zeros(n, np.int64),
+                                  "new": table["new"], "shards": np.zeros(n, np.int64),
+                                  "start": none(n, -1, np.int32), "reach": none(n, -1, np.int32),
+                                  "first": np.where(k < 2, 0, age + (step - shards)).astype(np.int32)})
+            else:
+                table = table.append_column("new", pa.array(np.zeros(len(table), np.int64))).append_column(
+                    "first", pa.array(none(len(table), -1, np.int32)))
+            tables.append(table.select(MERGED))
+        sums = pa.concat_tables(tables).group_by(["lang", "k", "phrase"]).aggregate(
+            [("n", "sum"), ("new", "sum"), ("shards", "max"), ("start", "max"), ("reach", "max"), ("first", "max")])
+        n, new, seen, start, reach, first = (sums[c].to_numpy() for c in (
+            "n_sum", "new_sum", "shards_max", "start_max", "reach_max", "first_max"))
+        bit = 1 << step % shards
+        n = n + np.where(seen & bit == 0, new, 0)
+        seen, start = np.where(new > 0, seen | bit, seen), np.where(start < 0, first, start).astype(np.int32)
+        newly = (reach < 0) & (n >= threshold)
+        reach, over, k = np.where(newly, step, reach).astype(np.int32), start + (shards - 1) <= step, sums["k"].to_numpy()
+        whole = pa.table({"lang": sums["lang"], "k": sums["k"], "phrase": sums["phrase"], "n": n, "shards": seen,
+                          "start": start, "reach": reach})
+        out, bucket = [], int(rows["bucket"].iloc[0])
+        left = whole.filter(pa.array(~over))
+        if len(left):
+            out.append(pd.DataFrame({"bucket": [bucket], "block": [packed(left)], "part": [LIVE]}))
+        for part, chosen in ((REACHED, newly & (k > 0)), (DONE, over & ((reach >= 0) | (k == 0)))):
+            some = whole.select([*COUNTS_COLUMNS, "reach"]).filter(pa.array(chosen))
+            some = some.set_column(2, "phrase", some["phrase"].cast(pa.string())).to_pandas()
+            out.append(some.assign(bucket=bucket, part=part))
+        return pd.concat(out, ignore_index=True).reindex(columns=["bucket", "block", *COUNTS_COLUMNS, "reach", "part"]).astype(
+            {"k": "Int32", "n": "Int64", "reach": "Int32"})
+    return merge
+
+
+MERGED = ["lang", "k", "phrase", "n", "new", "shards", "start", "reach", "first"]
 
 
 # --- collocations ------------------------------------------------------------------

@@ -75,11 +75,19 @@ def test_counts(spark, options):
 def test_late_phrases(spark):
     """Phrases whose words come late: activated after the first cycle of words."""
     rows = [("en", "a b c d")] * 3 + [("en", "filler words here")] * 300 + [("en", "a b c d")] * 6
-    _, got = run(spark, rows, threshold=9, shards=4)
+    _, got = run(spark, rows, threshold=9)
     assert got["en", 4, "a b c d"] == 9 and got["en", 3, "filler words here"] == 300
     assert got == plain_counts(rows, 4, 9)
 
 
+def test_filters_only_spare_work(spark, monkeypatch):
+    """With bitmaps that let everything pass, the counts are the same."""
+    monkeypatch.setattr(collocations.Bitmap, "has", lambda self, h: collocations.np.ones(len(h), bool))
+    rows = corpus(3, 80)
+    _, got = run(spark, rows, threshold=5)
+    assert {x: n for x, n in got.items() if x[1] or n} == {x: n for x, n in plain_counts(rows, 4, 5).items() if x[1] or n}
+
+
 def test_scores(spark):
     rows = corpus(7, 200)
     docs, _ = run(spark, rows, threshold=3)
@@ -110,10 +118,11 @@ def test_blocks():
 def test_bitmaps_hold_all(spark):
     words = [f"w{i}" for i in range(3000)]
     reached = spark.createDataFrame([("en", 1, w, i % 3) for i, w in enumerate(words)], "lang string, k int, phrase string, reach int")
-    ever, late = collocations.bitmaps(reached, {1: 3000}, 2)[1]
+    ever, late, last = collocations.bitmaps(reached, {1: 3000}, 3, 2)[1]  # since scans 1 and 2
     import numpy as np
     h = collocations._rotated(collocations.hash_of("en")) ^ np.array([collocations.hash_of(w) for w in words])
-    assert ever.has(h).all() and late.has(h)[2::3].all() and late.has(h).mean() < 0.45
+    assert ever.has(h).all() and late.has(h)[1::3].all() and late.has(h)[2::3].all() and last.has(h)[2::3].all()
+    assert late.has(h).mean() < 0.75 and last.has(h).mean() < 0.45
     other = collocations._rotated(collocations.hash_of("de")) ^ np.array([collocations.hash_of(w) for w in words])
     assert ever.has(other).mean() < 0.1
 
