@@ -1,10 +1,11 @@
 """Token ids in binary files, Simple-8b coded, in ascending order of document.
 
-Documents are range-partitioned by id; each task encodes its range and writes
-one file: a header, the words of all blocks, an index (ids and lengths of the
-documents, block offsets) and a trailer with checksums.  A task that is run
-again writes another file; the manifest, a table committed by Spark, names the
-files that count and gives each its place in the id stream.
+Documents are range-partitioned by id, text hash and row number, so that many
+equal rows are dealt out like others; each task encodes its range and writes
+files of about ``FILE_IDS`` ids: a header, the words of all blocks, an index
+(ids and lengths of the documents, block offsets) and a trailer with checksums.
+A task that is run again writes other files; the manifest, a table committed by
+Spark, names the files that count and gives each its place in the id stream.
 
 Encoding uses the tokenizers library.  White space after a character that is
 none always starts a token, so a text is a sequence of units (a run of white
@@ -41,6 +42,8 @@ from . import common, simple8b
 
 #: units a worker remembers; ids packed, and blocks unpacked, at once
 MAX_UNITS, FLUSH, BLOCKS_AT_ONCE = 1_200_000, 1 << 21, 4096
+#: ids after which a file ends (with the batch of documents that reaches them)
+FILE_IDS = 32 << 20
 MAGIC = b"S8BT"
 HEADER = struct.Struct("<4sI")
 TRAILER = struct.Struct("<QQQQI4s")  # documents, blocks, ids, words, checksum of the index, magic
@@ -194,9 +197,9 @@ def read_file(file, size: int):
     """Yield (document id or None, ids) of each document of an open file, some
     blocks at a time; raises ValueError on a damaged file."""
     def part(at: int, n: int) -> bytes:
-        file.seek(at)
+        file.seek(max(0, at))
         got = file.read(n)
-        if len(got) != n:
+        if at < 0 or len(got) != n:
             raise ValueError("token file is cut off")
         return got
 
@@ -233,36 +236,43 @@ def read_file(file, size: int):
 
 
 # --- Spark -------------------------------------------------------------------------
-MANIFEST = "file string, bytes long, first_doc long, first_hash long, docs long, ids long"
+MANIFEST = "file string, bytes long, first_doc long, first_hash long, first_row long, docs long, ids long"
 
 
-def write_files(docs: DataFrame, path: str, end_id: int | None, folder: str, files: int | None = None) -> DataFrame:
-    """Write ``docs`` as token files below ``folder``, ``files`` of them or as
+def write_files(docs: DataFrame, path: str, end_id: int | None, folder: str, files: int | None = None,
+                file_ids: int = FILE_IDS) -> DataFrame:
+    """Write ``docs`` as token files below ``folder``, from ``files`` tasks or as
     many as Spark's shuffle settings give; the stored manifest, with
     ``first_id``, the number of ids in the files before."""
     common.small_batches(docs.sparkSession)
 
     def write(batches):
         batches = (b for b in batches if len(b))
-        first = next(batches, None)
-        if first is None:
-            return
-        enc, out = encoder(path, end_id), Writer()
-
-        def encoded():
-            for rows in itertools.chain([first], batches):
-                null = rows["doc_id"].isna().to_numpy()
-                yield (rows["doc_id"].fillna(0).to_numpy(np.int64), null, *enc.encode(rows["text"].tolist()))
-        name, size = common.write_file(folder, "tokens.s8b", out.chunks(encoded()))
-        doc = first["doc_id"].iloc[0]
-        yield pd.DataFrame({"file": [name], "bytes": [size], "first_doc": pd.array([None if pd.isna(doc) else int(doc)], "Int64"),
-                            "first_hash": [first["h"].iloc[0]], "docs": [sum(map(len, out.lengths))], "ids": [out.n_ids]})
-
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text"))
-    manifest = (rows.repartitionByRange(*([files] if files else []), "doc_id", "h").sortWithinPartitions("doc_id", "h")
+        first, enc = next(batches, None), encoder(path, end_id)
+        while first is not None:
+            out, following = Writer(), []
+
+            def encoded(rows, out=out, following=following):
+                while rows is not None:
+                    null = rows["doc_id"].isna().to_numpy()
+                    yield (rows["doc_id"].fillna(0).to_numpy(np.int64), null, *enc.encode(rows["text"].tolist()))
+                    rows = next(batches, None)
+                    if out.n_ids >= file_ids:
+                        following.append(rows)
+                        return
+            name, size = common.write_file(folder, "tokens.s8b", out.chunks(encoded(first)))
+            doc = first["doc_id"].iloc[0]
+            yield pd.DataFrame({"file": [name], "bytes": [size], "first_doc": pd.array([None if pd.isna(doc) else int(doc)], "Int64"),
+                                "first_hash": [first["h"].iloc[0]], "first_row": [first["row"].iloc[0]],
+                                "docs": [sum(map(len, out.lengths))], "ids": [out.n_ids]})
+            first = following[0] if following else None
+
+    order = ["doc_id", "h", "row"]
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), F.col("text"))
+    manifest = (rows.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order)
                 .mapInPandas(write, MANIFEST))
     manifest = common.stored(manifest, "token-manifest")  # one row per file
-    before = Window.orderBy("first_doc", "first_hash").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("first_doc", "first_hash", "first_row").rowsBetween(Window.unboundedPreceding, -1)
     return common.stored(manifest.withColumn("first_id", F.coalesce(F.sum("ids").over(before), F.lit(0))), "token-files")
 
 

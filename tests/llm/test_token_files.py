@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shelfwise.llm import simple8b, token_files
+from shelfwise.llm import common, simple8b, token_files
 
 VOCABULARY = P.path("byte_bpe_50k.json")
 
@@ -65,15 +65,20 @@ def test_forgetting(monkeypatch):
         assert enc.encode([text, text])[0].tolist() == 2 * library_ids(text)
 
 
-@pytest.mark.parametrize("files", [5, None])
-def test_files(spark, files):
+@pytest.mark.parametrize("files, file_ids", [(5, 1 << 20), (None, 1 << 20), (3, 1)])
+def test_files(spark, files, file_ids):
     r = random.Random(4)
     rows = [(i, "".join(r.choice(PIECES) for _ in range(r.randrange(300))), 7) for i in range(60)]
     rows += [(60, None, 7), (61, "", 7), (5, "again", 7), (5, "again", 7), (None, "no id", 7), (-3, "below", 7)]
     r.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string, start int").repartition(3)
     folder = token_files.run_dir(spark, "t")
-    manifest = token_files.write_files(docs, VOCABULARY, 2, folder, files)
+    common.small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    manifest = token_files.write_files(docs, VOCABULARY, 2, folder, files, file_ids)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    if file_ids == 1:  # a file a batch
+        assert manifest.count() >= len(rows) / 7
     got = token_files.read_digests(manifest, folder)
     got = sorted((tuple(x) for x in got.collect()), key=lambda x: x[1])
     ordered = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0))
@@ -90,6 +95,25 @@ def test_files(spark, files):
         at += n
 
 
+def test_equal_rows_are_split(spark):
+    """A third of the table is one row: it spans tasks and files, and stays in place."""
+    rows = [(5, "the same text")] * 300 + [(i, f"text {i}") for i in range(600)]
+    folder = token_files.run_dir(spark, "t")
+    manifest = token_files.write_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), VOCABULARY, 2, folder, 9)
+    files = manifest.collect()
+    assert sum(r.first_doc == 5 for r in files) >= 2 and max(r.docs for r in files) < 250
+    got = sorted(map(tuple, token_files.read_digests(manifest, folder).collect()), key=lambda x: x[1])
+    assert [g[0] for g in got] == sorted(r[0] for r in rows)
+    assert all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:]))
+
+
+def test_very_long_text(spark):
+    text = "long words and more " * 100_000
+    got = token_files.token_table(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string"), VOCABULARY, 2)
+    want = np.array([*library_ids(text), 2], "<u4")
+    assert {(r.doc_id, r.n_tokens, r.ids_crc32) for r in got.collect() if r.doc_id == 1} == {(1, len(want), zlib.crc32(want.tobytes()))}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.token_table(docs, VOCABULARY, 2).collect() == []
@@ -99,6 +123,8 @@ def test_damage():
     out = token_files.Writer()
     data = b"".join(out.chunks([(np.array([1, 2]), np.array([0, 0]), np.arange(700, dtype=np.uint32), np.array([300, 400]))]))
     assert [(d, len(x)) for d, x in token_files.read_file(io.BytesIO(data), len(data))] == [(1, 300), (2, 400)]
-    for bad in (data[:-1], data[1:], data[:-60] + b"\xff" + data[-59:]):
-        with pytest.raises((ValueError, Exception)):
+    index = data[-token_files.TRAILER.size - 20:-token_files.TRAILER.size]
+    for bad, error in ((data[:-1], "not a token file"), (data[1:], "not a token file"), (b"", "cut off"),
+                       (data.replace(index, b"\xff" * 20), "damaged index")):
+        with pytest.raises(ValueError, match=error):
             list(token_files.read_file(io.BytesIO(bad), len(bad)))
