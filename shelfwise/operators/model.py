@@ -107,7 +107,8 @@ def train_depth_wise(mart: DataFrame, max_iter: int = MAX_ITER, patience: int =
 def prefix(gbt: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
     """The model of the first ``rounds`` trees."""
     java = gbt._java_obj
-    cut = getattr(gbt._sc._jvm, java.getClass().getName())(gbt.uid, java.trees()[:rounds], java.treeWeights()[:rounds])
+    make = SparkSession.active()._jvm.org.apache.spark.ml.regression.GBTRegressionModel
+    cut = make(gbt.uid, java.trees()[:rounds], java.treeWeights()[:rounds])
     return gbt._copyValues(GBTRegressionModel(cut))
 
 
