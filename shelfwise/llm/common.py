@@ -50,6 +50,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def broadcast_if_light(df: DataFrame, row_bytes: Column, most: int) -> DataFrame:
+    """Broadcast hint for a *stored* table whose rows differ in size, only if
+    ``row_bytes`` (and 64 for each row) add up to at most ``most`` bytes."""
+    size = df.agg(F.sum(F.coalesce(row_bytes, F.lit(0)).cast("long") + 64)).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 #: bits of a filter for each key, and its blocks of 64 bits at most
 BITS_PER_KEY, MAX_BLOCKS = 16, 1 << 20
 

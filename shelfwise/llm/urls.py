@@ -7,8 +7,10 @@ may be of any size: its blocked Bloom filter has one row of four 64-bit lanes
 per block, a URL sets two bits in each lane of its one block, and the URLs
 whose bits are all set meet the list in an exact hash join that removes the
 false positives.  The filter is broadcast when it has at most
-``MAX_BROADCAST_BLOCKS`` rows, else joined by its block number, which is
-uniform; popular URLs are left to AQE's skew handling.
+``MAX_BROADCAST_BLOCKS`` rows of 40 bytes, else joined by its block number,
+which is uniform.  The list is broadcast only below ``MAX_BROADCAST_BYTES``,
+beyond which only the URLs that pass the filter are shuffled to it; popular URLs
+are left to AQE's skew handling.
 
 All in DataFrame functions.  Defined results: a null URL or one without
 ``://`` has an empty host and path and no rule; null entries of the list are
@@ -28,7 +30,7 @@ ALLOW, BLOCK = "allow", "block"
 #: bits of the filter per listed URL, and bits of a block
 BITS_PER_URL, BLOCK_BITS = 16, 256
 MAX_BROADCAST_BLOCKS = 1_000_000
-MAX_BROADCAST_URLS = 1_000_000
+MAX_BROADCAST_BYTES = 8 << 20
 #: query parameters that don't change a page
 TRACKING = r"^(utm_[a-z]+|ref)="
 
@@ -108,7 +110,7 @@ def filter_table(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str
     bloom = common.broadcast_if_small(bloom, MAX_BROADCAST_BLOCKS)
     probed = (open_.join(bloom, F.col("block") == F.col("_block"), "left")
               .withColumn("possible", F.col("key").isNotNull() & F.coalesce(inside, F.lit(False))))
-    exact = common.broadcast_if_small(listed.withColumnRenamed("url", "_url"), MAX_BROADCAST_URLS)
+    exact = common.broadcast_if_light(listed.withColumnRenamed("url", "_url"), F.octet_length("_url"), MAX_BROADCAST_BYTES)
     hit = (probed.where("possible").join(exact, F.col("key") == F.col("_url"), "left")
            .withColumn("listed", F.col("_url").isNotNull()))
     miss = probed.where("NOT possible").withColumn("listed", F.lit(False))

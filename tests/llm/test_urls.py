@@ -51,7 +51,7 @@ def test_verdicts(spark):
 @pytest.mark.parametrize("most", [1_000_000, 0])
 def test_filter_never_misses(spark, monkeypatch, most):
     monkeypatch.setattr(urls, "MAX_BROADCAST_BLOCKS", most)
-    monkeypatch.setattr(urls, "MAX_BROADCAST_URLS", most)
+    monkeypatch.setattr(urls, "MAX_BROADCAST_BYTES", most)
     r = random.Random(1)
     names = [f"h{r.randrange(400)}.net/p{r.randrange(400)}" for _ in range(3000)]
     listed = set(names[:900])
