@@ -47,6 +47,7 @@ MIN_EXAMPLES = 3
 MIN_CHI2, MIN_RATIO = 30.0, 20.0
 #: share of the words of two examples together that both must hold to be one
 SIMILAR = 0.8
+MAX_BROADCAST_BYTES = 32 << 20
 K, EPSILON, PRIOR, BLOCK = 25, 0.05, 0.25, 64
 THRESHOLD = 0.3
 
@@ -224,18 +225,20 @@ def _example_terms(batches):
 
 def distinct_examples(bags: DataFrame) -> DataFrame:
     """One row per id, then per text and label, then without the near copies of
-    the first of their sketch and label.  Only the firsts of groups are
-    broadcast, so a large group isn't dealt to one task."""
+    the first of their sketch and label.  The firsts of groups are broadcast
+    if their word hashes take at most ``MAX_BROADCAST_BYTES``; beyond, groups (of
+    at most ``MAX_EXAMPLES`` rows) are joined by shuffle."""
     for key in (["id"], ["digest", "label"]):  # also bounds the examples if ids repeat
         bags = bags.groupBy(*key).agg(F.min_by(F.struct(*bags.columns), F.struct("id", "sketch", "label")).alias("e")).select("e.*")
     bags = common.stored(bags, "toxic-texts")
     first = (bags.groupBy(F.col("sketch").alias("_sketch"), F.col("label").alias("_label"))
              .agg(F.min("id").alias("_id"), F.min_by("words", "id").alias("_words"), F.count("*").alias("_n"))
              .where("_n > 1"))
+    first = common.broadcast_if_light(common.stored(first, "toxic-firsts"), 8 * F.size("_words"), MAX_BROADCAST_BYTES)
     both = F.size(F.array_intersect("words", "_words"))
     near = ((F.col("sketch") == F.col("_sketch")) & (F.col("label") == F.col("_label")) & (F.col("id") != F.col("_id"))
             & (both >= SIMILAR * (F.size("words") + F.size("_words") - both)))
-    return common.stored(bags.join(F.broadcast(first), near, "left_anti"), "toxic-distinct")
+    return common.stored(bags.join(first, near, "left_anti"), "toxic-distinct")
 
 
 def select_terms(bags: DataFrame, positives: int, negatives: int) -> list[bytes]:

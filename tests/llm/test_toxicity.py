@@ -111,7 +111,10 @@ def test_all_associated_terms_are_kept(spark):
     assert sorted(got) == sorted(f"bad{w:03}".encode() for w in range(700))
 
 
-def test_only_near_copies_of_one_label_merge(spark):
+@pytest.mark.parametrize("most", [toxicity.MAX_BROADCAST_BYTES, 0])
+def test_only_near_copies_of_one_label_merge(spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "MAX_BROADCAST_BYTES", most)
+
     def sketch(text):
         return toxicity.sketch(toxicity.words(text))
 
