@@ -167,7 +167,7 @@ def learn_cutoffs(judged: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
     strata = grid.select("stratum").distinct().count()
     level, share = delta / max(1, strata * len(RULES)), alpha / len(RULES)
 
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one(key, rows):
         cuts = RULES[key[1]][1]
         good, bad = np.zeros(len(cuts) + 1, np.int64), np.zeros(len(cuts) + 1, np.int64)
         np.add.at(good, rows["hits"].to_numpy(), rows["good"].to_numpy())

@@ -50,6 +50,31 @@ def test_stages(spark, folder):
         assert got[i].n_tokens == len(want) and got[i].ids_sha256 == hashlib.sha256(want.tobytes()).hexdigest()
 
 
+def test_rough_rows(spark, folder, tmp_path):
+    """Repeated rows are one, null ids are documents, null and empty texts go, a
+    very long text is encoded whole, columns of any name stay, and a table may be empty."""
+    long = " ".join(f"z{k}" for k in range(70_000))
+    rows = [(1, text(1)), (1, text(1)), (None, text(3)), (4, None), (5, ""), (6, long), (7, text(7))]
+    extra = ["_doc", "_q", "_id", "label", "fingerprint", "component_id", "w", "h", "n_words", "_possible", "word"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    docs = spark.createDataFrame([(i, t, None, None, None, *["x"] * len(extra)) for i, t in rows], schema)
+    for name, some in (("full", docs), ("none", docs.where("false"))):
+        d = f"{tmp_path}/{name}"
+        some.write.parquet(f"{d}/documents.parquet")
+        for other in ("labels", "benchmark"):
+            spark.read.parquet(f"{folder}/{other}.parquet").write.parquet(f"{d}/{other}.parquet")
+        kept = some
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            kept = corpus_pipeline.common.stored(function(spark, kept, d), f"r-{stage}")
+            assert kept.columns == docs.columns
+        got = sorted((str(r.doc_id), r.n_tokens) for r in corpus_pipeline.run(spark, d).collect())
+        if name == "none":
+            assert got == []
+            continue
+        enc = bpe.encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+        assert got == sorted((str(i), len(enc.encode_ordinary(t))) for i, t in (rows[0], rows[2], rows[5], rows[6]))
+
+
 def test_every_query_is_named():
-    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)

@@ -4,11 +4,12 @@ import random
 from fractions import Fraction
 from math import comb
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import quality
+from shelfwise.llm import quality, queries
 
 
 def plain(text):
@@ -88,6 +89,37 @@ def test_table_and_filter(spark):
     assert sorted(map(str, (x.doc_id for x in kept.collect()))) == sorted(map(str, (x.doc_id for x in got if x.kept)))
 
 
+def test_query_equals_sql_where_rules_fire(spark, tmp_path):
+    r = random.Random(5)
+
+    def text(i, kind):
+        words = [f"word{i}x{k}" for k in range(60)]
+        if kind == "symbols":
+            words = [w + "#" * r.randrange(1, 5) for w in words]
+        elif kind == "repeats":
+            words[20:20 + r.randrange(6, 25)] = words[:6] * 4
+        elif kind == "capitals":
+            words = [w.upper() if r.random() < 0.7 else w for w in words]
+        return " ".join(words) if kind != "copied_lines" else "\n".join([*words, *words[:r.randrange(5, 60)]])
+
+    kinds = ["symbols", "repeats", "capitals", "copied_lines"]
+    rows = [(i, text(i, "plain"), lang, 1) for lang, first, n in (("en", 0, 2500), ("de", 5000, 2500), (None, 10_000, 40))
+            for i in range(first, first + n)]
+    rows += [(20_000 + i, text(i, kinds[i % 4]), ["en", "de", None][i % 3], int(i % 50 == 0)) for i in range(600)]
+    rows += [(30_000 + i, text(i, kinds[i % 4]), "en", None) for i in range(40)]
+    spark.createDataFrame([x[:3] for x in rows], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(x[0], x[3]) for x in rows], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op2_quality_rules(spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['op2_quality_rules']})").fetchall()
+    got = sorted(map(tuple, got.collect()), key=str)
+    assert got == sorted(want, key=str)
+    fired = {rule for x in got for rule in x[-1].split(",")}
+    assert len(fired - {""}) >= 2 and any(x[-1] and x[0] >= 30_000 for x in got), fired
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
