@@ -119,3 +119,18 @@ def test_edge_tables(spark):
     some = boosting.fit(frame(spark, rows, 2), "features", "y", "k", "v", boosting.Params(
         rounds=60, min_rows=1, bins=8, leaves=4, rate=0.5, **{"row_share": 1.0, "feature_share": 1.0}))
     assert some.rounds == 60 and some.predict(np.array([[1.0, 1, 1], [2.0, 1, 1]])) == pytest.approx([1, 3], abs=1e-3)
+
+
+def test_subtrees_grown_by_one_task_change_nothing_and_spare_jobs(spark, monkeypatch):
+    rows = data(400)
+    p = boosting.Params(rounds=5, leaves=20, min_rows=3, rate=0.3, bins=16)
+    models, jobs = [], []
+    for most in (0, 60, 50_000):
+        monkeypatch.setattr(boosting, "LOCAL_ROWS", most)
+        spark.sparkContext.setJobGroup(f"boosting-{most}", "")
+        models.append(boosting.fit(frame(spark, rows, 3), "features", "y", "k", "v", p))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{most}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert models[0] == models[1] == models[2]
+    # two jobs a round, the last round's error, and the tables before the first
+    assert jobs[2] < jobs[0] and jobs[2] <= 2 * 5 + 1 + 12
