@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .versions import VersionedTable, drop_folders
 
-#: runs before the smallest are merged, and rows of a run's file about
+#: runs before the smallest are merged, and rows of a run's file at most
 RUNS, FILE_ROWS = 8, 1_000_000
 ZONES = "run string, file string, low string, high string, rows long"
 
@@ -49,8 +49,10 @@ class ClusteredTable:
     def _written(self, df: DataFrame) -> DataFrame:
         run = f"data-{uuid.uuid4().hex[:12]}"
         order = [self.key, *self.within]
-        files = max(1, -(-df.count() // self.file_rows))
-        df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(f"{self.path}/{run}")
+        # in ranges whose number Spark fits to their size; a long one is cut into files as it is written, in order,
+        # so the rows needn't be counted before
+        (df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", self.file_rows)
+         .parquet(f"{self.path}/{run}"))
         rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/{run}")
         return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
             F.min(self.key).alias("low"), F.max(self.key).alias("high"), F.count("*").alias("rows")).select(
