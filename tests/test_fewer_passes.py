@@ -1,11 +1,16 @@
 """Steps that read or shuffle less: same rows as the plain form, and the plan or the number of passes."""
 
 import datetime as dt
+import threading
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.operators import gold, silver
+from shelfwise.operators.unique import least_per_key
+from shelfwise.plans import queries
+from shelfwise.plans.pipeline import PricingPipeline
 from shelfwise.plans.queries import _one_payload
 from shelfwise.session import run_dir
 from shelfwise.sources import schemas
@@ -65,3 +70,54 @@ def test_sku_is_the_formatted_key(spark):
     assert all(r.sku == r.want for r in got.collect()) and not got.schema["sku"].nullable
     # only the rare keys go through the formatter
     assert "BETWEEN 0 AND 99999" in SKU
+
+
+def _by_window(df, keys, order):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def test_deduplication_is_one_aggregate(spark):
+    later = DAY + dt.timedelta(days=1)
+    events = [(i, s, c, p, u, t) for s in ("S1", "S2") for c in ("C0", None) for t in (DAY, later)
+              for i, p, u in [("b", 2.0, None), ("a", 2.0, "y"), ("a", 2.0, "x"), (None, 3.0, None), ("b", 2.0, None), (None, 2.0, "z")]]
+    raw = spark.createDataFrame(events, schemas.COMPETITOR_PRICES).repartition(5)
+    deduped = silver.dedup_prices(raw)
+    assert deduped.columns == raw.columns and deduped.count() == 8
+    assert rows(deduped) == rows(_by_window(raw, silver.PRICE_KEYS, silver.PRICE_TIEBREAK))
+    plan = deduped._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_least_per_key_of_any_columns(spark):
+    df = spark.range(40).selectExpr("id % 7 AS k", "CAST(NULLIF(id % 3, 0) AS STRING) AS o", "id AS `a.b`", "id * 2 AS `c``d`")
+    every = ["o", "`a.b`", "`c``d`"]
+    got = least_per_key(df, ["k"], ["o"])
+    assert got.columns == df.columns and rows(got) == rows(_by_window(df, ["k"], every))
+    held = df.withColumn("m", F.create_map(F.lit("x"), F.col("k")))  # a map has no order
+    assert sorted(least_per_key(held, ["k"], ["o"]).select("k").toPandas()["k"]) == list(range(7))
+    assert least_per_key(df.limit(0), ["k"], ["o"]).count() == 0
+
+
+def test_stamps_are_put_on_after_deduplication(spark, sf_small):
+    p = PricingPipeline(spark, sf_small)
+    assert rows(p.deduped_prices) == rows(silver.dedup_prices(p.bronze_prices))
+    assert rows(p.deduped_inventory) == rows(silver.dedup_inventory(p.bronze_inventory))
+    assert rows(p.silver_prices) == rows(silver.silver_prices(p.bronze_prices, p.raw.product_catalog, p.run_ts))
+    plan = p.deduped_prices._jdf.queryExecution().executedPlan().toString()
+    shuffled = [x for x in plan.splitlines() if "Aggregate" in x]
+    assert shuffled and not any("_ingested_at" in x for x in shuffled)
+
+
+def test_table_profile_writes_silver_prices_beside_inventory(spark, sf_small, monkeypatch):
+    begun, write = threading.Event(), queries.write_and_read
+
+    def watched(df, name):
+        if name == "silver_inventory":
+            begun.set()
+        if name == "silver_prices":
+            assert begun.wait(60), "inventory waits for the prices"
+        return write(df, name)
+    monkeypatch.setattr(queries, "write_and_read", watched)
+    got = {r["table_name"]: r["row_count"] for r in queries.table_profile(spark, sf_small).collect()}
+    assert len(got) == 14 and got["silver.competitor_prices"] == queries.silver_prices(spark, sf_small).count()
