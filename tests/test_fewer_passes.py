@@ -82,7 +82,7 @@ def test_deduplication_is_one_aggregate(spark):
     events = [(i, s, c, p, u, t) for s in ("S1", "S2") for c in ("C0", None) for t in (DAY, later)
               for i, p, u in [("b", 2.0, None), ("a", 2.0, "y"), ("a", 2.0, "x"), (None, 3.0, None), ("b", 2.0, None), (None, 2.0, "z")]]
     raw = spark.createDataFrame(events, schemas.COMPETITOR_PRICES).repartition(5)
-    deduped = silver.dedup_prices(raw)
+    deduped = silver.whole_prices(raw)
     assert deduped.columns == raw.columns and deduped.count() == 8
     assert rows(deduped) == rows(_by_window(raw, silver.PRICE_KEYS, silver.PRICE_TIEBREAK))
     plan = deduped._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
