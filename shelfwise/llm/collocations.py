@@ -8,15 +8,17 @@ counted for one full cycle of shards, whatever shard it begins at, so its
 count is exact; mining ends when no phrase is left to begin or to complete.
 
 Texts are lower-cased (A-Z), cut into pieces and words and stored once as blocks
-of word numbers, each of about ``BLOCK`` bytes of text; a block that begins
-inside a text begins with the last words of the one before, so memory doesn't
-grow with a text.  A shard is every ``SHARDS``-th block.
+of word numbers, each of about ``BLOCK`` bytes of text in one language; a block
+that begins inside a text begins with the last words of the one before, so
+memory doesn't grow with a text.  A shard is every ``SHARDS``-th block.
 
 The state holds, by language and phrase, the count so far, the shards counted,
 the scan at which counting began and the one at which the threshold was
-reached.  It lies in buckets by the phrase's hash; a scan sends each bucket one
-packed table a block, not a row a phrase, and a task merges a bucket.  A bucket
-takes on about ``BUCKET_BYTES`` of text, up to ``MOST_BUCKETS`` buckets.
+reached.  It lies in buckets by the phrase's hash, and a task merges a bucket.  A
+bucket takes on about ``BUCKET_BYTES`` of text, up to ``MOST_BUCKETS`` buckets.  A
+scan sends each bucket packed tables, not a row a phrase: a task gathers what its
+blocks count up to ``SENT_BYTES`` and then sends one table a bucket, so their
+number doesn't grow with blocks times buckets.
 
 A scan is given bitmaps for each length, of the hashes of phrases that have
 reached the threshold, ever and within the last scans of a cycle.  They have a
@@ -32,7 +34,7 @@ phrase's UTF-8 bytes; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -53,6 +55,10 @@ SHARDS, LONGEST, THRESHOLD, TOP = 2, 4, 30, 2000
 BLOCK, BITS_EACH, MIN_BITS, MAX_BITS = 4 << 20, 32, 1 << 16, 1 << 26
 BITMAP_ROW = 1 << 15  # bits of one row of bitmap_construct_agg
 BUCKET_BYTES, MOST_BUCKETS, ROW_GROUP = 8 << 20, 1 << 16, 16 << 20
+#: bytes of counted phrases a task gathers before it sends them; blocks' worth of text, of all languages, that waits to be cut
+SENT_BYTES, WAITING = 32 << 20, 4
+#: bytes of word numbers a scan's task reads, where that leaves so many tasks
+TASK_BYTES, LEAST_TASKS = 64 << 20, 48
 
 #: what parts pieces becomes a word of its own, which no text holds
 GAP = b"."
@@ -91,10 +97,24 @@ class Bitmap:
 
 def numbered(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words, their hashes, and the number of each word's."""
-    names = list(dict.fromkeys(words))
-    index = dict(zip(names, range(len(names)), strict=True))
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    names = coded.dictionary.to_pylist()
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names))
-    return names, hashes, np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+    return names, hashes, coded.indices.to_numpy()
+
+
+def alike(h: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct phrase, and how often it occurs: places with
+    the word numbers ``parts`` and the hash ``h`` of these.  They are sorted by
+    hash, and by the words only if two phrases share a hash."""
+    order = np.argsort(h)
+    equal = h[order[1:]] == h[order[:-1]]
+    after, before = order[1:][equal], order[:-1][equal]
+    if not all(np.array_equal(part[after], part[before]) for part in parts):
+        order = np.lexsort(parts)
+        equal = np.logical_and.reduce([part[order[1:]] == part[order[:-1]] for part in parts])
+    edges = np.flatnonzero(np.concatenate([[True], ~equal, [True]]))
+    return order[edges[:-1]], np.diff(edges)
 
 
 def tally(names: list[bytes], hashes: np.ndarray, ids: np.ndarray, held: int, lang: str, known: dict[int, list[Bitmap]],
@@ -106,7 +126,6 @@ def tally(names: list[bytes], hashes: np.ndarray, ids: np.ndarray, held: int, la
     last but for its first scan, and so on; the age is the number of the last of
     these that holds one of the phrase's two parts.  ``single``: words are still
     being counted."""
-    ids = ids.astype(np.int64)
     gap = names.index(GAP) if GAP in names else -1
     texts = pa.array(names, pa.binary())
     seed = _rotated(hash_of(lang))
@@ -134,12 +153,7 @@ def tally(names: list[bytes], hashes: np.ndarray, ids: np.ndarray, held: int, la
         at = at[at + k > held]
         h, whole = _rotated(h[:-1]) ^ own[k - 1:], whole[:-1] & inside[k - 1:]
         if len(at):
-            key = ids[at]
-            for j in range(1, k):
-                key = key * len(names) + ids[at + j]
-                if j < k - 1:  # ranks, so that keys never overflow
-                    key = np.unique(key, return_inverse=True)[1]
-            _, first, counts = np.unique(key, return_index=True, return_counts=True)
+            first, counts = alike(h[at], [ids[at + j] for j in range(k)])
             at = at[first]
             parts = [texts.take(pa.array(ids[at + j])) for j in range(k)]
             yield k, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), counts, both[at].astype(np.int64), h[at]
@@ -147,22 +161,22 @@ def tally(names: list[bytes], hashes: np.ndarray, ids: np.ndarray, held: int, la
 
 def blocks(texts: Iterator[tuple[str, str]], size: int, longest: int = LONGEST) -> Iterator[tuple[str, list[bytes], int]]:
     """(language, words, words held over) of texts joined to blocks of about
-    ``size`` bytes, cut between words where a text is longer."""
+    ``size`` bytes, cut between words where a text is longer.  Of all languages
+    ``WAITING`` blocks' worth waits at most; then the one with most gives a
+    smaller block."""
     waiting: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     total = 0
-
-    def flush():
-        for lang, some in waiting.items():
-            yield lang, split_words(GAP.join(some)), 0
-        waiting.clear()
     for lang, text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         if len(raw) <= size:
             waiting.setdefault(lang, []).append(raw)
-            total += len(raw)
-            if total >= size:
-                yield from flush()
-                total = 0
+            sizes[lang] = sizes.get(lang, 0) + len(raw) + 1  # empty texts count too
+            total += len(raw) + 1
+            full = lang if sizes[lang] >= size else max(sizes, key=sizes.get) if total >= WAITING * size else None
+            if full is not None:
+                total -= sizes.pop(full)
+                yield full, split_words(GAP.join(waiting.pop(full))), 0
             continue
         held: list[bytes] = []
         at = 0
@@ -172,18 +186,26 @@ def blocks(texts: Iterator[tuple[str, str]], size: int, longest: int = LONGEST)
             words = split_words(raw[at:end])
             yield lang, held + words, len(held)
             held, at = (held + words)[-(longest - 1):], end
-    yield from flush()
+    for lang, some in waiting.items():
+        yield lang, split_words(GAP.join(some)), 0
+
 
+#: the packed tables: what a scan has counted, and the phrases still counted
+_PHRASE = [("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.binary())]
+SENT = pa.schema([*_PHRASE, ("new", pa.int64()), ("age", pa.int32())])
+HELD = pa.schema([*_PHRASE, ("n", pa.int64()), ("shards", pa.int64()), ("start", pa.int32()), ("reach", pa.int32())])
 
-def packed(table: pa.Table) -> bytes:
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
-        writer.write_table(table)
-    return out.getvalue().to_pybytes()
 
+def packed(rows: pa.RecordBatch) -> bytes:
+    """The rows without their schema, which a small table would mostly be."""
+    raw = rows.serialize()
+    return raw.size.to_bytes(8, "little") + pa.compress(raw, codec="lz4", asbytes=True)
 
-def unpacked(block: bytes) -> pa.Table:
-    return pa.ipc.open_stream(block).read_all()
+
+def unpacked(blocks: Iterable[bytes], schema: pa.Schema) -> pa.Table:
+    """The rows of all ``blocks`` in one piece."""
+    parts = [pa.ipc.read_record_batch(pa.decompress(pa.py_buffer(b)[8:], int.from_bytes(b[:8], "little"), codec="lz4"), schema) for b in blocks]
+    return pa.Table.from_batches(parts, schema).combine_chunks()
 
 
 def token_blocks(docs: DataFrame, shards: int, longest: int, size: int) -> DataFrame:
@@ -203,35 +225,49 @@ def token_blocks(docs: DataFrame, shards: int, longest: int, size: int) -> DataF
     return rows.mapInArrow(run, BLOCKS)
 
 
-def scan(shard: DataFrame, known: dict[int, list[Bitmap]], single: bool, longest: int, buckets: int) -> DataFrame:
-    """(bucket, block): what the blocks of a shard count, as packed tables
-    (lang, k, phrase, new, age)."""
+def scan(shard: DataFrame, known: dict[int, list[Bitmap]], single: bool, longest: int, buckets: int,
+         sent: int = SENT_BYTES) -> DataFrame:
+    """(bucket, block): what the blocks of a shard count, as packed tables of
+    SENT rows: one a bucket for about each ``sent`` bytes that a task counts."""
     def run(batches):
+        found, size = [], 0
         for batch in batches:
             for row in batch.to_pylist():
                 pa.default_memory_pool().release_unused()
                 names = row["names"].split(b" ") if row["names"] else []
-                found = list(tally(names, np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["ids"], "<i4"), row["held"],
-                                   row["lang"], known, single, longest))
-                if not found:
-                    continue
-                h = np.concatenate([x[4] for x in found])
-                bucket = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % buckets
-                order = np.argsort(bucket, kind="stable")
-                table = pa.table({
-                    "k": np.repeat([x[0] for x in found], [len(x[1]) for x in found]).astype(np.int32),
-                    "phrase": pa.chunked_array([x[1] for x in found]).combine_chunks(),
-                    "new": np.concatenate([x[2] for x in found]).astype(np.int64),
-                    "age": np.concatenate([x[3] for x in found]).astype(np.int32)}).take(pa.array(order))
-                table = table.append_column("lang", pa.repeat(row["lang"], len(table)))
-                edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[order][edges[:-1]], pa.int32()),
-                     pa.array([packed(table.slice(a, b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
-                    names=["bucket", "block"])
+                for part in tally(names, np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["ids"], "<i4"), row["held"],
+                                  row["lang"], known, single, longest):
+                    found.append((row["lang"], *part))
+                    size += part[1].nbytes + 32 * len(part[1])
+                if size >= sent:
+                    yield dealt(found, buckets)
+                    found, size = [], 0
+        if found:
+            yield dealt(found, buckets)
     return shard.select("lang", "names", "hashes", "ids", "held").mapInArrow(run, "bucket int, block binary")
 
 
+def dealt(found: list[tuple], buckets: int) -> pa.RecordBatch:
+    """(bucket, block) of what :func:`tally` gave, each with its language."""
+    lengths = [len(x[2]) for x in found]
+    langs = list(dict.fromkeys(x[0] for x in found))
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()).take(pa.array(np.repeat([langs.index(x[0]) for x in found], lengths))),
+         pa.array(np.repeat([x[1] for x in found], lengths).astype(np.int32)),
+         pa.concat_arrays([x[2] for x in found]),
+         pa.array(np.concatenate([x[3] for x in found]).astype(np.int64)),
+         pa.array(np.concatenate([x[4] for x in found]).astype(np.int32))], schema=SENT)
+    h = np.concatenate([x[5] for x in found])
+    found.clear()
+    # two bytes each, which numpy sorts by radix
+    bucket = (((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows.take(pa.array(order)), bucket[order].astype(np.int32)
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
+    blocks = [packed(rows.slice(a, b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+
+
 # --- state -------------------------------------------------------------------------
 def phrase_hash(lang: Column, phrase: Column) -> Column:
     """The hash of :func:`tally`, in Spark."""
@@ -279,11 +315,12 @@ def frequent_phrases(docs: DataFrame, shards: int = SHARDS, longest: int = LONGE
     words = texts.agg(F.sum(F.octet_length("ids"))).first()[0] or 0  # four bytes a word
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(MOST_BUCKETS, max(least, 2 * words // BUCKET_BYTES))
+    tasks = max(LEAST_TASKS, words // shards // TASK_BYTES)
     state = spark.createDataFrame([], f"{STATE}, step int, part int")
     known, sizes, step, last = {}, dict.fromkeys(lengths, 0), 0, shards - 1
     while step <= last:
         live = state.where((F.col("step") == step - 1) & (F.col("part") == LIVE)).select("bucket", "block", F.lit(True).alias("live"))
-        found = scan(texts.where(F.col("shard") == step % shards), known, step < shards, longest, buckets)
+        found = scan(texts.where(F.col("shard") == step % shards).coalesce(tasks), known, step < shards, longest, buckets)
         rows = (live.unionByName(found.withColumn("live", F.lit(False))).groupBy("bucket")
                 .applyInPandas(merging(step, shards, threshold), f"{STATE}, part int"))
         seen = Observation()
@@ -312,19 +349,15 @@ def merging(step: int, shards: int, threshold: int):
     tells; words begin at 0."""
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         pa.default_memory_pool().release_unused()
-        tables = []
-        for block, is_live in zip(rows["block"], rows["live"], strict=True):
-            table, none = unpacked(block), np.full
-            if not is_live:
-                n, k, age = len(table), table["k"].to_numpy(), table["age"].to_numpy()
-                table = pa.table({"lang": table["lang"], "k": table["k"], "phrase": table["phrase"], "n": np.zeros(n, np.int64),
-                                  "new": table["new"], "shards": np.zeros(n, np.int64),
-                                  "start": none(n, -1, np.int32), "reach": none(n, -1, np.int32),
-                                  "first": np.where(k < 2, 0, age + (step - shards)).astype(np.int32)})
-            else:
-                table = table.append_column("new", pa.array(np.zeros(len(table), np.int64))).append_column(
-                    "first", pa.array(none(len(table), -1, np.int32)))
-            tables.append(table.select(MERGED))
+        live = rows["live"].to_numpy(bool)
+        held, new = unpacked(rows["block"][live], HELD), unpacked(rows["block"][~live], SENT)
+        k, full = new["k"].to_numpy(), np.full
+        tables = [held.append_column("new", pa.array(np.zeros(len(held), np.int64)))
+                  .append_column("first", pa.array(full(len(held), -1, np.int32))).select(MERGED),
+                  pa.table({**{c: new[c] for c in ("lang", "k", "phrase", "new")}, "n": np.zeros(len(new), np.int64),
+                            "shards": np.zeros(len(new), np.int64), "start": full(len(new), -1, np.int32),
+                            "reach": full(len(new), -1, np.int32),
+                            "first": np.where(k < 2, 0, new["age"].to_numpy() + (step - shards)).astype(np.int32)}).select(MERGED)]
         sums = pa.concat_tables(tables).group_by(["lang", "k", "phrase"]).aggregate(
             [("n", "sum"), ("new", "sum"), ("shards", "max"), ("start", "max"), ("reach", "max"), ("first", "max")])
         n, new, seen, start, reach, first = (sums[c].to_numpy() for c in (
@@ -335,11 +368,11 @@ def merging(step: int, shards: int, threshold: int):
         newly = (reach < 0) & (n >= threshold)
         reach, over, k = np.where(newly, step, reach).astype(np.int32), start + (shards - 1) <= step, sums["k"].to_numpy()
         whole = pa.table({"lang": sums["lang"], "k": sums["k"], "phrase": sums["phrase"], "n": n, "shards": seen,
-                          "start": start, "reach": reach})
+                          "start": start, "reach": reach}, schema=HELD)
         out, bucket = [], int(rows["bucket"].iloc[0])
         left = whole.filter(pa.array(~over))
         if len(left):
-            out.append(pd.DataFrame({"bucket": [bucket], "block": [packed(left)], "part": [LIVE]}))
+            out.append(pd.DataFrame({"bucket": [bucket], "block": [packed(left.combine_chunks().to_batches()[0])], "part": [LIVE]}))
         for part, chosen in ((REACHED, newly & (k > 0)), (DONE, over & ((reach >= 0) | (k == 0)))):
             some = whole.select([*COUNTS_COLUMNS, "reach"]).filter(pa.array(chosen))
             some = some.set_column(2, "phrase", some["phrase"].cast(pa.string())).to_pandas()

@@ -115,6 +115,54 @@ def test_blocks():
             parts[1:], [sum(len(w) - h for _, w, h in parts[:i + 1]) for i in range(len(parts) - 1)], strict=True) if at >= 3)
 
 
+def test_blocks_by_language():
+    """Blocks hold one language each and are full, however languages alternate;
+    with many languages what waits stays bounded."""
+    texts = [("en", "a b"), ("de", "cc dd"), (None, "e")] * 200
+    parts = list(collocations.blocks(iter(texts), 100))
+    assert len(parts) <= 25 and all(held == 0 for *_, held in parts)
+    for lang, words in (("en", [b"a", b"b"]), ("de", [b"cc", b"dd"]), (None, [b"e"])):
+        assert [w for g, some, _ in parts if g == lang for w in some if w != collocations.GAP] == words * 200
+    taken = 0
+
+    def many():
+        nonlocal taken
+        for i in range(5000):
+            taken += 1
+            yield f"l{i}", "word" * 5
+    seen = [(taken, lang) for lang, _, _ in collocations.blocks(many(), 100)]
+    assert seen[0][0] < 50 and sorted(lang for _, lang in seen) == sorted(f"l{i}" for i in range(5000))
+
+
+def test_tables_sent(spark):
+    """A task sends one table a bucket for many blocks, not one for each."""
+    rows = corpus(9, 300)
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    texts = collocations.token_blocks(docs, 1, 4, 40).coalesce(1)
+    assert texts.count() > 100
+    sent = collocations.scan(texts, {}, True, 4, 5).collect()
+    assert sorted(r["bucket"] for r in sent) == list(range(5))
+    got = Counter()
+    for r in collocations.unpacked([r["block"] for r in sent], collocations.SENT).to_pylist():
+        got[r["lang"], r["k"], r["phrase"].decode()] += r["new"]
+    want = plain_counts(rows, 1, 1)
+    assert {x: n for x, n in got.items() if x[1] or n} == {x: n for x, n in want.items() if x[1] or n}
+    small = collocations.scan(texts, {}, True, 4, 5, sent=4000).collect()
+    assert len(small) > len(sent)
+
+
+def test_phrases_that_share_a_hash():
+    """Equal hashes of different phrases don't merge them."""
+    import numpy as np
+    parts = [np.array([1, 1, 2, 1, 2, 3]), np.array([5, 6, 5, 5, 5, 5])]
+    for h in (np.zeros(6, np.uint64), np.array([7, 8, 9, 7, 9, 9], np.uint64), np.array([7, 8, 9, 7, 9, 4], np.uint64)):
+        first, counts = collocations.alike(h, parts)
+        assert {(parts[0][i], parts[1][i]): n for i, n in zip(first, counts.tolist(), strict=True)} == {
+            (1, 5): 2, (1, 6): 1, (2, 5): 2, (3, 5): 1}
+    first, counts = collocations.alike(np.zeros(1, np.uint64), [np.array([4])])
+    assert first.tolist() == [0] and counts.tolist() == [1]
+
+
 def test_bitmaps_hold_all(spark):
     words = [f"w{i}" for i in range(3000)]
     reached = spark.createDataFrame([("en", 1, w, i % 3) for i, w in enumerate(words)], "lang string, k int, phrase string, reach int")
