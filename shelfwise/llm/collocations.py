@@ -56,7 +56,7 @@ BLOCK, BITS_EACH, MIN_BITS, MAX_BITS = 4 << 20, 32, 1 << 16, 1 << 26
 BITMAP_ROW = 1 << 15  # bits of one row of bitmap_construct_agg
 BUCKET_BYTES, MOST_BUCKETS, ROW_GROUP = 8 << 20, 1 << 16, 16 << 20
 #: bytes of counted phrases a task gathers before it sends them; blocks' worth of text, of all languages, that waits to be cut
-SENT_BYTES, WAITING = 32 << 20, 4
+SENT_BYTES, WAITING = 16 << 20, 4
 #: bytes of word numbers a scan's task reads, where that leaves so many tasks
 TASK_BYTES, LEAST_TASKS = 64 << 20, 48
 
